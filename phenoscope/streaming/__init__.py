@@ -1,0 +1,8 @@
+"""Streaming: the analysed job has no stream input (every read is a batch
+read of a data release), so no streaming operator is part of this library.
+
+All operators are plain DataFrame -> DataFrame functions without actions,
+so the stateless ones (rule columns of ``phenoscope.functions.rules``,
+filters, explodes, joins with static lookup frames) apply unchanged to a
+streaming DataFrame from ``spark.readStream``.
+"""
