@@ -13,8 +13,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from phenoscope.functions import constants as K
 from phenoscope.functions import harmonic as H
-from phenoscope.operators import scoring
+from phenoscope.operators import doe, evaluate, flags, model, nested, scoring, severity
 from phenoscope.sources import readers
 from phenoscope.sources import testbed as TB
 
@@ -76,3 +77,345 @@ def q_harmonic_sum(spark: SparkSession, sf: str) -> DataFrame:
         H.multiset_count(F.col("scores")).alias("n_scores"),
         r6(F.col("harmonicSum")).alias("harmonicSum"),
         r6(F.col("harmonicSumNorm")).alias("harmonicSumNorm"))
+
+
+def _plan(spark: SparkSession, sf: str):
+    from phenoscope.plans.safety import Inputs, SafetyPlan
+    return SafetyPlan(Inputs.from_testbed(spark, sf))
+
+
+def joined(c):
+    return F.concat_ws(",", c)
+
+
+@query("max_harmonic")
+def q_max_harmonic(spark: SparkSession, sf: str) -> DataFrame:
+    """D-18: largest possible harmonic sum for each target's number of scores."""
+    lists = _phenotype_scores(spark, sf)
+    n = H.multiset_count(F.col("scores"))
+    return lists.select("targetFromSourceId", n.alias("n_scores"),
+                        r6(H.max_harmonic(n)).alias("maxHarmonicSum"))
+
+
+@query("scaled_harmonic")
+def q_scaled_harmonic(spark: SparkSession, sf: str) -> DataFrame:
+    """D-19: harmonic sum over the global maximum, negated."""
+    out = scoring.scaled_harmonic(_phenotype_scores(spark, sf))
+    return out.select("targetFromSourceId", r6(F.col("harmonicSum")).alias("harmonicSum"),
+                      r6(F.col("maximum")).alias("maximum"),
+                      r6(F.col("scaledHarmonicSum")).alias("scaledHarmonicSum"))
+
+
+# ---------------------------------------------------------------------------
+# target features
+# ---------------------------------------------------------------------------
+@query("liability_sources")
+def q_liability_sources(spark: SparkSession, sf: str) -> DataFrame:
+    return nested.liability_sources(TB.targets(spark, sf))
+
+
+@query("liability_count")
+def q_liability_count(spark: SparkSession, sf: str) -> DataFrame:
+    return nested.liability_count(TB.targets(spark, sf))
+
+
+@query("liability_count_strict")
+def q_liability_count_strict(spark: SparkSession, sf: str) -> DataFrame:
+    from phenoscope.functions.constants import LIABILITY_EXCLUDED_STRICT
+    return nested.liability_count(TB.targets(spark, sf), LIABILITY_EXCLUDED_STRICT, "noToxCast")
+
+
+@query("constraint_lof")
+def q_constraint_lof(spark: SparkSession, sf: str) -> DataFrame:
+    lof = nested.constraint_lof(TB.targets(spark, sf))
+    return lof.select("id", "upperRank", r6(F.col("oe")).alias("oe"),
+                      r6(F.col("scoreConstraint")).alias("scoreConstraint"))
+
+
+@query("minmax_scale")
+def q_minmax_scale(spark: SparkSession, sf: str) -> DataFrame:
+    tol = nested.lof_tolerance(TB.targets(spark, sf))
+    return tol.select("id", r6(F.col("cal_score")).alias("cal_score"), "constraintType")
+
+
+@query("list_flag")
+def q_list_flag(spark: SparkSession, sf: str) -> DataFrame:
+    return nested.list_flag(TB.approvals(spark, sf), "targetIds")
+
+
+# ---------------------------------------------------------------------------
+# direction of effect
+# ---------------------------------------------------------------------------
+@query("filter_sources")
+def q_filter_sources(spark: SparkSession, sf: str) -> DataFrame:
+    kept = doe.filter_sources(TB.evidence(spark, sf))
+    return kept.groupBy("datasourceId").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("action_types")
+def q_action_types(spark: SparkSession, sf: str) -> DataFrame:
+    at = doe.action_types(TB.mechanism_of_action(spark, sf))
+    return at.select("targetId2", "drugId2", joined(F.col("actionType")).alias("actionTypes"),
+                     F.size("actionType").alias("n_actions"))
+
+
+@query("onco_label")
+def q_onco_label(spark: SparkSession, sf: str) -> DataFrame:
+    lab = doe.onco_label(TB.targets(spark, sf))
+    return lab.select("target_id", "approvedSymbol", joined(F.col("description")).alias("descriptions"),
+                      "TSorOncogene")
+
+
+@query("gof_lof_samples")
+def q_gof_lof_samples(spark: SparkSession, sf: str) -> DataFrame:
+    ev = doe.with_intogen_labels(doe.filter_sources(TB.evidence(spark, sf)))
+    return (ev.filter(F.col("datasourceId") == "intogen")
+            .groupBy("targetId", "diseaseId", "intogen_function", "intogenAnnot")
+            .agg(F.count(F.lit(1)).alias("n_rows")))
+
+
+def _assessment(spark: SparkSession, sf: str) -> DataFrame:
+    return _plan(spark, sf).assessment
+
+
+@query("variant_effect")
+def q_variant_effect(spark: SparkSession, sf: str) -> DataFrame:
+    a = _assessment(spark, sf)
+    return a.select("datasourceId", "targetId", "diseaseId", "drugId", "variantFunctionalConsequenceId",
+                    "variantFunctionalConsequenceFromQtlId", "variantEffect")
+
+
+@query("direction_on_trait")
+def q_direction_on_trait(spark: SparkSession, sf: str) -> DataFrame:
+    a = _assessment(spark, sf)
+    return a.select("datasourceId", "targetId", "diseaseId", r6(F.col("beta")).alias("beta"),
+                    r6(F.col("oddsRatio")).alias("oddsRatio"),
+                    joined(F.col("clinicalSignificances")).alias("significances"), "directionOnTrait")
+
+
+@query("homogenized")
+def q_homogenized(spark: SparkSession, sf: str) -> DataFrame:
+    a = _assessment(spark, sf)
+    return a.groupBy("variantEffect", "directionOnTrait", "homogenized").agg(
+        F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("direction_of_effect")
+def q_direction_of_effect(spark: SparkSession, sf: str) -> DataFrame:
+    a = _assessment(spark, sf)
+    return a.groupBy("datasourceId", "variantEffect", "directionOnTrait", "homogenized").agg(
+        F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("coherency")
+def q_coherency(spark: SparkSession, sf: str) -> DataFrame:
+    wide = doe.agreement_counts(_assessment(spark, sf), ["targetId", "diseaseId"])
+    return doe.coherency(wide)
+
+
+# ---------------------------------------------------------------------------
+# warnings and flags
+# ---------------------------------------------------------------------------
+@query("drugs_by_effect")
+def q_drugs_by_effect(spark: SparkSession, sf: str) -> DataFrame:
+    return flags.drugs_by_effect(_assessment(spark, sf))
+
+
+@query("attach_warnings")
+def q_attach_warnings(spark: SparkSession, sf: str) -> DataFrame:
+    pairs = flags.drugs_by_effect(_assessment(spark, sf))
+    return nested.attach_warnings(pairs, TB.drug_warnings(spark, sf))
+
+
+@query("warning_flags")
+def q_warning_flags(spark: SparkSession, sf: str) -> DataFrame:
+    pairs = flags.drugs_by_effect(_assessment(spark, sf))
+    tw = nested.attach_warnings(pairs, TB.drug_warnings(spark, sf))
+    return flags.warning_flags(tw, K.BLACK_BOX_WARNING, "_BBW", TB.TOXICITY_CLASSES)
+
+
+@query("combine_flags")
+def q_combine_flags(spark: SparkSession, sf: str) -> DataFrame:
+    return _plan(spark, sf).warning_flags
+
+
+@query("comparison_frame")
+def q_comparison_frame(spark: SparkSession, sf: str) -> DataFrame:
+    frame = _plan(spark, sf).comparison
+    cols = [r6(F.col(c)).alias(c) if c in ("harmonicSum", "harmonicSumNorm", "cal_score") else F.col(c)
+            for c in frame.columns]
+    return frame.select(*cols)
+
+
+@query("presence_flags")
+def q_presence_flags(spark: SparkSession, sf: str) -> DataFrame:
+    return _plan(spark, sf).comparison.select("id", "safetyLiabilities", "noToxCastLiab")
+
+
+def _rounded_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return _plan(spark, sf).phenotype_scores.select("id", r6(F.col("harmonicSumNorm")).alias("harmonicSumNorm"))
+
+
+@query("quantile_bins")
+def q_quantile_bins(spark: SparkSession, sf: str) -> DataFrame:
+    """D-26 exact deciles of the (rounded) normalised harmonic sum."""
+    return scoring.quantile_bins(_rounded_scores(spark, sf), "harmonicSumNorm", "decilesHarmonicSumNorm")
+
+
+@query("quantile_bins_approx")
+def q_quantile_bins_approx(spark: SparkSession, sf: str) -> DataFrame:
+    """D-26 with approximate cut points (relative error 0.01); checked on rows only."""
+    return scoring.quantile_bins_approx(_rounded_scores(spark, sf), "harmonicSumNorm", "decilesHarmonicSumNorm")
+
+
+@query("binarise")
+def q_binarise(spark: SparkSession, sf: str) -> DataFrame:
+    p = _plan(spark, sf)
+    return flags.binarise(p.comparison, p.flag_columns()).select("id", *p.flag_columns())
+
+
+# ---------------------------------------------------------------------------
+# severity
+# ---------------------------------------------------------------------------
+@query("disease_types")
+def q_disease_types(spark: SparkSession, sf: str) -> DataFrame:
+    t = _plan(spark, sf).disease_types
+    return t.select("targetId", "diseaseId", "nr", joined(F.col("diseaseType")).alias("diseaseType"), "bivalent")
+
+
+@query("target_severity")
+def q_target_severity(spark: SparkSession, sf: str) -> DataFrame:
+    t = severity.target_severity(_plan(spark, sf).disease_types)
+    return t.select("targetId", joined(F.col("diseaseType")).alias("diseaseType"), "scoreFromDisease")
+
+
+def _phenotype_severity(spark: SparkSession, sf: str):
+    p = _plan(spark, sf)
+    return p, severity.phenotype_severity(p.i.phenotypes, severity.target_severity(p.disease_types))
+
+
+@query("phenotype_severity")
+def q_phenotype_severity(spark: SparkSession, sf: str) -> DataFrame:
+    _, ps = _phenotype_severity(spark, sf)
+    return ps.select("modelPhenotypeLabel", joined(F.col("diseaseType")).alias("diseaseType"), "scoreFromDisease")
+
+
+@query("severity_by_target")
+def q_severity_by_target(spark: SparkSession, sf: str) -> DataFrame:
+    p, ps = _phenotype_severity(spark, sf)
+    out = severity.severity_by_target(p.i.phenotypes, ps)
+    return out.select("id", H.multiset_count(F.col("scoreDiseases1")).alias("n_scores"),
+                      r6(F.col("harmonicSum")).alias("harmonicSum"),
+                      r6(F.col("dis1HarmSumNorm")).alias("dis1HarmSumNorm"))
+
+
+@query("evidence_phenotype_scores")
+def q_evidence_phenotype_scores(spark: SparkSession, sf: str) -> DataFrame:
+    p = _plan(spark, sf)
+    out = severity.evidence_phenotype_scores(p.i.evidence, p.disease_types)
+    return out.select(F.col("explotedPhenotypes.id").alias("phenotypeId"),
+                      F.col("explotedPhenotypes.label").alias("phenotypeLabel"),
+                      "NrScores", r6(F.col("average")).alias("average"))
+
+
+@query("evidence_severity")
+def q_evidence_severity(spark: SparkSession, sf: str) -> DataFrame:
+    p = _plan(spark, sf)
+    out = severity.evidence_severity(p.i.evidence, p.disease_types, p.i.phenotypes)
+    return out.select("id", H.multiset_count(F.col("scoreDiseases2")).alias("n_scores"),
+                      r6(F.col("harmonicSum")).alias("harmonicSum"),
+                      r6(F.col("dis2HarmSumNorm")).alias("dis2HarmSumNorm"))
+
+
+# ---------------------------------------------------------------------------
+# evaluation
+# ---------------------------------------------------------------------------
+@query("balanced_sample")
+def q_balanced_sample(spark: SparkSession, sf: str) -> DataFrame:
+    docs = TB.labelled_documents(spark, sf)
+    return evaluate.balanced_sample(docs, "y", "id", seed=0).select("id", "y")
+
+
+@query("roc_curve")
+def q_roc_curve(spark: SparkSession, sf: str) -> DataFrame:
+    roc = evaluate.roc_curve(TB.labelled_documents(spark, sf), "y", "score")
+    return roc.select("threshold", "tp", "fp", r6(F.col("tpr")).alias("tpr"), r6(F.col("fpr")).alias("fpr"))
+
+
+@query("roc_auc")
+def q_roc_auc(spark: SparkSession, sf: str) -> DataFrame:
+    auc = evaluate.roc_auc(TB.labelled_documents(spark, sf), "y", "score")
+    return auc.select(r6(F.col("auc")).alias("auc"), "n_pos", "n_neg")
+
+
+@query("auc_grid")
+def q_auc_grid(spark: SparkSession, sf: str) -> DataFrame:
+    grid = evaluate.auc_grid(TB.labelled_documents(spark, sf), ["y", "y2"], ["score", "score2"], "id", seed=0)
+    return grid.select("label", "predictor", r6(F.col("auc")).alias("auc"), "n")
+
+
+@query("feature_counts")
+def q_feature_counts(spark: SparkSession, sf: str) -> DataFrame:
+    frame = _plan(spark, sf).comparison
+    return evaluate.feature_counts(frame, ["safetyLiabilities", "allBBW", "allWD"],
+                                   ["harmonicSumNorm", "cal_score", "approved"])
+
+
+@query("phenotype_matrix")
+def q_phenotype_matrix(spark: SparkSession, sf: str) -> DataFrame:
+    return flags.phenotype_matrix(TB.mouse_phenotypes(spark, sf))
+
+
+@query("split_train_test")
+def q_split_train_test(spark: SparkSession, sf: str) -> DataFrame:
+    docs = TB.labelled_documents(spark, sf).select("id", "y")
+    train, test = model.split_train_test(docs, "id", seed=2020)
+    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+
+
+def _svm_inputs(spark: SparkSession, sf: str):
+    """Per target: y = withdrawn-drug flag; features = the phenotype-label matrix."""
+    p = _plan(spark, sf)
+    labelled = evaluate.balanced_sample(
+        p.binarised.filter(F.col("harmonicSumNorm").isNotNull()), "allWD", "id", seed=0).select("id", "y")
+    matrix = flags.phenotype_matrix_wide(p.i.phenotypes, PHENOTYPE_LABELS).withColumnRenamed(
+        "targetFromSourceId", "id")
+    feats = [flags.clean_name(x) for x in PHENOTYPE_LABELS]
+    return model.feature_frame(labelled, matrix), feats
+
+
+# the phenotype labels of the test data (event types); the model uses them as features
+PHENOTYPE_LABELS = ("click", "error", "purchase", "signup", "view")
+
+
+@query("assemble_features")
+def q_assemble_features(spark: SparkSession, sf: str) -> DataFrame:
+    frame, feats = _svm_inputs(spark, sf)
+    stages = model.feature_stages(feats)
+    from pyspark.ml import Pipeline
+    fitted = Pipeline(stages=stages).fit(frame)
+    return fitted.transform(frame).select("id", "y", model.LABEL,
+                                          F.col(model.FEATURES).cast("string").alias("features"))
+
+
+@query("linear_svm")
+def q_linear_svm(spark: SparkSession, sf: str) -> DataFrame:
+    frame, feats = _svm_inputs(spark, sf)
+    train, test = model.split_train_test(frame, "id", seed=2020)
+    fitted = model.linear_svm(train, feats)
+    return fitted.transform(test).select("id", "y", "prediction")
+
+
+@query("classifier_metrics")
+def q_classifier_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    frame, feats = _svm_inputs(spark, sf)
+    train, test = model.split_train_test(frame, "id", seed=2020)
+    metrics = model.classifier_metrics(model.linear_svm(train, feats).transform(test))
+    return spark.createDataFrame([tuple(metrics.values())], list(metrics.keys()))
+
+
+@query("predictor_auc")
+def q_predictor_auc(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole analysis: AUC of the three target scores for three safety outcomes."""
+    grid = _plan(spark, sf).predictor_auc(seed=0)
+    return grid.select("label", "predictor", r6(F.col("auc")).alias("auc"), "n")
