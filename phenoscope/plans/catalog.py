@@ -375,13 +375,15 @@ def q_split_train_test(spark: SparkSession, sf: str) -> DataFrame:
 
 def _svm_inputs(spark: SparkSession, sf: str):
     """Per target: y = withdrawn-drug flag; features = the phenotype-label matrix."""
+    from phenoscope.plans.safety import checkpointed
     p = _plan(spark, sf)
     labelled = evaluate.balanced_sample(
-        p.binarised.filter(F.col("harmonicSumNorm").isNotNull()), "allWD", "id", seed=0).select("id", "y")
+        checkpointed(p.binarised).filter(F.col("harmonicSumNorm").isNotNull()), "allWD", "id", seed=0).select("id", "y")
     matrix = flags.phenotype_matrix_wide(p.i.phenotypes, PHENOTYPE_LABELS).withColumnRenamed(
         "targetFromSourceId", "id")
     feats = [flags.clean_name(x) for x in PHENOTYPE_LABELS]
-    return model.feature_frame(labelled, matrix), feats
+    from phenoscope.plans.safety import checkpointed
+    return checkpointed(model.feature_frame(labelled, checkpointed(matrix))), feats
 
 
 # the phenotype labels of the test data (event types); the model uses them as features

@@ -43,6 +43,26 @@ class Inputs:
         )
 
 
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the session's shared checkpoint folder and cut its lineage.
+
+    Used only for per-target frames (bounded by the number of targets) that
+    several later branches read: without it every branch would re-plan and
+    re-run the whole upstream analysis. A reliable checkpoint survives the
+    loss of the executors that computed it.
+    """
+    from pyspark import StorageLevel
+
+    from phenoscope.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    # persisted first, so writing the checkpoint does not compute it again
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
+
+
 class SafetyPlan:
     """Lazily built frames of the analysis; each property is one lazy plan."""
 
@@ -104,7 +124,12 @@ class SafetyPlan:
     def binarised(self) -> DataFrame:
         return flags.binarise(self.full_comparison, self.flag_columns())
 
-    def predictor_auc(self, seed: int = 0) -> DataFrame:
-        """AUC of the three scores for liabilities, black-box warnings, withdrawals."""
-        return evaluate.auc_grid(self.binarised, ["safetyLiabl", "allBBW", "allWD"],
+    def predictor_auc(self, seed: int = 0, materialize: bool = True) -> DataFrame:
+        """AUC of the three scores for liabilities, black-box warnings, withdrawals.
+
+        The per-target frame is checkpointed first (one job), since each of the
+        three outcomes samples it and each AUC reads its sample several times.
+        """
+        frame = checkpointed(self.binarised) if materialize else self.binarised
+        return evaluate.auc_grid(frame, ["safetyLiabl", "allBBW", "allWD"],
                                  ["harmonicSumNorm", "dis1HarmSumNorm", "dis2HarmSumNorm"], "id", seed)
