@@ -43,23 +43,20 @@ def score_counts(df: DataFrame, y_col: str, score_col: str, group_cols: Sequence
 
 
 def _cumulative(counts: DataFrame, group_cols: Sequence[str], buckets: int) -> DataFrame:
+    """Per distinct score: tp/fp = positives/negatives at or above it; P/N group totals."""
     bucketed = quantile_bucket(counts, "threshold", group_cols, buckets=buckets, descending=True)
-    return running_totals(bucketed, order=[F.col("threshold").desc()],
-                          sum_cols={"tp": F.col("pos"), "fp": F.col("neg")},
-                          bucket=F.col("_rt_bucket"), partition_cols=group_cols,
-                          max_buckets=buckets).drop("_rt_bucket")
-
-
-def _with_totals(df: DataFrame, counts: DataFrame, group_cols: Sequence[str]) -> DataFrame:
-    totals = counts.groupBy(*group_cols).agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return df.join(totals, list(group_cols), "inner") if group_cols else attach_scalars(df, totals)
+    cum = running_totals(bucketed, order=[F.col("threshold").desc()],
+                         sum_cols={"tp": F.col("pos"), "fp": F.col("neg")},
+                         bucket=F.col("_rt_bucket"), partition_cols=group_cols,
+                         max_buckets=buckets, with_totals=True).drop("_rt_bucket")
+    return cum.withColumnRenamed("tp_total", "P").withColumnRenamed("fp_total", "N")
 
 
 def roc_curve(df: DataFrame, y_col: str, score_col: str, group_cols: Sequence[str] = (),
               buckets: int = 64) -> DataFrame:
     """D-35: one ROC point per distinct score, taken as threshold (score >= t)."""
     counts = score_counts(df, y_col, score_col, group_cols)
-    cum = _with_totals(_cumulative(counts, group_cols, buckets), counts, group_cols)
+    cum = _cumulative(counts, group_cols, buckets)
     return cum.select(*group_cols, "threshold", "tp", "fp",
                       F.try_divide(F.col("tp"), F.col("P")).alias("tpr"),
                       F.try_divide(F.col("fp"), F.col("N")).alias("fpr"))
@@ -72,7 +69,7 @@ def roc_auc(df: DataFrame, y_col: str, score_col: str, group_cols: Sequence[str]
     AUC = sum over distinct scores s of pos(s) * (negatives below s + neg(s)/2) / (P*N).
     """
     counts = score_counts(df, y_col, score_col, group_cols)
-    cum = _with_totals(_cumulative(counts, group_cols, buckets), counts, group_cols)
+    cum = _cumulative(counts, group_cols, buckets)
     below = F.col("N") - F.col("fp")
     part = F.col("pos") * below + F.lit(0.5) * F.col("pos") * F.col("neg")
     return cum.groupBy(*group_cols).agg(

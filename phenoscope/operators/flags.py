@@ -23,10 +23,14 @@ def clean_name(value: str) -> str:
 
 
 def drugs_by_effect(assessment: DataFrame, source: str = "chembl",
-                    label: str = "LoF_protect") -> DataFrame:
-    """D-21: (targetId, drugId, count) of assessed rows of one source and cell."""
+                    label: str = "LoF_protect", count_col: str | None = None) -> DataFrame:
+    """D-21: (targetId, drugId, count) of assessed rows of one source and cell.
+
+    ``count_col`` names a row-count column when the input is a summary.
+    """
     rows = assessment.filter((F.col("datasourceId") == source) & (F.col("homogenized") == label))
-    return rows.groupBy("targetId", "drugId").count()
+    n = F.sum(count_col) if count_col else F.count(F.lit(1))
+    return rows.groupBy("targetId", "drugId").agg(n.cast("long").alias("count"))
 
 
 def warning_flags(target_warnings: DataFrame, warning: str, suffix: str,
@@ -88,9 +92,10 @@ def phenotype_matrix_wide(phenotypes: DataFrame, labels: Sequence[str]) -> DataF
     return wide.select(*out)
 
 
-def warning_table(assessment: DataFrame, warnings: DataFrame, classes: Sequence[str]) -> DataFrame:
+def warning_table(assessment: DataFrame, warnings: DataFrame, classes: Sequence[str],
+                  count_col: str | None = None) -> DataFrame:
     """D-21..D-24 together: LoF drugs -> warnings -> per-class flags -> combined."""
-    pairs = drugs_by_effect(assessment)
+    pairs = drugs_by_effect(assessment, count_col=count_col)
     tw = attach_warnings_frame(pairs, warnings)
     bbw = warning_flags(tw, K.BLACK_BOX_WARNING, "_BBW", classes)
     wd = warning_flags(tw, K.WITHDRAWN, "_WD", classes)

@@ -47,12 +47,14 @@ def quantile_bucket(df: DataFrame, order_col: str, partition_cols: Sequence[str]
 
 def running_totals(df: DataFrame, order: Sequence[Column], sum_cols: dict[str, Column],
                    bucket: Column, partition_cols: Sequence[str] = (),
-                   max_buckets: int | None = None) -> DataFrame:
+                   max_buckets: int | None = None, with_totals: bool = False) -> DataFrame:
     """Add inclusive running sums ``name -> expr`` in ``order`` within ``partition_cols``.
 
     ``bucket`` must be non-decreasing along ``order``. When ``max_buckets``
     is given and there are no partition columns, the bucket offsets are a
-    frame of at most that many rows and are broadcast.
+    frame of at most that many rows and are broadcast. ``with_totals`` also
+    adds ``<name>_total``, the sum over the whole group, taken from the
+    small per-bucket frame (no extra pass over the input).
     """
     parts = list(partition_cols)
     staged = df.withColumn(_BUCKET, bucket)
@@ -61,10 +63,12 @@ def running_totals(df: DataFrame, order: Sequence[Column], sum_cols: dict[str, C
     totals = staged.groupBy(*parts, _BUCKET).agg(
         *[F.sum(f"_rt_v_{name}").alias(f"_rt_t_{name}") for name in sum_cols])
     before = Window.partitionBy(*parts).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*parts)
     offsets = totals.select(
         *parts, _BUCKET,
         *[F.coalesce(F.sum(f"_rt_t_{name}").over(before), F.lit(0)).alias(f"_rt_o_{name}")
-          for name in sum_cols])
+          for name in sum_cols],
+        *[F.sum(f"_rt_t_{name}").over(whole).alias(f"{name}_total") for name in sum_cols if with_totals])
     if not parts and max_buckets is not None:
         offsets = F.broadcast(offsets)
     joined = staged.join(offsets, parts + [_BUCKET], "inner")

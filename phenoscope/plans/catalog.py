@@ -209,7 +209,7 @@ def q_direction_of_effect(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("coherency")
 def q_coherency(spark: SparkSession, sf: str) -> DataFrame:
-    wide = doe.agreement_counts(_assessment(spark, sf), ["targetId", "diseaseId"])
+    wide = doe.agreement_counts(_plan(spark, sf).summary, ["targetId", "diseaseId"], count_col="n")
     return doe.coherency(wide)
 
 
@@ -218,18 +218,18 @@ def q_coherency(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 @query("drugs_by_effect")
 def q_drugs_by_effect(spark: SparkSession, sf: str) -> DataFrame:
-    return flags.drugs_by_effect(_assessment(spark, sf))
+    return flags.drugs_by_effect(_plan(spark, sf).summary, count_col="n")
 
 
 @query("attach_warnings")
 def q_attach_warnings(spark: SparkSession, sf: str) -> DataFrame:
-    pairs = flags.drugs_by_effect(_assessment(spark, sf))
+    pairs = flags.drugs_by_effect(_plan(spark, sf).summary, count_col="n")
     return nested.attach_warnings(pairs, TB.drug_warnings(spark, sf))
 
 
 @query("warning_flags")
 def q_warning_flags(spark: SparkSession, sf: str) -> DataFrame:
-    pairs = flags.drugs_by_effect(_assessment(spark, sf))
+    pairs = flags.drugs_by_effect(_plan(spark, sf).summary, count_col="n")
     tw = nested.attach_warnings(pairs, TB.drug_warnings(spark, sf))
     return flags.warning_flags(tw, K.BLACK_BOX_WARNING, "_BBW", TB.TOXICITY_CLASSES)
 

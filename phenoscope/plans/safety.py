@@ -73,6 +73,12 @@ class SafetyPlan:
     def assessment(self) -> DataFrame:
         return doe.direction_of_effect(self.i.evidence, self.i.targets, self.i.moa)
 
+    @cached_property
+    def summary(self) -> DataFrame:
+        """The assessment counted per (source, target, disease, drug, cell): one
+        evidence pass shared by every consumer below."""
+        return doe.assessment_summary(self.assessment)
+
     @cached_property
     def phenotype_scores(self) -> DataFrame:
         """(id, scores, harmonicSum, harmonicSumNorm) from curated class weights."""
@@ -81,7 +87,7 @@ class SafetyPlan:
 
     @cached_property
     def warning_flags(self) -> DataFrame:
-        combined = flags.warning_table(self.assessment, self.i.warnings, self.i.toxicity_classes)
+        combined = flags.warning_table(self.summary, self.i.warnings, self.i.toxicity_classes, count_col="n")
         return combined.withColumnRenamed("targetId", "id")
 
     @cached_property
@@ -99,7 +105,7 @@ class SafetyPlan:
 
     @cached_property
     def disease_types(self) -> DataFrame:
-        return severity.disease_types(self.assessment)
+        return severity.disease_types(self.summary, count_col="n")
 
     @cached_property
     def severity_scores(self) -> DataFrame:
