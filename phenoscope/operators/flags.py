@@ -86,7 +86,7 @@ def phenotype_matrix(phenotypes: DataFrame) -> DataFrame:
 def phenotype_matrix_wide(phenotypes: DataFrame, labels: Sequence[str]) -> DataFrame:
     """D-38 (wide): a 0/1 column per given label, one row per target."""
     wide = (phenotypes.groupBy("targetFromSourceId").pivot("modelPhenotypeLabel", list(labels))
-            .agg(F.countDistinct("targetFromSourceId")))
+            .agg(F.max(F.lit(1))))
     out = [F.col("targetFromSourceId")] + [
         F.coalesce(F.col(f"`{lab}`"), F.lit(0)).cast("int").alias(clean_name(lab)) for lab in labels]
     return wide.select(*out)

@@ -79,6 +79,13 @@ def q_harmonic_sum(spark: SparkSession, sf: str) -> DataFrame:
         r6(F.col("harmonicSumNorm")).alias("harmonicSumNorm"))
 
 
+@query("harmonic_norm")
+def q_harmonic_norm(spark: SparkSession, sf: str) -> DataFrame:
+    """D-17: the harmonic sum over the fixed normaliser, per target."""
+    scored = scoring.with_harmonic(_phenotype_scores(spark, sf))
+    return scored.select("targetFromSourceId", r6(F.col("harmonicSumNorm")).alias("harmonicSumNorm"))
+
+
 def _plan(spark: SparkSession, sf: str):
     from phenoscope.plans.safety import Inputs, SafetyPlan
     return SafetyPlan(Inputs.from_testbed(spark, sf))

@@ -197,6 +197,10 @@ SELECT targetFromSourceId, n_scores, ROUND(harmonic, 6) AS harmonicSum,
        ROUND(harmonic / {norm}, 6) AS harmonicSumNorm
 FROM ({harmonic_by_rank('scored', 'targetFromSourceId', 'score')})"""
 
+    q["harmonic_norm"] = with_ctes(MOPHE, WEIGHTS, SCORED_CLASSES) + f"""
+SELECT targetFromSourceId, ROUND(harmonic / {norm}, 6) AS harmonicSumNorm
+FROM ({harmonic_by_rank('scored', 'targetFromSourceId', 'score')})"""
+
     q.update(build_features())
     q.update(build_doe())
     q.update(build_severity())

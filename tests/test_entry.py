@@ -6,7 +6,7 @@ import __spark_entry__ as E
 def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.count() > 0
-    assert "harmonicSumNorm" in df.columns
+    assert {"harmonicSumNorm", "cal_score", "allBBW", "allWD"} <= set(df.columns)
 
 
 def test_oracle_keys_are_queries():
