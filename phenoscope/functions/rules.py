@@ -148,10 +148,19 @@ def direction_on_trait(source: Column, beta: Column, odds: Column, significances
 # ---------------------------------------------------------------------------
 # D-07 homogenized cell
 # ---------------------------------------------------------------------------
+HOMOGENIZED_CELLS = ("LoF_risk", "LoF_protect", "GoF_risk", "GoF_protect")
+
+
 def homogenized(effect: Column, direction: Column) -> Column:
-    rules = [((effect == e) & (direction == d), f"{e}_{d}")
-             for e, d in (("LoF", "risk"), ("LoF", "protect"), ("GoF", "risk"), ("GoF", "protect"))]
-    return first_match(rules + [(OTHERWISE, "noEvaluable")])
+    """(LoF|GoF) x (risk|protect) -> ``<effect>_<direction>``; anything else noEvaluable.
+
+    Each input is referenced once (a lookup of ``effect_direction`` in a
+    literal map), so the large label expressions are never duplicated when
+    Catalyst collapses the projections.
+    """
+    cells = F.create_map(*[F.lit(x) for c in HOMOGENIZED_CELLS for x in (c, c)])
+    key = F.concat_ws("_", effect, direction)
+    return F.coalesce(F.try_element_at(cells, key), F.lit("noEvaluable"))
 
 
 # ---------------------------------------------------------------------------
