@@ -25,24 +25,41 @@ from pyspark.sql import functions as F
 _BUCKET = "_rt_bucket"
 
 
+def _unit_hash(x: Column) -> Column:
+    """Deterministic pseudo-uniform value in [0, 1) from a column's value."""
+    return F.pmod(F.xxhash64(x), F.lit(1 << 30)).cast("double") / F.lit(float(1 << 30))
+
+
 def quantile_bucket(df: DataFrame, order_col: str, partition_cols: Sequence[str] = (),
                     buckets: int = 256, descending: bool = False,
-                    accuracy: int = 10000) -> DataFrame:
-    """Add ``_rt_bucket``: bucket number monotone in ``order_col`` (per group)."""
-    probs = [i / buckets for i in range(1, buckets)]
-    cuts = F.percentile_approx(F.col(order_col), probs, accuracy).alias("_rt_cuts")
-    if partition_cols:
-        stats = df.groupBy(*partition_cols).agg(cuts)
-        joined = df.join(stats, list(partition_cols), "inner")
-    else:
-        # one row: a proven size bound, so broadcast it
-        joined = df.crossJoin(F.broadcast(df.agg(cuts)))
+                    sample_size: int = 20000) -> DataFrame:
+    """Add ``_rt_bucket``: bucket number monotone in ``order_col`` (per group).
+
+    Boundaries are evenly spaced order statistics of a deterministic sample:
+    the rows whose value hash falls below ``sample_size / group rows``. The
+    sample is the same on every run and every task retry, so a recomputed
+    partition is bucketed exactly like the first time, and its size per
+    group is bounded (about ``sample_size``) whatever the data volume.
+    """
+    parts = list(partition_cols)
     x = F.col(order_col)
+    sizes = df.groupBy(*parts).agg(F.count(F.lit(1)).alias("_rt_n"))
+    # a global size is one row: a proven bound, so broadcast it
+    staged = df.join(sizes, parts, "inner") if parts else df.crossJoin(F.broadcast(sizes))
+    rate = F.least(F.lit(1.0), F.lit(float(sample_size)) / F.col("_rt_n"))
+    sample = staged.filter(x.isNotNull() & (_unit_hash(x) < rate))
+    picked = sample.groupBy(*parts).agg(F.array_sort(F.collect_list(x)).alias("_rt_s"))
+    positions = F.sequence(F.lit(1), F.lit(buckets - 1))
+    cuts = picked.select(*parts, F.filter(F.transform(
+        positions, lambda i: F.try_element_at(
+            F.col("_rt_s"), (F.floor(i * F.size("_rt_s") / F.lit(buckets)) + 1).cast("int"))),
+        lambda c: c.isNotNull()).alias("_rt_cuts"))
+    joined = df.join(cuts, parts, "left") if parts else df.crossJoin(F.broadcast(cuts))
     if descending:
         bucket = F.size(F.filter(F.col("_rt_cuts"), lambda c: c > x))
     else:
         bucket = F.size(F.filter(F.col("_rt_cuts"), lambda c: c < x))
-    return joined.withColumn(_BUCKET, bucket).drop("_rt_cuts")
+    return joined.withColumn(_BUCKET, F.coalesce(bucket, F.lit(0))).drop("_rt_cuts")
 
 
 def running_totals(df: DataFrame, order: Sequence[Column], sum_cols: dict[str, Column],
