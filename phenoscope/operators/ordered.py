@@ -2,8 +2,9 @@
 
 A window with an ORDER BY but no PARTITION BY moves every row to one task.
 ``running_totals`` splits the order into buckets whose boundaries are
-monotone in the ordering key (approximate quantile cut points, or a prefix
-of a hash), so every row of a bucket precedes every row of the next one:
+monotone in the ordering key (order statistics of a deterministic hash
+sample, or a prefix of a hash), so every row of a bucket precedes every
+row of the next one:
 
 1. totals per (group, bucket)                 -- aggregate, map-side combined
 2. offsets = sum of all earlier buckets         -- window over <= ``buckets``
@@ -13,6 +14,8 @@ of a hash), so every row of a bucket precedes every row of the next one:
 
 Ties of the ordering key always share a bucket, and the in-bucket window
 uses the default RANGE frame, so tied rows get the same (inclusive) total.
+Bucket boundaries never depend on task order, so a partition recomputed
+after an executor loss lands in the same buckets as before.
 """
 
 from __future__ import annotations
