@@ -34,9 +34,11 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return v
+        return repr(v)          # exact bits, and -0.0 differs from 0.0
     if hasattr(v, "item"):
         return _norm(v.item())
+    if isinstance(v, int) and not isinstance(v, bool):
+        return v
     return v
 
 
