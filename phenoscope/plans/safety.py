@@ -43,6 +43,38 @@ class Inputs:
         )
 
 
+def inputs_from_release(spark: SparkSession, root: str, release: str, approvals_csv: str,
+                        weights_csv: str | None = None,
+                        toxicity_classes: tuple[str, ...] | None = None) -> Inputs:
+    """Inputs read from a data release laid out as ``<root>/<release>/output/etl/parquet/<dataset>``.
+
+    ``weights_csv`` overrides the shipped curated phenotype weights. The
+    toxicity classes name the warning pivot columns; when not given they are
+    the distinct classes of the warnings table (a small vocabulary, read once).
+    """
+    def path(dataset: str) -> str:
+        return readers.release_path(root, release, dataset)
+
+    warnings = readers.read_drug_warnings(spark, path("drugWarnings"))
+    if toxicity_classes is None:
+        found = warnings.select(F.coalesce("toxicityClass", F.lit("unknown")).alias("c")).distinct()
+        toxicity_classes = tuple(sorted(r.c for r in found.limit(10001).collect()))
+        if len(toxicity_classes) > 10000:
+            raise ValueError("more than 10000 toxicity classes; pass toxicity_classes explicitly")
+    weights = (readers.read_phenotype_weights_csv(spark, weights_csv) if weights_csv
+               else readers.curated_phenotype_weights(spark))
+    return Inputs(
+        evidence=readers.read_evidence(spark, path("evidence")),
+        targets=readers.read_targets(spark, path("targets")),
+        moa=readers.read_mechanism_of_action(spark, path("mechanismOfAction")),
+        phenotypes=readers.read_mouse_phenotypes(spark, path("mousePhenotypes")),
+        warnings=warnings,
+        approvals=readers.read_approvals_csv(spark, approvals_csv),
+        weights=weights,
+        toxicity_classes=toxicity_classes,
+    )
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """Write ``df`` to the session's shared checkpoint folder and cut its lineage.
 

@@ -42,22 +42,24 @@ def _norm(v):
     return v
 
 
-def rows_of(pdf):
-    cols = sorted(pdf.columns)
-    pdf = pdf[cols]
-    out = [tuple(_norm(x) for x in rec) for rec in pdf.itertuples(index=False, name=None)]
+def rows_of(columns, records):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    cols = [columns[i] for i in order]
+    out = [tuple(_norm(rec[i]) for i in order) for rec in records]
     return cols, sorted(out, key=lambda r: tuple((x is None, str(type(x)), x if x is not None else 0) for x in r))
 
 
 def compare(spark, con, name, fn, sql, sf_dir):
     t0 = time.time()
     sdf = fn(spark, sf_dir)
-    s_pdf = sdf.toPandas()
+    s_records = [tuple(r) for r in sdf.collect()]
     t1 = time.time()
-    d_pdf = con.execute(sql).fetchdf()
+    cur = con.execute(sql)
+    d_columns = [d[0] for d in cur.description]
+    d_records = cur.fetchall()
     t2 = time.time()
-    s_cols, s_rows = rows_of(s_pdf)
-    d_cols, d_rows = rows_of(d_pdf)
+    s_cols, s_rows = rows_of(sdf.columns, s_records)
+    d_cols, d_rows = rows_of(d_columns, d_records)
     problems = []
     if s_cols != d_cols:
         problems.append(f"columns {s_cols} vs {d_cols}")
@@ -67,7 +69,7 @@ def compare(spark, con, name, fn, sql, sf_dir):
         diff = [(a, b) for a, b in zip(s_rows, d_rows) if a != b][:3]
         problems.append(f"values differ, e.g. {diff}")
     types = [(f.name, f.dataType.simpleString()) for f in sdf.schema.fields]
-    return problems, len(s_rows), t1 - t0, t2 - t1, types, list(zip(d_pdf.columns, map(str, d_pdf.dtypes)))
+    return problems, len(s_rows), t1 - t0, t2 - t1, types, [(d[0], str(d[1])) for d in cur.description]
 
 
 def main(argv):
