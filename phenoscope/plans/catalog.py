@@ -357,7 +357,10 @@ def q_roc_auc(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("auc_grid")
 def q_auc_grid(spark: SparkSession, sf: str) -> DataFrame:
-    grid = evaluate.auc_grid(TB.labelled_documents(spark, sf), ["y", "y2"], ["score", "score2"], "id", seed=0)
+    from phenoscope.plans.safety import checkpointed
+    # every label's sample and every AUC step re-reads the input: cut it once
+    docs = checkpointed(TB.labelled_documents(spark, sf))
+    grid = evaluate.auc_grid(docs, ["y", "y2"], ["score", "score2"], "id", seed=0)
     return grid.select("label", "predictor", r6(F.col("auc")).alias("auc"), "n")
 
 

@@ -1,7 +1,9 @@
 """End-to-end plans: from input roles to the comparison frame and its evaluation.
 
-``Inputs`` bundles the input frames; ``build_*`` functions compose the
-operators into one lazy plan each. Nothing here runs a job.
+``Inputs`` bundles the input frames; ``SafetyPlan`` composes the operators
+into lazy plans. Jobs run only where a frame is checkpointed before a
+fan-out (``predictor_auc``) and when ``inputs_from_release`` reads the small
+toxicity-class vocabulary.
 """
 
 from __future__ import annotations
