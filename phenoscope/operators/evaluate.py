@@ -12,8 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from phenoscope.operators.ordered import hash_first_n, quantile_bucket, running_totals
-from phenoscope.operators.scoring import attach_scalars
+from phenoscope.operators.ordered import attach_scalars, hash_first_n, quantile_bucket, running_totals
 
 
 def balanced_sample(df: DataFrame, label_col: str, key_col: str, seed: int = 0,

@@ -28,6 +28,18 @@ from pyspark.sql import functions as F
 _BUCKET = "_rt_bucket"
 
 
+def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
+    """Add the columns of a one-row global aggregate to every row of ``df``.
+
+    The row is a scalar subquery (computed once, used as a value), so no
+    join is planned.
+    """
+    cols = one_row.columns
+    packed = one_row.select(F.struct(*cols).alias("_scalars")).scalar()
+    staged = df.withColumn("_scalars", packed)
+    return staged.withColumns({c: F.col(f"_scalars.{c}") for c in cols}).drop("_scalars")
+
+
 def _unit_hash(x: Column) -> Column:
     """Deterministic pseudo-uniform value in [0, 1) from a column's value."""
     return F.pmod(F.xxhash64(x), F.lit(1 << 30)).cast("double") / F.lit(float(1 << 30))
@@ -47,8 +59,7 @@ def quantile_bucket(df: DataFrame, order_col: str, partition_cols: Sequence[str]
     parts = list(partition_cols)
     x = F.col(order_col)
     sizes = df.groupBy(*parts).agg(F.count(F.lit(1)).alias("_rt_n"))
-    # a global size is one row: a proven bound, so broadcast it
-    staged = df.join(sizes, parts, "inner") if parts else df.crossJoin(F.broadcast(sizes))
+    staged = df.join(sizes, parts, "inner") if parts else attach_scalars(df, sizes)
     rate = F.least(F.lit(1.0), F.lit(float(sample_size)) / F.col("_rt_n"))
     sample = staged.filter(x.isNotNull() & (_unit_hash(x) < rate))
     picked = sample.groupBy(*parts).agg(F.array_sort(F.collect_list(x)).alias("_rt_s"))
@@ -57,7 +68,7 @@ def quantile_bucket(df: DataFrame, order_col: str, partition_cols: Sequence[str]
         positions, lambda i: F.try_element_at(
             F.col("_rt_s"), (F.floor(i * F.size("_rt_s") / F.lit(buckets)) + 1).cast("int"))),
         lambda c: c.isNotNull()).alias("_rt_cuts"))
-    joined = df.join(cuts, parts, "left") if parts else df.crossJoin(F.broadcast(cuts))
+    joined = df.join(cuts, parts, "left") if parts else attach_scalars(df, cuts)
     if descending:
         bucket = F.size(F.filter(F.col("_rt_cuts"), lambda c: c > x))
     else:
@@ -144,7 +155,7 @@ def exact_cut_points(df: DataFrame, value_col: str, num_bins: int,
     bucketed = quantile_bucket(values, "_x", buckets=buckets)
     cum = running_totals(bucketed, order=[F.col("_x")], sum_cols={"_cum": F.col("_cnt")},
                          bucket=F.col(_BUCKET), max_buckets=buckets).drop(_BUCKET)
-    hits = cum.crossJoin(F.broadcast(ranks)).select(
+    hits = attach_scalars(cum, ranks).select(
         "_x", F.size(F.filter(F.col("_ranks"), lambda k: (k > F.col("_cum") - F.col("_cnt"))
                               & (k <= F.col("_cum")))).alias("_times"))
     picked = hits.filter(F.col("_times") > 0).select(

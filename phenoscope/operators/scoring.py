@@ -12,17 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from phenoscope.functions import harmonic as H
-from phenoscope.operators.ordered import exact_cut_points
-
-
-def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Put the columns of a one-row global aggregate beside every row.
-
-    ``one_row`` must be an ungrouped aggregate, so its size bound is one
-    row and it is broadcast; the plan is a BroadcastNestedLoopJoin against
-    a single row, i.e. a projection.
-    """
-    return df.crossJoin(F.broadcast(one_row))
+from phenoscope.operators.ordered import attach_scalars, exact_cut_points
 
 
 def score_multiset(df: DataFrame, key_cols: Sequence[str], score_col: str,
