@@ -14,7 +14,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from phenoscope.functions import constants as K
 
 
 def clean_name(value: str) -> str:
@@ -90,18 +89,3 @@ def phenotype_matrix_wide(phenotypes: DataFrame, labels: Sequence[str]) -> DataF
     out = [F.col("targetFromSourceId")] + [
         F.coalesce(F.col(f"`{lab}`"), F.lit(0)).cast("int").alias(clean_name(lab)) for lab in labels]
     return wide.select(*out)
-
-
-def warning_table(assessment: DataFrame, warnings: DataFrame, classes: Sequence[str],
-                  count_col: str | None = None) -> DataFrame:
-    """D-21..D-24 together: LoF drugs -> warnings -> per-class flags -> combined."""
-    pairs = drugs_by_effect(assessment, count_col=count_col)
-    tw = attach_warnings_frame(pairs, warnings)
-    bbw = warning_flags(tw, K.BLACK_BOX_WARNING, "_BBW", classes)
-    wd = warning_flags(tw, K.WITHDRAWN, "_WD", classes)
-    return combine_flags(wd, bbw)
-
-
-def attach_warnings_frame(pairs: DataFrame, warnings: DataFrame) -> DataFrame:
-    from phenoscope.operators.nested import attach_warnings
-    return attach_warnings(pairs, warnings)

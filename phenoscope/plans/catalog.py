@@ -128,8 +128,7 @@ def q_liability_count(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("liability_count_strict")
 def q_liability_count_strict(spark: SparkSession, sf: str) -> DataFrame:
-    from phenoscope.functions.constants import LIABILITY_EXCLUDED_STRICT
-    return nested.liability_count(TB.targets(spark, sf), LIABILITY_EXCLUDED_STRICT, "noToxCast")
+    return nested.liability_count(TB.targets(spark, sf), K.LIABILITY_EXCLUDED_STRICT, "noToxCast")
 
 
 @query("constraint_lof")

@@ -121,8 +121,12 @@ class SafetyPlan:
 
     @cached_property
     def warning_flags(self) -> DataFrame:
-        combined = flags.warning_table(self.summary, self.i.warnings, self.i.toxicity_classes, count_col="n")
-        return combined.withColumnRenamed("targetId", "id")
+        """D-21..D-24: LoF drugs -> their warnings -> per-class flags -> combined."""
+        pairs = flags.drugs_by_effect(self.summary, count_col="n")
+        target_warnings = nested.attach_warnings(pairs, self.i.warnings)
+        bbw = flags.warning_flags(target_warnings, K.BLACK_BOX_WARNING, "_BBW", self.i.toxicity_classes)
+        wd = flags.warning_flags(target_warnings, K.WITHDRAWN, "_WD", self.i.toxicity_classes)
+        return flags.combine_flags(wd, bbw).withColumnRenamed("targetId", "id")
 
     @cached_property
     def comparison(self) -> DataFrame:
