@@ -2,8 +2,9 @@
 
 D-21 drugs_by_effect, D-23 warning_flags, D-24 combine_flags,
 D-27 presence_flags, D-33 binarise, D-38 phenotype_matrix(_wide).
-Pivots always receive explicit values, so no extra job collects the
-distinct values and the output schema does not depend on the data.
+Pivots always take explicit values, written as one conditional aggregation
+(one shuffle, no job to discover the values); the output schema never
+depends on the data.
 """
 
 from __future__ import annotations
@@ -41,12 +42,10 @@ def warning_flags(target_warnings: DataFrame, warning: str, suffix: str,
     """
     rows = target_warnings.filter(F.col("warningType") == warning).withColumn(
         "_cls", F.coalesce(F.col("toxicityClass"), F.lit("unknown")))
-    wide = rows.groupBy(key).pivot("_cls", list(classes)).agg(F.max(F.lit(1)))
-    out = [F.col(key)]
-    for cls in classes:
-        out.append(F.coalesce(F.col(f"`{cls}`"), F.lit(0)).cast("int").alias(f"{clean_name(cls)}{suffix}"))
-    out.append(F.lit(1).alias("all" + suffix.lstrip("_")))
-    return wide.select(*out)
+    # a pivot with fixed values, written as one conditional aggregation
+    flags = [F.max(F.when(F.col("_cls") == cls, F.lit(1)).otherwise(F.lit(0))).alias(f"{clean_name(cls)}{suffix}")
+             for cls in classes]
+    return rows.groupBy(key).agg(*flags).withColumn("all" + suffix.lstrip("_"), F.lit(1))
 
 
 def combine_flags(withdrawn: DataFrame, black_box: DataFrame, key: str = "targetId") -> DataFrame:
@@ -84,8 +83,6 @@ def phenotype_matrix(phenotypes: DataFrame) -> DataFrame:
 
 def phenotype_matrix_wide(phenotypes: DataFrame, labels: Sequence[str]) -> DataFrame:
     """D-38 (wide): a 0/1 column per given label, one row per target."""
-    wide = (phenotypes.groupBy("targetFromSourceId").pivot("modelPhenotypeLabel", list(labels))
-            .agg(F.max(F.lit(1))))
-    out = [F.col("targetFromSourceId")] + [
-        F.coalesce(F.col(f"`{lab}`"), F.lit(0)).cast("int").alias(clean_name(lab)) for lab in labels]
-    return wide.select(*out)
+    label = F.col("modelPhenotypeLabel")
+    cols = [F.max(F.when(label == lab, F.lit(1)).otherwise(F.lit(0))).alias(clean_name(lab)) for lab in labels]
+    return phenotypes.groupBy("targetFromSourceId").agg(*cols)
