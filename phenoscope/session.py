@@ -48,13 +48,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
     Only when none is configured (local tests) a scratch folder is created.
     """
-    current = spark.sparkContext.getCheckpointDir()
+    try:
+        context = spark.sparkContext
+    except Exception:  # a Spark Connect session: the server manages checkpoints
+        return spark.conf.get("spark.checkpoint.dir", "")
+    current = context.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
-        spark.sparkContext.setCheckpointDir(configured)
+        context.setCheckpointDir(configured)
         return configured
     local = tempfile.mkdtemp(prefix="phenoscope-ckpt-")
-    spark.sparkContext.setCheckpointDir(local)
+    context.setCheckpointDir(local)
     return local
