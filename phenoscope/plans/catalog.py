@@ -375,6 +375,12 @@ def q_phenotype_matrix(spark: SparkSession, sf: str) -> DataFrame:
     return flags.phenotype_matrix(TB.mouse_phenotypes(spark, sf))
 
 
+@query("phenotype_matrix_wide")
+def q_phenotype_matrix_wide(spark: SparkSession, sf: str) -> DataFrame:
+    """D-38 (wide): one 0/1 column per given phenotype label, one row per target."""
+    return flags.phenotype_matrix_wide(TB.mouse_phenotypes(spark, sf), PHENOTYPE_LABELS)
+
+
 @query("split_train_test")
 def q_split_train_test(spark: SparkSession, sf: str) -> DataFrame:
     docs = TB.labelled_documents(spark, sf).select("id", "y")

@@ -297,6 +297,11 @@ SELECT id, ROUND(cal_score, 6) AS cal_score, constraintType FROM tol"""
 SELECT DISTINCT targetFromSourceId, modelPhenotypeLabel, 1 AS value
 FROM mophe WHERE modelPhenotypeLabel IS NOT NULL"""
 
+    from phenoscope.plans.catalog import PHENOTYPE_LABELS
+    q["phenotype_matrix_wide"] = with_ctes(MOPHE) + "\nSELECT targetFromSourceId, " + ", ".join(
+        f"MAX(CASE WHEN modelPhenotypeLabel = {lit(x)} THEN 1 ELSE 0 END) AS {_clean(x)}"
+        for x in PHENOTYPE_LABELS) + "\nFROM mophe GROUP BY targetFromSourceId"
+
     q["quantile_bins"] = with_ctes(MOPHE, WEIGHTS, SCORED_CLASSES, HARMONIC_SCORES) + """
 , s AS (SELECT id, ROUND(harmonicSumNorm, 6) AS x FROM hs)
 , o AS (SELECT x, ROW_NUMBER() OVER (ORDER BY x) AS rn, COUNT(*) OVER () AS n FROM s WHERE x IS NOT NULL)
