@@ -83,3 +83,25 @@ def test_quantile_bins_approx_range(spark):
     df = spark.createDataFrame([(i, float(i)) for i in range(1000)], "id int, x double")
     bins = [r.b for r in scoring.quantile_bins_approx(df, "x", "b").collect()]
     assert min(bins) == 1 and max(bins) == 10
+
+
+def test_harmonic_invariant_under_order_and_monotone(spark):
+    rng = random.Random(21)
+    scores = [rng.choice([0.0, 0.25, 0.5, 0.75, 1.0]) for _ in range(60)]
+    shuffled = scores[:]
+    rng.shuffle(shuffled)
+    raised = scores[:]
+    raised[7] = min(1.0, raised[7] + 0.25)
+    rows = [("a", s) for s in scores] + [("b", s) for s in shuffled] + [("c", s) for s in raised]
+    df = spark.createDataFrame(rows, "k string, s double")
+    got = {r.k: r.harmonicSum for r in scoring.with_harmonic(scoring.score_multiset(df, ["k"], "s")).collect()}
+    assert got["a"] == got["b"]
+    assert got["c"] >= got["a"]
+    assert max(scores) <= got["a"] <= 1.645 * max(scores)
+
+
+def test_minmax_within_bounds(spark):
+    rng = random.Random(4)
+    df = spark.createDataFrame([(i, rng.randint(-50, 50)) for i in range(500)], "id int, r int")
+    vals = [r.x for r in scoring.minmax_scale(df, "r", "x").collect()]
+    assert min(vals) == -1.0 and max(vals) == 1.0 and all(-1.0 <= v <= 1.0 for v in vals)
