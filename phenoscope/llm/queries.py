@@ -11,9 +11,15 @@ from phenoscope.llm.bpe import bpe_encode_decode
 from phenoscope.llm.common import read_table
 from phenoscope.llm.language_id import identify_language
 from phenoscope.llm.simhash import simhash_dedup
+from phenoscope.llm.substring_dedup import substring_dedup
 from phenoscope.llm.toxicity import score_toxicity
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup(read_table(spark, sf_dir, "documents"), k=50)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken")
@@ -60,7 +66,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op3_mix_sources, op4_simhash_dedup, op5_toxicity, op6_language_id, op7_chat_format, op9_exact_dedup, op10_bpe)}
+    op2_substring_dedup, op3_mix_sources, op4_simhash_dedup, op5_toxicity, op6_language_id, op7_chat_format, op9_exact_dedup, op10_bpe)}
 
 ORACLE_SQL = {
     "op3_mix_sources": mixing.ORACLE_SQL,

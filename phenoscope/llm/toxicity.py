@@ -54,7 +54,7 @@ def terms_of(text: Column, prefixes: tuple[int, ...]) -> Column:
     return F.array_distinct(F.concat(F.transform(words, lambda w: F.concat(w, F.lit("$"))), *begin))
 
 
-def learn_terms(labelled: DataFrame, most: int, least_docs: int = 12, odds: float = 3.0,
+def learn_terms(labelled: DataFrame, most: int, least_docs: int = 5, odds: float = 3.0,
                 prefixes: tuple[int, ...] = (4, 5, 6)) -> list[str]:
     """At most ``most`` terms of ``(text, label)`` rows whose smoothed log odds ratio for label 1 is over ``odds``."""
     n1, n0 = labelled.agg(F.coalesce(F.sum("label"), F.lit(0)), F.count(F.lit(1)) - F.coalesce(F.sum("label"), F.lit(0))).first()
@@ -126,14 +126,14 @@ def with_features(rows: DataFrame, learned: list[str]) -> DataFrame:
     return rows.select("_id", "_text").mapInArrow(run, schema)
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, usable: Column, max_train: int = 16_000, max_terms: int = 600,
+def score_toxicity(docs: DataFrame, labels: DataFrame, usable: Column, max_train: int = 16_000, max_terms: int = 1000,
                    seed: int = 5, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
     """One row per input row: ``(id, score, predicted)``.
 
     ``labels`` holds ``(id, label 0/1)``; only labelled rows for which
     ``usable`` (a condition on the id) holds are learned from, and of those at
     most about ``max_train``, drawn by a hash of the id. The sample is dealt by
-    another hash: two fifths learn terms, two fifths grow trees, one fifth
+    another hash: a half learns terms, three tenths grow trees, one fifth
     calibrates. The model is a bounded number of terms and trees whatever the input.
 
     ``score`` is the calibrated probability of label 1, ``predicted`` is 1 from
@@ -153,11 +153,11 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, usable: Column, max_train
     picked = written(known.filter(unit_interval(F.col("_id"), seed) < rate), "picked")
     sample = written(picked.join(rows, "_id").select(
         "_id", "_text", "label", unit_interval(F.col("_id"), seed + 1).alias("part")), "sample")
-    learned = learn_terms(sample.filter("part < 0.4").select(F.col("_text").alias("text"), "label"), max_terms)
+    learned = learn_terms(sample.filter("part < 0.5").select(F.col("_text").alias("text"), "label"), max_terms)
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
     fit = written(with_features(sample, learned).join(sample.select("_id", "label", "part").distinct(), "_id"), "features")
     train, calibrate = (vectors.transform(fit.filter(c)).withColumn("label", F.col("label").cast("double"))
-                        for c in ("part >= 0.4 and part < 0.8", "part >= 0.8"))
+                        for c in ("part >= 0.5 and part < 0.8", "part >= 0.8"))
     classes = [{r.label for r in x.select("label").distinct().collect()} for x in (train, calibrate)]
     features = vectors.transform(with_features(rows, learned))
     if any(len(c) < 2 for c in classes):
