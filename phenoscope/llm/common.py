@@ -93,6 +93,25 @@ def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Tabl
         yield pa.Table.from_batches(held)
 
 
+def star_edges(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Fewest edges with the components of the links ``a[i] - b[i]``: each member to its smallest."""
+    names, at = np.unique(np.concatenate((a, b)), return_inverse=True)
+    x, y = at[:len(a)], at[len(a):]
+    label = np.arange(len(names))
+    while True:
+        low = np.minimum(label[x], label[y])
+        new = label.copy()
+        np.minimum.at(new, x, low)
+        np.minimum.at(new, y, low)
+        np.minimum.at(new, label, new[np.arange(len(names))])
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    more = np.flatnonzero(label != np.arange(len(names)))
+    return names[label[more]], names[more]
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of an undirected edge list, as a union-find in joins.
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from phenoscope.llm import chat_format, exact_dedup, mixing
 from phenoscope.llm.bpe import bpe_encode_decode
 from phenoscope.llm.common import read_table
+from phenoscope.llm.embedding_dedup import embedding_dedup
 from phenoscope.llm.language_id import identify_language
 from phenoscope.llm.simhash import simhash_dedup
 from phenoscope.llm.substring_dedup import substring_dedup
@@ -55,6 +56,10 @@ def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.read_back(chat_format.format_chats(turns.unionByName(probe), path), path)
 
 
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup(read_table(spark, sf_dir, "embeddings"), cosine=0.95)
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(read_table(spark, sf_dir, "documents"))
 
@@ -66,7 +71,8 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_substring_dedup, op3_mix_sources, op4_simhash_dedup, op5_toxicity, op6_language_id, op7_chat_format, op9_exact_dedup, op10_bpe)}
+    op2_substring_dedup, op3_mix_sources, op4_simhash_dedup, op5_toxicity, op6_language_id, op7_chat_format,
+    op8_embedding_dedup, op9_exact_dedup, op10_bpe)}
 
 ORACLE_SQL = {
     "op3_mix_sources": mixing.ORACLE_SQL,

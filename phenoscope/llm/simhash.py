@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from phenoscope.llm.common import components, runs, written
+from phenoscope.llm.common import components, runs, star_edges, written
 
 BITS = 64
 #: Members of one key compared in one piece; larger keys are dealt out in pairs of pieces.
@@ -75,48 +75,24 @@ def variants(fps: DataFrame, max_bits: int) -> DataFrame:
     return fps.select("fp", F.explode(F.array(*keys)).alias("key"))
 
 
-def _forest(near: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
-    """Edges of a spanning forest of the links ``near[i, j]`` of left[i] with right[j]."""
-    edges, place = [], {}
-    parent: list[int] = []
-
-    def root(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
-
-    for i, j in zip(*np.nonzero(near)):
-        a, b = int(left[i]), int(right[j])
-        for v in (a, b):
-            if v not in place:
-                place[v] = len(parent)
-                parent.append(place[v])
-        x, y = root(place[a]), root(place[b])
-        if x != y:
-            parent[max(x, y)] = min(x, y)
-            edges.append((min(a, b), max(a, b)))
-    return edges
-
-
 def near_pairs(left: np.ndarray, right: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
-    """Edges that connect what ``left`` x ``right`` links connect; at most one a member."""
+    """Edges with the components of the ``left`` x ``right`` links, linear in the members."""
     edges: list[tuple[int, int]] = []
     for i in range(0, len(left), 256):
         block = left[i:i + 256]
         near = np.bitwise_count(block.view(np.uint64)[:, None] ^ right.view(np.uint64)[None]) <= max_bits
-        near &= block[:, None] != right[None]
-        if near.any():
-            edges += _forest(near, block, right)
+        x, y = np.nonzero(near)
+        a, b = star_edges(block[x], right[y])
+        edges += zip(a.tolist(), b.tolist())
     return edges
 
 
 def links(fps: DataFrame, max_bits: int) -> DataFrame:
     """``(a, b)``: edges between distinct fingerprints with the components of all links.
 
-    Each is a true link (at most ``max_bits`` differing bits); links that the
-    edges of one key already imply are left out, so the rows are linear in the
-    members of a key. A key with more than ``PIECE`` members is cut into pieces
+    Every link (at most ``max_bits`` differing bits) between members of a key is
+    verified, but only stars over what they connect are returned, so the rows
+    are linear in the members of a key. A key with more than ``PIECE`` members is cut into pieces
     by a hash, and each pair of pieces is a task's unit of its own.
     """
     keyed = variants(fps, max_bits)
