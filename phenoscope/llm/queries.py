@@ -11,11 +11,16 @@ from phenoscope.llm.bpe import bpe_encode_decode
 from phenoscope.llm.common import read_table
 from phenoscope.llm.embedding_dedup import embedding_dedup
 from phenoscope.llm.language_id import identify_language
+from phenoscope.llm.line_dedup import line_digest
 from phenoscope.llm.simhash import simhash_dedup
 from phenoscope.llm.substring_dedup import substring_dedup
 from phenoscope.llm.toxicity import score_toxicity
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_digest(read_table(spark, sf_dir, "documents"), similarity=0.8)
+
+
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substring_dedup(read_table(spark, sf_dir, "documents"), k=50)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -71,7 +76,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_substring_dedup, op3_mix_sources, op4_simhash_dedup, op5_toxicity, op6_language_id, op7_chat_format,
+    op1_line_dedup, op2_substring_dedup, op3_mix_sources, op4_simhash_dedup, op5_toxicity, op6_language_id, op7_chat_format,
     op8_embedding_dedup, op9_exact_dedup, op10_bpe)}
 
 ORACLE_SQL = {
