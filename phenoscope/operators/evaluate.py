@@ -7,7 +7,7 @@ keeps the negatives with the smallest seeded hash.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,17 +16,17 @@ from phenoscope.operators.ordered import attach_scalars, hash_first_n, quantile_
 
 
 def balanced_sample(df: DataFrame, label_col: str, key_col: str, seed: int = 0,
-                    n: int | None = None) -> DataFrame:
+                    n: int | DataFrame | None = None) -> DataFrame:
     """D-34: every positive (y=1) plus up to ``n`` negatives (y=0).
 
     Negatives are taken in the order of md5(key:seed), ties by key, so the
-    sample is the same on every run and after any task retry. ``n`` defaults
-    to the number of positives.
+    sample is the same on every run and after any task retry. ``n`` is a number
+    or a frame of one row and column, by default the number of positives.
     """
     pos = df.filter(F.col(label_col) == 1).withColumn("y", F.lit(1))
     neg = df.filter(F.col(label_col) == 0)
-    if n is None:
-        count = pos.agg(F.count(F.lit(1)).alias("_n"))
+    if n is None or isinstance(n, DataFrame):
+        count = pos.agg(F.count(F.lit(1)).alias("_n")) if n is None else n.toDF("_n")
         picked = hash_first_n(attach_scalars(neg, count), key_col, seed, F.col("_n")).drop("_n")
     else:
         picked = hash_first_n(neg, key_col, seed, n)
@@ -53,9 +53,17 @@ def _cumulative(counts: DataFrame, group_cols: Sequence[str], buckets: int) -> D
 
 def roc_curve(df: DataFrame, y_col: str, score_col: str, group_cols: Sequence[str] = (),
               buckets: int = 64) -> DataFrame:
-    """D-35: one ROC point per distinct score, taken as threshold (score >= t)."""
+    """D-35: one ROC point per distinct score, taken as threshold (score >= t).
+
+    The curve of every group starts at (0, 0), the point of the threshold
+    infinity, which no score reaches. Without positives (negatives) the true
+    (false) positive rate is null.
+    """
     counts = score_counts(df, y_col, score_col, group_cols)
-    cum = _cumulative(counts, group_cols, buckets)
+    start = counts.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 0").select(
+        *group_cols, F.lit(float("inf")).alias("threshold"), F.lit(0).cast("long").alias("pos"),
+        F.lit(0).cast("long").alias("neg"))
+    cum = _cumulative(counts.unionByName(start), group_cols, buckets)
     return cum.select(*group_cols, "threshold", "tp", "fp",
                       F.try_divide(F.col("tp"), F.col("P")).alias("tpr"),
                       F.try_divide(F.col("fp"), F.col("N")).alias("fpr"))
@@ -65,14 +73,15 @@ def roc_auc(df: DataFrame, y_col: str, score_col: str, group_cols: Sequence[str]
             buckets: int = 64) -> DataFrame:
     """D-36: area under the ROC curve per group, ties counted one half.
 
-    AUC = sum over distinct scores s of pos(s) * (negatives below s + neg(s)/2) / (P*N).
+    AUC = sum over distinct scores s of pos(s) * (negatives below s + neg(s)/2) / (P*N),
+    in double, since the products outgrow a long from some 10^9 rows on.
     """
     counts = score_counts(df, y_col, score_col, group_cols)
     cum = _cumulative(counts, group_cols, buckets)
-    below = F.col("N") - F.col("fp")
-    part = F.col("pos") * below + F.lit(0.5) * F.col("pos") * F.col("neg")
+    pos, below = F.col("pos").cast("double"), (F.col("N") - F.col("fp")).cast("double")
+    part = pos * below + F.lit(0.5) * pos * F.col("neg")
     return cum.groupBy(*group_cols).agg(
-        F.try_divide(F.sum(part), F.first("P") * F.first("N")).alias("auc"),
+        F.try_divide(F.sum(part), F.first("P").cast("double") * F.first("N").cast("double")).alias("auc"),
         F.first("P").alias("n_pos"), F.first("N").alias("n_neg"))
 
 
@@ -85,19 +94,23 @@ def long_scores(df: DataFrame, key_col: str, y_col: str, predictors: Sequence[st
 
 
 def auc_grid(df: DataFrame, labels: Sequence[str], predictors: Sequence[str], key_col: str,
-             seed: int = 0, balanced: bool = True) -> DataFrame:
+             seed: int = 0, balanced: bool = True,
+             negatives: Mapping[str, int | DataFrame] | None = None) -> DataFrame:
     """D-37: AUC of every predictor for every outcome label.
 
     Rows with a null predictor are left out. With ``balanced`` each label
-    gets its own balanced sample (D-34) before the AUCs are taken.
+    gets its own balanced sample (D-34) before the AUCs are taken;
+    ``negatives`` gives a label's number of negatives, as a number or as a frame
+    of one row and column (its number of positives where not given).
     """
+    sizes = dict(negatives or {})
     working = df
     for p in predictors:
         working = working.filter(F.col(p).isNotNull())
     parts = []
     for label in labels:
         if balanced:
-            sample = balanced_sample(working, label, key_col, seed)
+            sample = balanced_sample(working, label, key_col, seed, sizes.get(label))
         else:
             sample = working.withColumn("y", F.col(label))
         parts.append(long_scores(sample, key_col, "y", predictors).withColumn("label", F.lit(label)))
@@ -108,9 +121,14 @@ def auc_grid(df: DataFrame, labels: Sequence[str], predictors: Sequence[str], ke
     return auc.withColumn("n", F.col("n_pos") + F.col("n_neg"))
 
 
-def feature_counts(df: DataFrame, labels: Sequence[str], predictors: Sequence[str]) -> DataFrame:
-    """D-43: one row: positives per outcome flag, nulls per predictor, all rows."""
+def feature_counts(df: DataFrame, labels: Sequence[str], predictors: Sequence[str],
+                   within: Column | None = None) -> DataFrame:
+    """D-43: one row: positives per outcome flag, nulls per predictor, all rows.
+
+    Positives are counted among the rows for which ``within`` holds (all by default).
+    """
+    inside = F.lit(True) if within is None else within
     aggs: list[Column] = [F.count(F.lit(1)).alias("n_rows")]
-    aggs += [F.count_if(F.col(lab) == 1).alias(f"pos_{lab}") for lab in labels]
+    aggs += [F.count_if(inside & (F.col(lab) == 1)).alias(f"pos_{lab}") for lab in labels]
     aggs += [F.count_if(F.col(p).isNull()).alias(f"null_{p}") for p in predictors]
     return df.agg(*aggs)

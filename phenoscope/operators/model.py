@@ -1,38 +1,45 @@
 """Linear classifier on the phenotype matrix (D-39..D-42), with MLlib.
 
-The frame stays a DataFrame up to the MLlib border; features become a
-vector only inside the pipeline.
+Features are the phenotype labels of a target, turned into a 0/1 vector over a
+vocabulary fitted to the data, so that no label list has to be given.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import CountVectorizer, StringIndexer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from phenoscope.operators.evaluate import roc_auc
 from phenoscope.operators.ordered import hash_key
 
-LABEL = "clase"
-FEATURES = "atributos"
+LABEL = "label"
+FEATURES = "features"
+LABELS = "labels"
+#: Phenotype labels that the model knows at most (the most frequent ones).
+VOCABULARY = 1 << 16
 
 
 def feature_frame(labelled: DataFrame, matrix: DataFrame, key: str = "id") -> DataFrame:
-    """D-39 (data part): labelled rows beside their 0/1 phenotype columns; missing -> 0."""
-    joined = labelled.join(matrix, on=key, how="left")
-    feature_cols = [c for c in matrix.columns if c != key]
-    return joined.na.fill(0, subset=feature_cols)
+    """D-39 (data part): labelled rows with the array of their phenotype labels (empty if none).
+
+    ``matrix`` is the long phenotype matrix (target, label), one row per distinct pair.
+    """
+    sets = matrix.groupBy(F.col("targetFromSourceId").alias(key)).agg(
+        F.array_sort(F.collect_list("modelPhenotypeLabel")).alias(LABELS))
+    joined = labelled.join(sets, on=key, how="left")
+    return joined.withColumn(LABELS, F.coalesce(LABELS, F.array().cast("array<string>")))
 
 
-def feature_stages(feature_cols: Sequence[str], y_col: str = "y"):
-    """D-39 (ML part): label index (0 stays class 0) and the feature vector."""
+def feature_stages(y_col: str = "y", vocabulary: int = VOCABULARY):
+    """D-39 (ML part): label index (0 stays class 0) and the 0/1 vector over the fitted vocabulary."""
     indexer = StringIndexer(inputCol=y_col, outputCol=LABEL, stringOrderType="alphabetAsc")
-    assembler = VectorAssembler(inputCols=list(feature_cols), outputCol=FEATURES, handleInvalid="keep")
-    return [indexer, assembler]
+    vectors = CountVectorizer(inputCol=LABELS, outputCol=FEATURES, binary=True, vocabSize=vocabulary)
+    return [indexer, vectors]
 
 
 def split_train_test(df: DataFrame, key: str, seed: int = 2020, train_fraction: float = 0.7):
@@ -43,18 +50,31 @@ def split_train_test(df: DataFrame, key: str, seed: int = 2020, train_fraction:
             staged.filter(F.col("_u") >= train_fraction).drop("_u"))
 
 
-def linear_svm(train: DataFrame, feature_cols: Sequence[str], y_col: str = "y",
-               max_iter: int = 10) -> PipelineModel:
+def linear_svm(train: DataFrame, y_col: str = "y", max_iter: int = 10) -> PipelineModel:
     """D-41: index label, assemble features, fit a linear SVM."""
     svm = LinearSVC(featuresCol=FEATURES, labelCol=LABEL, maxIter=max_iter)
-    return Pipeline(stages=feature_stages(feature_cols, y_col) + [svm]).fit(train)
+    return Pipeline(stages=feature_stages(y_col) + [svm]).fit(train)
 
 
 def classifier_metrics(predictions: DataFrame) -> dict[str, float]:
     """D-42: ROC AUC, accuracy, F1, weighted precision and recall."""
     out = {"areaUnderROC": BinaryClassificationEvaluator(
-        labelCol=LABEL, rawPredictionCol="rawPrediction", metricName="areaUnderROC").evaluate(predictions)}
+        labelCol=LABEL, rawPredictionCol="rawPrediction", metricName="areaUnderROC", numBins=0).evaluate(predictions)}
     multi = MulticlassClassificationEvaluator(labelCol=LABEL, predictionCol="prediction")
     for metric in ("accuracy", "f1", "weightedPrecision", "weightedRecall"):
         out[metric] = multi.evaluate(predictions, {multi.metricName: metric})
     return out
+
+
+def counted_metrics(predictions: DataFrame) -> dict[str, float]:
+    """The metrics of ``classifier_metrics`` from the four confusion counts and the rank formula of the AUC."""
+    scored = predictions.select(LABEL, "prediction", vector_to_array("rawPrediction")[1].alias("score"))
+    true, guess = F.col(LABEL) == 1, F.col("prediction") == 1
+    tp, fp, fn, tn = scored.agg(*[F.count_if(c) for c in (true & guess, ~true & guess, true & ~guess, ~true & ~guess)]).first()
+    n = tp + fp + fn + tn
+    precision, recall = zip(*((hit / max(1, hit + wrong), hit / max(1, hit + missed)) for hit, wrong, missed in ((tn, fn, fp), (tp, fp, fn))))
+    f1 = [2 * p * r / (p + r) if p + r else 0.0 for p, r in zip(precision, recall)]
+    share = ((tn + fp) / n, (tp + fn) / n)
+    mean = lambda values: sum(w * v for w, v in zip(share, values))
+    return {"areaUnderROC": roc_auc(scored, LABEL, "score").first().auc, "accuracy": (tp + tn) / n, "f1": mean(f1),
+            "weightedPrecision": mean(precision), "weightedRecall": mean(recall)}

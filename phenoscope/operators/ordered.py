@@ -12,8 +12,10 @@ row of the next one:
 3. per row: offset + running sum inside bucket  -- window partitioned by
                                                    (group, bucket)
 
-Ties of the ordering key always share a bucket, and the in-bucket window
-uses the default RANGE frame, so tied rows get the same (inclusive) total.
+Ties of the ordering key always share a bucket. By default the in-bucket
+window has a RANGE frame, so tied rows get the same (inclusive) total; with
+``ties=False`` every row gets its own. Groups are joined null-safe, so rows
+whose group columns are null form a group like any other.
 Bucket boundaries never depend on task order, so a partition recomputed
 after an executor loss lands in the same buckets as before.
 """
@@ -40,6 +42,15 @@ def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return staged.withColumns({c: F.col(f"_scalars.{c}") for c in cols}).drop("_scalars")
 
 
+def join_groups(df: DataFrame, per_group: DataFrame, cols: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join ``per_group`` (one row a group) on ``cols``, null equal to null."""
+    renamed = per_group.withColumnsRenamed({c: f"_g_{c}" for c in cols})
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & df[c].eqNullSafe(renamed[f"_g_{c}"])
+    return df.join(renamed, cond, how).drop(*[f"_g_{c}" for c in cols])
+
+
 def _unit_hash(x: Column) -> Column:
     """Deterministic pseudo-uniform value in [0, 1) from a column's value."""
     return F.pmod(F.xxhash64(x), F.lit(1 << 30)).cast("double") / F.lit(float(1 << 30))
@@ -59,7 +70,7 @@ def quantile_bucket(df: DataFrame, order_col: str, partition_cols: Sequence[str]
     parts = list(partition_cols)
     x = F.col(order_col)
     sizes = df.groupBy(*parts).agg(F.count(F.lit(1)).alias("_rt_n"))
-    staged = df.join(sizes, parts, "inner") if parts else attach_scalars(df, sizes)
+    staged = join_groups(df, sizes, parts) if parts else attach_scalars(df, sizes)
     rate = F.least(F.lit(1.0), F.lit(float(sample_size)) / F.col("_rt_n"))
     sample = staged.filter(x.isNotNull() & (_unit_hash(x) < rate))
     picked = sample.groupBy(*parts).agg(F.array_sort(F.collect_list(x)).alias("_rt_s"))
@@ -68,7 +79,7 @@ def quantile_bucket(df: DataFrame, order_col: str, partition_cols: Sequence[str]
         positions, lambda i: F.try_element_at(
             F.col("_rt_s"), (F.floor(i * F.size("_rt_s") / F.lit(buckets)) + 1).cast("int"))),
         lambda c: c.isNotNull()).alias("_rt_cuts"))
-    joined = df.join(cuts, parts, "left") if parts else attach_scalars(df, cuts)
+    joined = join_groups(df, cuts, parts, "left") if parts else attach_scalars(df, cuts)
     if descending:
         bucket = F.size(F.filter(F.col("_rt_cuts"), lambda c: c > x))
     else:
@@ -78,14 +89,17 @@ def quantile_bucket(df: DataFrame, order_col: str, partition_cols: Sequence[str]
 
 def running_totals(df: DataFrame, order: Sequence[Column], sum_cols: dict[str, Column],
                    bucket: Column, partition_cols: Sequence[str] = (),
-                   max_buckets: int | None = None, with_totals: bool = False) -> DataFrame:
+                   max_buckets: int | None = None, with_totals: bool = False, ties: bool = True,
+                   keep: Column | None = None) -> DataFrame:
     """Add inclusive running sums ``name -> expr`` in ``order`` within ``partition_cols``.
 
     ``bucket`` must be non-decreasing along ``order``. When ``max_buckets``
     is given and there are no partition columns, the bucket offsets are a
     frame of at most that many rows and are broadcast. ``with_totals`` also
     adds ``<name>_total``, the sum over the whole group, taken from the
-    small per-bucket frame (no extra pass over the input).
+    small per-bucket frame (no extra pass over the input). ``keep`` is a
+    condition on the bucket offsets ``_rt_o_<name>`` (and the rows' columns) that
+    drops rows before the in-bucket window shuffles and sorts them.
     """
     parts = list(partition_cols)
     staged = df.withColumn(_BUCKET, bucket)
@@ -102,8 +116,12 @@ def running_totals(df: DataFrame, order: Sequence[Column], sum_cols: dict[str, C
         *[F.sum(f"_rt_t_{name}").over(whole).alias(f"{name}_total") for name in sum_cols if with_totals])
     if not parts and max_buckets is not None:
         offsets = F.broadcast(offsets)
-    joined = staged.join(offsets, parts + [_BUCKET], "inner")
+    joined = join_groups(staged, offsets, parts + [_BUCKET])
+    if keep is not None:
+        joined = joined.filter(keep)
     inside = Window.partitionBy(*parts, _BUCKET).orderBy(*order)
+    if not ties:
+        inside = inside.rowsBetween(Window.unboundedPreceding, 0)
     out = joined
     for name in sum_cols:
         out = out.withColumn(name, F.col(f"_rt_o_{name}") + F.sum(f"_rt_v_{name}").over(inside))
@@ -113,7 +131,7 @@ def running_totals(df: DataFrame, order: Sequence[Column], sum_cols: dict[str, C
 
 def hash_key(key: Column, seed: int) -> Column:
     """Deterministic pseudo-random order key: md5 of ``key:seed`` as hex text."""
-    return F.md5(F.concat_ws(":", key.cast("string"), F.lit(str(seed))))
+    return F.md5(F.concat_ws(":", F.coalesce(key.cast("string"), F.lit("")), F.lit(str(seed))))
 
 
 def hash_first_n(df: DataFrame, key: str, seed: int, n: Column | int,
@@ -122,7 +140,9 @@ def hash_first_n(df: DataFrame, key: str, seed: int, n: Column | int,
 
     ``n`` may be a Column over a one-row frame crossed in beforehand, or an
     int. Buckets are md5 prefixes (uniform by construction, no skew); only
-    buckets that start below ``n`` reach the in-bucket window.
+    buckets that start below ``n`` reach the in-bucket window. Rows with equal
+    keys are counted one by one (which of them come first does not matter to
+    the key), so exactly ``n`` rows are kept where there are as many.
     """
     h = hash_key(F.col(key), seed)
     staged = df.withColumn("_hk", h)
@@ -133,6 +153,8 @@ def hash_first_n(df: DataFrame, key: str, seed: int, n: Column | int,
         sum_cols={"_rank": F.lit(1).cast("long")},
         bucket=F.substring(F.col("_hk"), 1, hex_digits),
         max_buckets=16 ** hex_digits,
+        ties=False,
+        keep=F.col("_rt_o__rank") < limit,
     )
     return ranked.filter(F.col("_rank") <= limit).drop("_hk", "_rank")
 

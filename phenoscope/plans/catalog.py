@@ -86,9 +86,9 @@ def q_harmonic_norm(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("targetFromSourceId", r6(F.col("harmonicSumNorm")).alias("harmonicSumNorm"))
 
 
-def _plan(spark: SparkSession, sf: str):
+def _plan(spark: SparkSession, sf: str, share: bool = False):
     from phenoscope.plans.safety import Inputs, SafetyPlan
-    return SafetyPlan(Inputs.from_testbed(spark, sf))
+    return SafetyPlan(Inputs.from_testbed(spark, sf), share)
 
 
 def joined(c):
@@ -240,6 +240,13 @@ def q_warning_flags(spark: SparkSession, sf: str) -> DataFrame:
     return flags.warning_flags(tw, K.BLACK_BOX_WARNING, "_BBW", TB.TOXICITY_CLASSES)
 
 
+@query("warning_classes")
+def q_warning_classes(spark: SparkSession, sf: str) -> DataFrame:
+    """D-23 (long form): every class of every target's warnings."""
+    pairs = flags.drugs_by_effect(_plan(spark, sf).summary, count_col="n")
+    return flags.warning_classes(nested.attach_warnings(pairs, TB.drug_warnings(spark, sf)))
+
+
 @query("combine_flags")
 def q_combine_flags(spark: SparkSession, sf: str) -> DataFrame:
     return _plan(spark, sf).warning_flags
@@ -270,8 +277,18 @@ def q_quantile_bins(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("quantile_bins_approx")
 def q_quantile_bins_approx(spark: SparkSession, sf: str) -> DataFrame:
-    """D-26 with approximate cut points (relative error 0.01); checked on rows only."""
-    return scoring.quantile_bins_approx(_rounded_scores(spark, sf), "harmonicSumNorm", "decilesHarmonicSumNorm")
+    """D-26 with approximate cut points: whether each one's rank is within 0.01 of its share."""
+    from phenoscope.operators.ordered import attach_scalars
+    scores = _rounded_scores(spark, sf)
+    cuts = scoring.approx_cut_points(scores, "harmonicSumNorm")
+    ranked = attach_scalars(scores.filter(F.col("harmonicSumNorm").isNotNull()), cuts).agg(
+        F.count(F.lit(1)).alias("n"),
+        *[F.count_if(F.col("harmonicSumNorm") < F.col("cuts")[j]).alias(f"lo{j}") for j in range(9)],
+        *[F.count_if(F.col("harmonicSumNorm") <= F.col("cuts")[j]).alias(f"hi{j}") for j in range(9)])
+    rows = [F.struct(F.lit(j + 1).alias("cut"), (
+        (F.col(f"lo{j}") <= (0.1 * (j + 1) + 0.01) * F.col("n")) & (F.col(f"hi{j}") >= (0.1 * (j + 1) - 0.01) * F.col("n")))
+        .alias("within")) for j in range(9)]
+    return ranked.select(F.explode(F.array(*rows)).alias("r")).select("r.cut", "r.within")
 
 
 @query("binarise")
@@ -319,8 +336,7 @@ def q_severity_by_target(spark: SparkSession, sf: str) -> DataFrame:
 def q_evidence_phenotype_scores(spark: SparkSession, sf: str) -> DataFrame:
     p = _plan(spark, sf)
     out = severity.evidence_phenotype_scores(p.i.evidence, p.disease_types)
-    return out.select(F.col("explotedPhenotypes.id").alias("phenotypeId"),
-                      F.col("explotedPhenotypes.label").alias("phenotypeLabel"),
+    return out.select(F.col("phenotype.id").alias("phenotypeId"), F.col("phenotype.label").alias("phenotypeLabel"),
                       "NrScores", r6(F.col("average")).alias("average"))
 
 
@@ -365,9 +381,10 @@ def q_auc_grid(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("feature_counts")
 def q_feature_counts(spark: SparkSession, sf: str) -> DataFrame:
-    frame = _plan(spark, sf).comparison
-    return evaluate.feature_counts(frame, ["safetyLiabilities", "allBBW", "allWD"],
-                                   ["harmonicSumNorm", "cal_score", "approved"])
+    """D-43: the counts of the job: warnings among liable targets with both severities, and missing severities."""
+    p = _plan(spark, sf, share=True)
+    liable = F.col("dis1HarmSumNorm").isNotNull() & F.col("dis2HarmSumNorm").isNotNull() & (F.col("safetyLiabl") == 1)
+    return evaluate.feature_counts(p.binarised, ["allBBW", "allWD"], ["dis2HarmSumNorm", "cal_score"], liable)
 
 
 @query("phenotype_matrix")
@@ -389,50 +406,92 @@ def q_split_train_test(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _svm_inputs(spark: SparkSession, sf: str):
-    """Per target: y = withdrawn-drug flag; features = the phenotype-label matrix."""
+    """Per target: y = withdrawn-drug flag; features = its phenotype labels."""
     from phenoscope.plans.safety import checkpointed
-    p = _plan(spark, sf)
-    labelled = evaluate.balanced_sample(
-        checkpointed(p.binarised).filter(F.col("harmonicSumNorm").isNotNull()), "allWD", "id", seed=0).select("id", "y")
-    matrix = flags.phenotype_matrix_wide(p.i.phenotypes, PHENOTYPE_LABELS).withColumnRenamed(
-        "targetFromSourceId", "id")
-    feats = [flags.clean_name(x) for x in PHENOTYPE_LABELS]
-    from phenoscope.plans.safety import checkpointed
-    return checkpointed(model.feature_frame(labelled, checkpointed(matrix))), feats
+    p = _plan(spark, sf, share=True)
+    scored = checkpointed(p.comparison.select("id", "harmonicSumNorm", "allWD"))
+    labelled = evaluate.balanced_sample(scored.filter(F.col("harmonicSumNorm").isNotNull()), "allWD", "id", seed=0)
+    return checkpointed(model.feature_frame(labelled.select("id", "y"), flags.phenotype_matrix(p.i.phenotypes)))
 
 
-# the phenotype labels of the test data (event types); the model uses them as features
-PHENOTYPE_LABELS = ("click", "error", "purchase", "signup", "view")
+# the labels that the wide form of the test data is asked for
+PHENOTYPE_LABELS = tuple(f"{kind} {k}" for kind in ("click", "error", "purchase", "signup", "view")
+                         for k in range(12))
 
 
 @query("assemble_features")
 def q_assemble_features(spark: SparkSession, sf: str) -> DataFrame:
-    frame, feats = _svm_inputs(spark, sf)
-    stages = model.feature_stages(feats)
+    """D-39: id, y, label index and the names behind the ones of the feature vector."""
     from pyspark.ml import Pipeline
-    fitted = Pipeline(stages=stages).fit(frame)
-    return fitted.transform(frame).select("id", "y", model.LABEL,
-                                          F.col(model.FEATURES).cast("string").alias("features"))
+    from pyspark.ml.functions import vector_to_array
+    frame = _svm_inputs(spark, sf)
+    fitted = Pipeline(stages=model.feature_stages()).fit(frame)
+    names = F.array(*map(F.lit, fitted.stages[-1].vocabulary)).cast("array<string>")
+    row = fitted.transform(frame).withColumn("_v", vector_to_array(model.FEATURES))
+    present = F.filter(names, lambda _, i: F.col("_v")[i] == 1)
+    return row.select("id", "y", model.LABEL, joined(F.array_sort(present)).alias("features"))
 
 
 @query("linear_svm")
 def q_linear_svm(spark: SparkSession, sf: str) -> DataFrame:
-    frame, feats = _svm_inputs(spark, sf)
-    train, test = model.split_train_test(frame, "id", seed=2020)
-    fitted = model.linear_svm(train, feats)
-    return fitted.transform(test).select("id", "y", "prediction")
+    """D-41: the test rows, and whether each prediction is a class."""
+    train, test = model.split_train_test(_svm_inputs(spark, sf), "id", seed=2020)
+    fitted = model.linear_svm(train)
+    return fitted.transform(test).select("id", "y", F.col("prediction").isin(0.0, 1.0).alias("is_class"))
 
 
 @query("classifier_metrics")
 def q_classifier_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    frame, feats = _svm_inputs(spark, sf)
-    train, test = model.split_train_test(frame, "id", seed=2020)
-    metrics = model.classifier_metrics(model.linear_svm(train, feats).transform(test))
-    return spark.createDataFrame([tuple(metrics.values())], list(metrics.keys()))
+    """D-42: whether every metric agrees with the one from confusion counts and ranks."""
+    from phenoscope.plans.safety import checkpointed
+    train, test = model.split_train_test(_svm_inputs(spark, sf), "id", seed=2020)
+    scored = checkpointed(model.linear_svm(train).transform(test))
+    found, counted = model.classifier_metrics(scored), model.counted_metrics(scored)
+    return spark.createDataFrame([(m, abs(v - counted[m]) < 1e-9) for m, v in found.items()], "metric string, agrees boolean")
+
+
+@query("harmonic_ranked")
+def q_harmonic_ranked(spark: SparkSession, sf: str) -> DataFrame:
+    """D-16 for scores without a bound on their distinct values: document sizes per source."""
+    docs = TB.table(spark, sf, "documents").select("source", F.col("n_chars").cast("double").alias("score"))
+    out = scoring.harmonic_ranked(docs, ["source"], "score")
+    return out.select("source", "n_scores", F.round("harmonicSum", 3).alias("harmonicSum"))
+
+
+@query("text_numbers")
+def q_text_numbers(spark: SparkSession, sf: str) -> DataFrame:
+    """O-42: text to double; what is no number becomes null. Read from document texts' first words."""
+    first = F.regexp_extract(F.coalesce(F.col("text"), F.lit("")), r"^\s*(\S*)", 1)
+    raw = TB.table(spark, sf, "documents").select(
+        "doc_id", F.when(F.pmod("doc_id", F.lit(3)) == 0, first).otherwise(F.concat(F.col("n_chars").cast("string"), F.lit(".5"))).alias("raw"))
+    return raw.select("doc_id", F.col("raw").try_cast("double").alias("value"))
+
+
+@query("grouped_auc")
+def q_grouped_auc(spark: SparkSession, sf: str) -> DataFrame:
+    """D-36 by group, one of them null: AUC of the document size per language, English taken as null."""
+    docs = TB.table(spark, sf, "documents").select("doc_id", F.nullif("lang", F.lit("en")).alias("lang"), "n_chars")
+    rows = docs.join(TB.table(spark, sf, "labels"), "doc_id")
+    auc = evaluate.roc_auc(rows, "quality", "n_chars", ["lang"])
+    return auc.select("lang", r6(F.col("auc")).alias("auc"), "n_pos", "n_neg")
+
+
+@query("tied_sample")
+def q_tied_sample(spark: SparkSession, sf: str) -> DataFrame:
+    """D-34 with repeated keys: the number of negatives kept is exact (lineitem by order key)."""
+    li = TB.table(spark, sf, "lineitem").select("l_orderkey", (F.col("l_linenumber") == 1).cast("int").alias("y0"))
+    return evaluate.balanced_sample(li, "y0", "l_orderkey", seed=1).groupBy("y").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("predictor_auc_sized")
+def q_predictor_auc_sized(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole analysis with the analysed job's own sample sizes."""
+    grid = _plan(spark, sf, share=True).predictor_auc(seed=0, job_sizes=True)
+    return grid.select("label", "predictor", r6(F.col("auc")).alias("auc"), "n")
 
 
 @query("predictor_auc")
 def q_predictor_auc(spark: SparkSession, sf: str) -> DataFrame:
     """The whole analysis: AUC of the three target scores for three safety outcomes."""
-    grid = _plan(spark, sf).predictor_auc(seed=0)
+    grid = _plan(spark, sf, share=True).predictor_auc(seed=0)
     return grid.select("label", "predictor", r6(F.col("auc")).alias("auc"), "n")

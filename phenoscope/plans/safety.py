@@ -47,22 +47,21 @@ class Inputs:
 
 def inputs_from_release(spark: SparkSession, root: str, release: str, approvals_csv: str,
                         weights_csv: str | None = None,
-                        toxicity_classes: tuple[str, ...] | None = None) -> Inputs:
+                        toxicity_classes: tuple[str, ...] | None = None, max_classes: int = 200) -> Inputs:
     """Inputs read from a data release laid out as ``<root>/<release>/output/etl/parquet/<dataset>``.
 
     ``weights_csv`` overrides the shipped curated phenotype weights. The
-    toxicity classes name the warning pivot columns; when not given they are
-    the distinct classes of the warnings table (a small vocabulary, read once).
+    toxicity classes name the warning flag columns; when not given they are the
+    ``max_classes`` most frequent classes of the warnings table. Any other class
+    sets the ``other`` columns, and the long form ``flags.warning_classes`` has all.
     """
     def path(dataset: str) -> str:
         return readers.release_path(root, release, dataset)
 
     warnings = readers.read_drug_warnings(spark, path("drugWarnings"))
     if toxicity_classes is None:
-        found = warnings.select(F.coalesce("toxicityClass", F.lit("unknown")).alias("c")).distinct()
-        toxicity_classes = tuple(sorted(r.c for r in found.limit(10001).collect()))
-        if len(toxicity_classes) > 10000:
-            raise ValueError("more than 10000 toxicity classes; pass toxicity_classes explicitly")
+        sizes = warnings.groupBy(F.coalesce("toxicityClass", F.lit("unknown")).alias("c")).agg(F.count(F.lit(1)).alias("n"))
+        toxicity_classes = tuple(sorted(r.c for r in sizes.orderBy(F.desc("n"), "c").limit(max_classes).collect()))
     weights = (readers.read_phenotype_weights_csv(spark, weights_csv) if weights_csv
                else readers.curated_phenotype_weights(spark))
     return Inputs(
@@ -80,9 +79,9 @@ def inputs_from_release(spark: SparkSession, root: str, release: str, approvals_
 def checkpointed(df: DataFrame) -> DataFrame:
     """Write ``df`` to the session's shared checkpoint folder and cut its lineage.
 
-    Used only for per-target frames (bounded by the number of targets) that
-    several later branches read: without it every branch would re-plan and
-    re-run the whole upstream analysis. A reliable checkpoint survives the
+    Used for reduced frames (per target, or the evidence summary) that several
+    later branches read: without it every branch would re-plan and re-run the
+    whole upstream analysis. A reliable checkpoint survives the
     loss of the executors that computed it.
     """
     from pyspark import StorageLevel
@@ -98,10 +97,19 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
 
 class SafetyPlan:
-    """Lazily built frames of the analysis; each property is one lazy plan."""
+    """Lazily built frames of the analysis; each property is one lazy plan.
 
-    def __init__(self, inputs: Inputs):
+    With ``share`` the evidence summary is written once (``shared_summary``) and
+    every consumer reads that; otherwise each property stays lazy throughout.
+    """
+
+    def __init__(self, inputs: Inputs, share: bool = False):
         self.i = inputs
+        self.share = share
+
+    @property
+    def cells(self) -> DataFrame:
+        return self.shared_summary if self.share else self.summary
 
     @cached_property
     def assessment(self) -> DataFrame:
@@ -109,10 +117,23 @@ class SafetyPlan:
 
     @cached_property
     def summary(self) -> DataFrame:
-        """The assessment counted per (source, target, disease, drug, cell): one
-        evidence pass shared by every consumer below."""
+        """The assessment counted per (source, target, disease, drug, cell).
+
+        Consumers inside one plan do not share it: the optimizer pushes each one's
+        filter into the aggregate. A plan with several consumers reads
+        ``shared_summary``.
+        """
         return doe.assessment_summary(self.assessment)
 
+    @cached_property
+    def shared_summary(self) -> DataFrame:
+        """The rows of ``summary`` that drug pairs and disease classes read, written once.
+
+        One pass over the evidence evaluates the label rules; the written rows
+        are the few cells that any consumer keeps.
+        """
+        return checkpointed(self.summary.filter(F.col("homogenized").isin("LoF_protect", "LoF_risk")))
+
     @cached_property
     def phenotype_scores(self) -> DataFrame:
         """(id, scores, harmonicSum, harmonicSumNorm) from curated class weights."""
@@ -122,7 +143,7 @@ class SafetyPlan:
     @cached_property
     def warning_flags(self) -> DataFrame:
         """D-21..D-24: LoF drugs -> their warnings -> per-class flags -> combined."""
-        pairs = flags.drugs_by_effect(self.summary, count_col="n")
+        pairs = flags.drugs_by_effect(self.cells, count_col="n")
         target_warnings = nested.attach_warnings(pairs, self.i.warnings)
         bbw = flags.warning_flags(target_warnings, K.BLACK_BOX_WARNING, "_BBW", self.i.toxicity_classes)
         wd = flags.warning_flags(target_warnings, K.WITHDRAWN, "_WD", self.i.toxicity_classes)
@@ -139,11 +160,14 @@ class SafetyPlan:
         ]
         frame = compare.comparison_frame(
             self.phenotype_scores.select("id", "harmonicSum", "harmonicSumNorm"), features)
-        return flags.presence_flags(frame, {"safetyLiabl": "safetyLiabilities", "noToxCast": "noToxCastLiab"})
+        frame = flags.presence_flags(frame, {"safetyLiabl": "safetyLiabilities", "noToxCast": "noToxCastLiab"})
+        # rounded, so that equal scores cannot fall on two sides of a cut point
+        bins = scoring.quantile_bins(frame.withColumn("_x", F.round("harmonicSumNorm", 9)), "_x", "decilesHarmonicSumNorm")
+        return bins.drop("_x")
 
     @cached_property
     def disease_types(self) -> DataFrame:
-        return severity.disease_types(self.summary, count_col="n")
+        return severity.disease_types(self.cells, count_col="n")
 
     @cached_property
     def severity_scores(self) -> DataFrame:
@@ -160,20 +184,31 @@ class SafetyPlan:
         return self.comparison.join(self.severity_scores, "id", "left")
 
     def flag_columns(self) -> list[str]:
-        names = ["safetyLiabl", "noToxCast", "allBBW", "allWD", "any_warning"]
-        names += [f"{flags.clean_name(c)}{s}" for c in self.i.toxicity_classes for s in ("_BBW", "_WD")]
-        return names
+        """The columns that ``binarised`` turns into 0/1."""
+        classes = self.i.toxicity_classes
+        return ["safetyLiabl", "noToxCast", "approved", "any_warning",
+                *flags.warning_columns(classes, "_BBW"), *flags.warning_columns(classes, "_WD")]
+
+    def scored(self, frame: DataFrame) -> DataFrame:
+        """The rows of ``binarised`` with both severity scores."""
+        return frame.filter(F.col("dis1HarmSumNorm").isNotNull() & F.col("dis2HarmSumNorm").isNotNull())
 
     @cached_property
     def binarised(self) -> DataFrame:
         return flags.binarise(self.full_comparison, self.flag_columns())
 
-    def predictor_auc(self, seed: int = 0, materialize: bool = True) -> DataFrame:
+    def predictor_auc(self, seed: int = 0, materialize: bool = True, job_sizes: bool = False) -> DataFrame:
         """AUC of the three scores for liabilities, black-box warnings, withdrawals.
 
+        With ``job_sizes`` the negatives for a warning are as many as its positives
+        among the targets with a liability, as in the analysed job; otherwise as
+        many as all its positives.
+
         The per-target frame is checkpointed first (one job), since each of the
         three outcomes samples it and each AUC reads its sample several times.
         """
         frame = checkpointed(self.binarised) if materialize else self.binarised
+        liable = self.scored(frame).filter(F.col("safetyLiabl") == 1)
+        sizes = {c: liable.agg(F.count_if(F.col(c) == 1)) for c in ("allBBW", "allWD")} if job_sizes else None
         return evaluate.auc_grid(frame, ["safetyLiabl", "allBBW", "allWD"],
-                                 ["harmonicSumNorm", "dis1HarmSumNorm", "dis2HarmSumNorm"], "id", seed)
+                                 ["harmonicSumNorm", "dis1HarmSumNorm", "dis2HarmSumNorm"], "id", seed, negatives=sizes)

@@ -21,8 +21,6 @@ _DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    # pivots are always given explicit values, so this only guards misuse
-    "spark.sql.pivotMaxValues": "10000",
 }
 
 
@@ -39,14 +37,15 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.config("spark.driver.memory", os.environ.get("PHENOSCOPE_DRIVER_MEMORY", "8g"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    Only when none is configured (local tests) a scratch folder is created.
+    Only with a ``local`` master and none configured (tests) a scratch folder is
+    created, once a session; on a cluster that raises, since executors do not
+    see a folder of the driver's machine.
     """
     try:
         context = spark.sparkContext
@@ -59,6 +58,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         context.setCheckpointDir(configured)
         return configured
+    if not (context.master == "local" or context.master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="phenoscope-ckpt-")
     context.setCheckpointDir(local)
     return local

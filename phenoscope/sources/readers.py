@@ -1,12 +1,14 @@
 """Readers for the input tables (O-01 parquet, O-02 CSV).
 
 Paths are parameters; a release version is just part of the path the caller
-builds. Every reader declares its schema, so no inference job runs and
-Catalyst can prune columns and push filters into the scan.
+builds. Parquet readers declare their schema, so Catalyst can prune columns and
+push filters into the scan; CSV columns are found by their header.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,30 +48,39 @@ def read_drug_warnings(spark: SparkSession, path: str) -> DataFrame:
     return read_parquet(spark, path, schemas.DRUG_WARNINGS)
 
 
-def read_csv(spark: SparkSession, path: str, schema) -> DataFrame:
-    """Header CSV with a declared schema; malformed numbers become null."""
-    return (spark.read.schema(schema)
-            .option("header", True)
-            .option("mode", "PERMISSIVE")
-            .csv(path))
+def read_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """The named columns of a CSV file with a header, all as text.
+
+    Columns are found by their header, so their order and number in the file do
+    not matter (a declared schema would bind by position). A missing one raises.
+    """
+    raw = spark.read.option("header", True).csv(path)
+    missing = [c for c in columns if c not in raw.columns]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}; it has {', '.join(raw.columns)}")
+    return raw.select(*[F.col(f"`{c}`") for c in columns])
 
 
 def read_approvals_csv(spark: SparkSession, path: str) -> DataFrame:
     """Approved-drug table: ``targetIds`` holds ``;``-separated target ids."""
-    return read_csv(spark, path, schemas.APPROVALS_CSV).drop("_c0")
+    return read_csv(spark, path, ["targetIds"])
 
 
 def read_phenotype_weights_csv(spark: SparkSession, path: str) -> DataFrame:
     """Curated phenotype-class weights (D-14) from a CSV file.
 
     The file ends every line with a comma, so a fourth, unnamed column holds
-    an optional mark. The score is read as a double; zero stays 0.0.
+    an optional mark. The score is read as a double; zero stays 0.0, an empty
+    score is null, and text that is no number fails the query that reads it.
     """
-    raw = read_csv(spark, path, schemas.PHENOTYPE_WEIGHTS_CSV)
+    raw = read_csv(spark, path, ["id", "label", "score"])
+    number = F.col("score").try_cast("double")
+    bad = F.col("score").isNotNull() & (F.trim("score") != "") & number.isNull()
     return raw.select(
         F.col("id").alias("idLabel"),
         F.col("label").alias("phenoLabel"),
-        F.col("score").cast("double").alias("curatedScore"),
+        F.when(bad, F.raise_error(F.concat(F.lit("not a score: "), F.col("score"))).cast("double"))
+        .otherwise(number).alias("curatedScore"),
     )
 
 

@@ -63,8 +63,6 @@ DRUG_WARNINGS = _struct(
 )
 
 # CSV inputs: header line, every column read as text unless declared.
-APPROVALS_CSV = _struct(("_c0", _S), ("targetIds", _S))
 
-PHENOTYPE_WEIGHTS_CSV = _struct(("id", _S), ("label", _S), ("score", _D), ("_c3", _S))
 
 PHENOTYPE_WEIGHTS = _struct(("idLabel", _S), ("phenoLabel", _S), ("curatedScore", _D))

@@ -9,15 +9,15 @@ role                built from
 ==================  =====================================================
 evidence            lineitem JOIN orders (target=part, disease=customer)
 targets             part (nested hallmarks, liabilities, constraints)
-mechanismOfAction   lineitem JOIN supplier (lines 1 and 2 of each order)
-mousePhenotypes     events (target=user, label=event type)
-drugWarnings        supplier, one row per warning type
-approvals           part (a ``;``-separated id list per row)
+mechanismOfAction   lineitem JOIN supplier
+mousePhenotypes     events (target=user, label=event type and class)
+drugWarnings        supplier, one row per warning type (null: no warning)
+approvals           part (a ``;``-separated id list per row, null: none)
 labelled scores     documents JOIN labels
 ==================  =====================================================
 
 Nested values are picked from small option lists by a key modulo their
-length. The option lists are plain data; ``phenoscope.plans.oracle`` renders
+length. The option lists are plain data; ``phenoscope.plans.oracle_sql`` renders
 the same lists as DuckDB literals for the oracle queries.
 """
 
@@ -82,12 +82,24 @@ def _phen(*pairs):
     return [{"id": i, "label": lab} for i, lab in pairs]
 
 
+# a phenotype label is an event type and one of so many classes: of targets in the
+# phenotypes (three to a target), of diseases in the evidence, so that labels differ
+# in the diseases behind them
+LABEL_CLASSES = 211
+
+
+def _label(kind: str) -> RowValue:
+    return RowValue(lambda: F.concat(F.lit(f"{kind} "), F.pmod("o_custkey", F.lit(LABEL_CLASSES)).cast("string")),
+                    f"('{kind} ' || (o_custkey % {LABEL_CLASSES}))")
+
+
 PHENOTYPE_OPTIONS = (
     None,
     [],
-    _phen(("MP:0000001", "view")),
-    _phen(("MP:0000002", "click"), ("MP:0000003", "error")),
-    _phen(("MP:0000004", "purchase"), ("MP:0000001", "view")),
+    _phen(("MP:0000001", _label("view"))),
+    _phen(("MP:0000002", _label("click")), ("MP:0000003", _label("error"))),
+    _phen(("MP:0000004", _label("purchase")), ("MP:0000001", _label("view"))),
+    _phen(("MP:0000005", _label("signup"))),
 )
 
 
@@ -148,8 +160,8 @@ TOXICITY_OPTIONS = (
     "dermatological.toxicity",
     "neurotoxicity",
 )
-# the cleaned pivot values of TOXICITY_OPTIONS (null becomes "unknown")
-TOXICITY_CLASSES = ("unknown",) + TOXICITY_OPTIONS[1:]
+# the classes with a flag column of their own (null becomes "unknown"); the last option is left to "other"
+TOXICITY_CLASSES = ("unknown",) + TOXICITY_OPTIONS[1:-1]
 
 
 # ---------------------------------------------------------------------------
@@ -206,7 +218,7 @@ def evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.when(F.col("l_linenumber") == 7, F.lit(None).cast("string"))
             .otherwise(F.concat(F.lit("T"), F.col("l_partkey").cast("string"))).alias("targetId"),
             F.when(F.pmod(F.col("l_orderkey"), F.lit(23)) == 0, F.lit(None).cast("string"))
-            .otherwise(F.concat(F.lit("D"), F.pmod(F.col("o_custkey"), F.lit(50)).cast("string")))
+            .otherwise(F.concat(F.lit("D"), F.col("o_custkey").cast("string")))
             .alias("diseaseId"),
             F.when(F.col("datasourceId") == "chembl",
                    F.concat(F.lit("CHEMBL"), F.col("l_suppkey").cast("string"))).alias("drugId"),
@@ -258,8 +270,7 @@ def targets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def mechanism_of_action(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_linenumber") \
-        .filter(F.col("l_linenumber") <= 2)
+    li = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_linenumber")
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     rows = li.join(sup, li.l_suppkey == sup.s_suppkey, "inner")
     t1 = F.concat(F.lit("T"), F.col("l_partkey").cast("string"))
@@ -279,7 +290,8 @@ def mouse_phenotypes(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     return ev.select(
         F.concat(F.lit("T"), F.col("user_id").cast("string")).alias("targetFromSourceId"),
-        F.col("event_type").alias("modelPhenotypeLabel"),
+        F.concat_ws(" ", "event_type", F.pmod(F.col("user_id") + F.pmod("event_id", F.lit(3)), F.lit(LABEL_CLASSES))
+                    .cast("string")).alias("modelPhenotypeLabel"),
         pick(F.col("event_id"), CLASS_OPTIONS, _field(schemas.MOUSE_PHENOTYPES, "modelPhenotypeClasses"))
         .alias("modelPhenotypeClasses"),
     )
@@ -289,22 +301,21 @@ def drug_warnings(spark: SparkSession, sf_dir: str) -> DataFrame:
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     k4 = F.pmod(F.col("s_suppkey"), F.lit(4))
 
-    def rows(warning: str, keep) -> DataFrame:
+    def rows(warning: str | None, keep) -> DataFrame:
         return sup.filter(k4.isin(*keep)).select(
             F.array(F.concat(F.lit("CHEMBL"), F.col("s_suppkey").cast("string"))).alias("chemblIds"),
             pick(F.col("s_nationkey"), TOXICITY_OPTIONS, T.StringType()).alias("toxicityClass"),
-            F.lit(warning).alias("warningType"),
+            F.lit(warning).cast("string").alias("warningType"),
         )
 
-    return rows("Black Box Warning", (0, 1)).unionByName(rows("Withdrawn", (1, 2)))
+    return rows("Black Box Warning", (0, 1)).unionByName(rows("Withdrawn", (1, 2))).unionByName(rows(None, (3,)))
 
 
 def approvals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    part = table(spark, sf_dir, "part").filter(F.pmod(F.col("p_size"), F.lit(5)) == 0)
+    part = table(spark, sf_dir, "part")
     pk = F.col("p_partkey").cast("string")
-    return part.select(
-        F.concat(F.lit(" T"), pk, F.lit(" ; T"), (F.col("p_partkey") + 2).cast("string"),
-                 F.lit(";T"), pk, F.lit(" ")).alias("targetIds"))
+    ids = F.concat(F.lit(" T"), pk, F.lit(" ; T"), (F.col("p_partkey") + 2).cast("string"), F.lit(";T"), pk, F.lit(" "))
+    return part.select(F.when(F.pmod(F.col("p_size"), F.lit(5)) == 0, ids).alias("targetIds"))
 
 
 def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:

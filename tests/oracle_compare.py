@@ -77,7 +77,7 @@ def main(argv):
     import __spark_entry__ as E
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     names = argv[2:]
-    spark = get_session("local[8]", 8)
+    spark = get_session(os.environ.get("ORACLE_MASTER", "local[8]"), 8)
     con = duck(sf_dir)
     qs, sqls = E.queries(), E.oracle_sql()
     bad = 0

@@ -11,16 +11,16 @@ def test_label_index_keeps_one_as_class_one(spark):
     # positives lead: a frequency-ordered indexer would make y=1 class 0 (T12)
     df = spark.createDataFrame([(i, 1, float(i % 3), 1.0) for i in range(30)] +
                                [(100 + i, 0, 0.0, 0.0) for i in range(5)], "id long, y int, a double, b double")
-    stages = model.feature_stages(["a", "b"])
+    stages = model.feature_stages()
     out = stages[0].fit(df).transform(df)
     assert {(r.y, r[model.LABEL]) for r in out.select("y", model.LABEL).distinct().collect()} == {(1, 1.0), (0, 0.0)}
 
 
 def test_feature_frame_fills_missing_features(spark):
     labelled = spark.createDataFrame([("T1", 1), ("T2", 0)], "id string, y int")
-    matrix = spark.createDataFrame([("T1", 1, 0)], "id string, click int, view int")
-    rows = {r.id: (r.click, r.view) for r in model.feature_frame(labelled, matrix).collect()}
-    assert rows == {"T1": (1, 0), "T2": (0, 0)}      # T13: no null reaches the assembler
+    matrix = spark.createDataFrame([("T1", "view"), ("T1", "click")], "targetFromSourceId string, modelPhenotypeLabel string")
+    rows = {r.id: r.labels for r in model.feature_frame(labelled, matrix).collect()}
+    assert rows == {"T1": ["click", "view"], "T2": []}      # T13: no null reaches the vectors
 
 
 def test_split_is_stable_and_complete(spark):
