@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -169,19 +169,15 @@ def repeated_spans(rows: DataFrame, k: int, part: int) -> DataFrame:
     loose = with_source(twice.withColumn("edges", F.lit(1)), ["e1", "e2"])
     steps = compact.unionByName(loose)
     # neighbouring steps at neighbouring places of one source compact into one span
-    pieces = steps.groupBy("_row").agg(F.array_sort(F.collect_list(
-        F.struct("first", (F.col("start") - F.col("at")).alias("lag"), "start", "edges"))).alias("s"))
-    at_join = F.transform(F.col("s"), lambda x, i: F.when(i == 0, True).otherwise(
-        (x["first"] != F.col("s")[i - 1]["first"]) | (x["lag"] != F.col("s")[i - 1]["lag"])
-        | (x["start"] != F.col("s")[i - 1]["start"] + F.col("s")[i - 1]["edges"])))
-    heads = F.filter(F.sequence(F.lit(0), F.size("s") - 1), lambda i: F.col("_new")[i])
-    bounds = pieces.withColumn("_new", at_join).withColumn("_heads", heads)
-    spans = F.transform(F.col("_heads"), lambda h, j: F.struct(
-        F.col("s")[h]["start"].alias("from"),
-        (F.when(j + 1 < F.size("_heads"), F.col("s")[F.col("_heads")[j + 1] - 1]["start"] + F.col("s")[F.col("_heads")[j + 1] - 1]["edges"])
-         .otherwise(F.col("s")[F.size("s") - 1]["start"] + F.col("s")[F.size("s") - 1]["edges"]) + k - 1).alias("to"),
-        F.col("s")[h]["first"].alias("source"), (F.col("s")[h]["start"] - F.col("s")[h]["lag"]).alias("at")))
-    return bounds.select("_row", spans.alias("spans"))
+    along = Window.partitionBy("_row", "first", "lag").orderBy("start", "edges")
+    end = F.col("start") + F.col("edges")
+    placed = steps.withColumn("lag", F.col("start") - F.col("at")).withColumn(
+        "reached", F.max(end).over(along.rowsBetween(Window.unboundedPreceding, -1)))
+    numbered = placed.withColumn("piece", F.sum(F.when(F.col("start") <= F.col("reached"), 0).otherwise(1)).over(
+        along.rowsBetween(Window.unboundedPreceding, 0)))
+    spans = numbered.groupBy("_row", "first", "lag", "piece").agg(F.min("start").alias("from"), (F.max(end) + k - 1).alias("to"))
+    return spans.groupBy("_row").agg(F.collect_list(F.struct(
+        "from", "to", F.col("first").alias("source"), (F.col("from") - F.col("lag")).alias("at"))).alias("spans"))
 
 
 def substring_dedup(docs: DataFrame, k: int = 50, part: int = 25, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
