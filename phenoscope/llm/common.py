@@ -37,8 +37,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     scratch = tempfile.mkdtemp(prefix="phenoscope-shared-")
-    spark.conf.set("spark.checkpoint.dir", scratch)
-    return scratch
+    spark.sparkContext.setCheckpointDir(scratch)
+    return spark.sparkContext.getCheckpointDir()
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
