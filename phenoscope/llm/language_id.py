@@ -196,5 +196,5 @@ def identify_language(docs: DataFrame, usable: Column, max_train: int = 12_000,
     total = F.aggregate(F.transform(scaled, lambda v: F.exp(v - top)), F.lit(0.0), lambda a, x: a + x)
     found = F.element_at(F.array(*map(F.lit, langs)), F.array_position(F.col("logits"), F.array_max("logits")).cast("int"))
     return logits_of(rows, idf, w).select(
-        F.col("_id").alias(id_col), F.coalesce(found, F.lit("und")).alias("lang_pred"),
-        F.coalesce(1.0 / total, F.lit(0.0)).alias("score"))
+        F.col("_id").alias(id_col), F.when(F.col("logits").isNull(), "und").otherwise(found).alias("lang_pred"),
+        F.when(F.col("logits").isNull(), 0.0).otherwise(1.0 / total).alias("score"))
