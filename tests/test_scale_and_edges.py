@@ -182,6 +182,8 @@ def test_test_data_tell_rules_apart(spark):
     names = [c for c in wide.columns if c != "targetFromSourceId"]
     lows, highs = wide.agg(*[F.min(c) for c in names]).first(), wide.agg(*[F.max(c) for c in names]).first()
     assert set(lows) == {0} and set(highs) == {1}
+    rows = [set(r.features.split(",")) for r in q["assemble_features"](spark, sf).collect()]
+    assert all(0 < sum(label in r for r in rows) < len(rows) for label in set.union(*rows))
 
 
 def test_label_rules_run_once_where_consumers_share(spark):
