@@ -8,9 +8,8 @@ lines the same key, with the chance of a band of ``r`` minima. Each pair of line
 that meet in a key is verified by the exact Jaccard similarity of the shingle
 sets, and links are joined by a union-find in joins.
 
-Signatures of long lines take the shingles that begin words, a sample chosen by
-content, so equal parts of two lines give equal samples; verification takes
-every shingle.
+Signatures and verification both take every shingle, whatever a line's length or
+words, so two lines never draw their hashes from different populations.
 """
 
 from __future__ import annotations
@@ -22,9 +21,8 @@ from pyspark.sql import functions as F
 
 from phenoscope.llm.common import components, written
 
-#: Characters of a shingle, and lines shorter than ``SHORT`` characters give all of them to the signature.
+#: Characters of a shingle.
 SHINGLE = 8
-SHORT = 120
 BANDS, ROWS = 10, 3
 #: Neighbours in a band's key that a line is compared with at first.
 NEIGHBOURS = 4
@@ -55,20 +53,13 @@ def all_shingles(norm: Column) -> Column:
     return F.when(F.length(norm) < SHINGLE, F.array(norm)).otherwise(found)
 
 
-def sampled_shingles(norm: Column) -> Column:
-    """The shingles that begin words; all of them in short lines and in lines with few words."""
-    begin = F.regexp_extract_all(norm, F.lit(rf"(?s)(?:^|\s)(?=(\S.{{{SHINGLE - 1}}}))"), F.lit(1))
-    dense = once(begin, lambda b: F.when(F.size(b) * 24 < F.length(norm), all_shingles(norm)).otherwise(b))
-    return F.when(F.length(norm) < SHORT, all_shingles(norm)).otherwise(dense)
-
-
 def band_keys(lines: DataFrame) -> DataFrame:
     """``(line, k0, k1, …)`` for ``(line, norm)``: a key for each run of ``ROWS`` among the smallest hashes.
 
     Keys past the line's hashes are null; a line with fewer than ``ROWS`` hashes has one key of them all.
     """
     hashed = lines.select("line", F.array_distinct(F.sort_array(F.transform(
-        sampled_shingles(F.col("norm")), lambda s: F.xxhash64(s)))).alias("h"))
+        all_shingles(F.col("norm")), lambda s: F.xxhash64(s)))).alias("h"))
     at = lambda k: F.get("h", F.lit(k))
     keys = [F.xxhash64(*(at(k + r) for r in range(ROWS))) for k in range(BANDS)]
     return hashed.select("line", *(F.when(at(k + ROWS - 1).isNotNull() if k else F.lit(True), key).alias(f"k{k}")

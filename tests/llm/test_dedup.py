@@ -198,3 +198,25 @@ def test_sequence_hashes_depend_on_words_alone():
     gaps = np.flatnonzero(data == 32)
     h = substring_dedup.sequence_hashes(data, np.concatenate(([0], gaps + 1)), np.concatenate((gaps, [len(data)])), 3)
     assert h[0] == h[3] and len(set(h.tolist())) == 4
+
+
+def found_pairs(spark, pairs):
+    """Which of the ``pairs`` of lines the operator joins."""
+    rows = [(i, a + "\n" + b) for i, (a, b) in enumerate(pairs)]
+    gone = {(r.doc_id, r.pos) for r in line_dedup.line_marks(documents(spark, rows)).collect() if not r.kept}
+    return [(i, 1) in gone for i in range(len(pairs))]
+
+
+def letters(rnd, n):
+    return "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+
+
+def test_line_dedup_of_lines_about_as_long_and_dense(spark):
+    rnd, pairs = random.Random(11), []
+    for _ in range(40):
+        line = " ".join(letters(rnd, 6) for _ in range(30))[:rnd.randrange(115, 120)].strip()
+        pairs.append((line, line + letters(rnd, 6)))
+    for _ in range(40):
+        line = " ".join(letters(rnd, 24) for _ in range(10))
+        pairs.append((line, line[:100] + " " + line[101:]) if line[100] != " " else (line, line + "x"))
+    assert sum(found_pairs(spark, pairs)) == len(pairs)
