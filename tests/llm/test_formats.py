@@ -161,3 +161,18 @@ def test_shard_links_prune_and_lose_nothing():
     tree = [shard[f"c{k}"].to_numpy() for k in range(3)]
     i, j = embedding_dedup.shard_links(x, x, tree, tree, 0.99)
     assert set(zip(i.tolist(), j.tolist())) == set(zip(*(a.tolist() for a in np.nonzero(x @ x.T >= 0.99))))
+
+
+def test_shard_traversal_prunes_inside_nested_cells():
+    import pandas as pd
+    for seed in range(4):
+        rng = np.random.default_rng(seed)
+        x = rng.normal(size=(40, 32))[rng.integers(0, 40, 4000)] + rng.normal(size=(4000, 32)) * rng.uniform(0.02, 0.6, (4000, 1))
+        x /= np.linalg.norm(x, axis=1)[:, None]
+        shard = embedding_dedup.shard_levels(pd.DataFrame(
+            {"node": [f"{i:05d}" for i in range(len(x))], "dim": 32, "unit": [v.tobytes() for v in x]}))
+        tree = [shard[f"c{k}"].to_numpy() for k in range(len(embedding_dedup.RADII))]
+        i, j = embedding_dedup.shard_links(x, x, tree, tree, 0.95)
+        assert set(zip(i.tolist(), j.tolist())) == set(zip(*(a.tolist() for a in np.nonzero(x @ x.T >= 0.95))))
+        for above, cell in zip(tree, tree[1:]):
+            assert (above[cell] == above).all() and (cell[cell] == cell).all()
