@@ -23,7 +23,10 @@ from phenoscope.llm.common import components, written
 
 #: Characters of a shingle.
 SHINGLE = 8
-BANDS, ROWS = 10, 3
+#: Length of a run, and how many of the smallest hashes give runs.
+ROWS, BOTTOM = 3, 16
+#: Lines with fewer hashes than this also give runs of two.
+SMALL = 10
 #: Neighbours in a band's key that a line is compared with at first.
 NEIGHBOURS = 4
 #: Bits of the filter for the lines whose text is wanted.
@@ -53,17 +56,24 @@ def all_shingles(norm: Column) -> Column:
     return F.when(F.length(norm) < SHINGLE, F.array(norm)).otherwise(found)
 
 
+def run_keys(h: Column, width: int, bottom: int) -> Column:
+    """A key for each run of ``width`` among the first ``bottom`` of ``h``; one key of them all if they are fewer."""
+    last = F.greatest(F.least(F.size(h), F.lit(bottom)) - width, F.lit(0))
+    return F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(*(F.get(h, i + r) for r in range(width))))
+
+
 def band_keys(lines: DataFrame) -> DataFrame:
-    """``(line, k0, k1, …)`` for ``(line, norm)``: a key for each run of ``ROWS`` among the smallest hashes.
+    """``(line, keys)``, a row for each distinct line of ``(line, norm)``: a key for each run among the smallest hashes.
 
-    Keys past the line's hashes are null; a line with fewer than ``ROWS`` hashes has one key of them all.
+    Two sets of 4 and 5 hashes may have no run of three in common though their
+    similarity is 0.8, hence the runs of two.
     """
     hashed = lines.select("line", F.array_distinct(F.sort_array(F.transform(
         all_shingles(F.col("norm")), lambda s: F.xxhash64(s)))).alias("h"))
-    at = lambda k: F.get("h", F.lit(k))
-    keys = [F.xxhash64(*(at(k + r) for r in range(ROWS))) for k in range(BANDS)]
-    return hashed.select("line", *(F.when(at(k + ROWS - 1).isNotNull() if k else F.lit(True), key).alias(f"k{k}")
-                                   for k, key in enumerate(keys)))
+    distinct = hashed.select("line", F.slice("h", 1, BOTTOM).alias("h")).groupBy("line").agg(F.first("h").alias("h"))
+    h, none = F.col("h"), F.array().cast("array<bigint>")
+    small = F.when(F.size(h).between(ROWS + 1, SMALL - 1), run_keys(h, 2, SMALL)).otherwise(none)
+    return distinct.select("line", F.concat(run_keys(h, ROWS, BOTTOM), small).alias("keys"))
 
 
 def candidates(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -73,9 +83,7 @@ def candidates(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     paired with its next ``NEIGHBOURS`` in hash order and with the key's first, so
     small keys are paired fully and the rows stay linear in large ones.
     """
-    names = [f"k{k}" for k in range(BANDS)]
-    distinct = band_keys(lines.select("line", "norm")).groupBy("line").agg(*(F.first(k).alias(k) for k in names))
-    keyed = distinct.select("line", F.explode(F.array_compact(F.array(*names))).alias("key"))
+    keyed = band_keys(lines).select("line", F.explode("keys").alias("key"))
     in_key = Window.partitionBy("key").orderBy("line")
     ahead = [F.lead("line", k).over(in_key).alias(f"l{k}") for k in range(1, NEIGHBOURS + 1)]
     ranked = keyed.select("key", "line", F.first("line").over(in_key).alias("l0"), F.row_number().over(in_key).alias("at"), *ahead)
@@ -167,7 +175,8 @@ def line_dedup(docs: DataFrame, similarity: float = 0.8, id_col: str = "doc_id",
     than that is one shingle). Lines linked directly or over others form a
     component; the one with the smallest (id, place in the document) stays as it
     was written. Equal lines always share a component; other links are found by
-    banding, with a chance of 98 % at a similarity of 0.8, 99 % at 0.85 and more above it.
+    banding, with a chance of 99.5 % at a similarity of 0.8, 99.8 % at 0.85 and more
+    above it; none is missed at 0.8 or above between lines of at most 19 shingles together.
 
     Blank lines stay. Null and empty texts stay as they are; a document may be left
     with an empty text but is not dropped. Rows that repeat an id are treated as

@@ -220,3 +220,27 @@ def test_line_dedup_of_lines_about_as_long_and_dense(spark):
         line = " ".join(letters(rnd, 24) for _ in range(10))
         pairs.append((line, line[:100] + " " + line[101:]) if line[100] != " " else (line, line + "x"))
     assert sum(found_pairs(spark, pairs)) == len(pairs)
+
+
+def jaccard(a, b):
+    k = line_dedup.SHINGLE
+    x, y = ({s[j:j + k] for j in range(max(1, len(s) - k + 1))} for s in (a, b))
+    return len(x & y) / len(x | y)
+
+
+def test_line_dedup_of_few_shingles_and_of_long_tokens(spark):
+    rnd, short, long = random.Random(12), [], []
+    for _ in range(120):
+        line = letters(rnd, line_dedup.SHINGLE + 3)
+        short.append((line, line + letters(rnd, 1)))
+    while len(long) < 150:
+        words = [letters(rnd, rnd.randrange(18, 23)) for _ in range(rnd.randrange(6, 9))]
+        line = " ".join(words)
+        for k in rnd.sample(range(len(words)), rnd.randrange(1, 3)):
+            words[k] = letters(rnd, 1) + words[k][1:]
+        if 0.8 <= jaccard(line, " ".join(words)) < 0.9:
+            long.append((line, " ".join(words)))
+    assert all(jaccard(a, b) >= 0.8 for a, b in short)
+    found = found_pairs(spark, short + long)
+    assert all(found[:120])
+    assert sum(found[120:]) >= 147
