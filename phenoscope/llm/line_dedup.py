@@ -22,11 +22,14 @@ from pyspark.sql import functions as F
 from phenoscope.llm.common import components, written
 
 #: Characters of a shingle.
-SHINGLE = 8
+SHINGLE = 5
 #: Length of a run, and how many of the smallest hashes give runs.
 ROWS, BOTTOM = 3, 16
 #: Lines with fewer hashes than this also give runs of two.
 SMALL = 10
+#: Lines of about this many hashes and more give longer runs among more hashes, since many lines share a run of three.
+LONG = 40
+LONG_ROWS, LONG_BOTTOM = 5, 40
 #: Neighbours in a band's key that a line is compared with at first.
 NEIGHBOURS = 4
 #: Bits of the filter for the lines whose text is wanted.
@@ -62,37 +65,50 @@ def run_keys(h: Column, width: int, bottom: int) -> Column:
     return F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(*(F.get(h, i + r) for r in range(width))))
 
 
-def band_keys(lines: DataFrame) -> DataFrame:
-    """``(line, keys)``, a row for each distinct line of ``(line, norm)``: a key for each run among the smallest hashes.
+def similar_sizes(x: Column, y: Column, similarity: float) -> Column:
+    """Whether sets of ``x`` and ``y`` members can have the similarity."""
+    return F.least(x, y) >= similarity * F.greatest(x, y)
+
+
+def band_keys(lines: DataFrame, similarity: float) -> DataFrame:
+    """``(line, n, keys)``, a row for each distinct line of ``(line, norm)``: its hashes, and a key for each run among the smallest.
 
     Two sets of 4 and 5 hashes may have no run of three in common though their
-    similarity is 0.8, hence the runs of two.
+    similarity is 0.8, hence the runs of two. Lines under ``LONG`` hashes give short
+    runs, lines from ``similarity`` times as many long ones: two lines that are similar
+    enough always give a kind in common.
     """
     hashed = lines.select("line", F.array_distinct(F.sort_array(F.transform(
         all_shingles(F.col("norm")), lambda s: F.xxhash64(s)))).alias("h"))
-    distinct = hashed.select("line", F.slice("h", 1, BOTTOM).alias("h")).groupBy("line").agg(F.first("h").alias("h"))
+    distinct = hashed.select("line", F.size("h").alias("n"), F.slice("h", 1, LONG_BOTTOM).alias("h")) \
+        .groupBy("line").agg(F.first("n").alias("n"), F.first("h").alias("h"))
     h, none = F.col("h"), F.array().cast("array<bigint>")
     small = F.when(F.size(h).between(ROWS + 1, SMALL - 1), run_keys(h, 2, SMALL)).otherwise(none)
-    return distinct.select("line", F.concat(run_keys(h, ROWS, BOTTOM), small).alias("keys"))
+    short = F.when(F.col("n") < LONG, run_keys(h, ROWS, BOTTOM)).otherwise(none)
+    long = F.when(F.col("n") >= similarity * LONG, run_keys(h, LONG_ROWS, LONG_BOTTOM)).otherwise(none)
+    return distinct.select("line", "n", F.concat(short, small, long).alias("keys"))
 
 
-def candidates(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Pairs ``(a, b)`` of distinct lines, and the members ``(key, line)`` of keys too large to pair at first.
+def candidates(lines: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """Pairs ``(a, b)`` of distinct lines, and the members ``(key, line, n)`` of keys too large to pair at first.
 
     Lines are made distinct before the keys are dealt out. In each key a line is
-    paired with its next ``NEIGHBOURS`` in hash order and with the key's first, so
-    small keys are paired fully and the rows stay linear in large ones.
+    paired with its next ``NEIGHBOURS`` in order of size and hash and with the key's
+    first, so small keys are paired fully and the rows stay linear in large ones.
+    Pairs whose sizes rule out the similarity are left out.
     """
-    keyed = band_keys(lines).select("line", F.explode("keys").alias("key"))
-    in_key = Window.partitionBy("key").orderBy("line")
-    ahead = [F.lead("line", k).over(in_key).alias(f"l{k}") for k in range(1, NEIGHBOURS + 1)]
-    ranked = keyed.select("key", "line", F.first("line").over(in_key).alias("l0"), F.row_number().over(in_key).alias("at"), *ahead)
+    keyed = band_keys(lines, similarity).select("line", "n", F.explode("keys").alias("key"))
+    in_key = Window.partitionBy("key").orderBy("n", "line")
+    member = F.struct("line", "n")
+    ahead = [F.lead(member, k).over(in_key).alias(f"l{k}") for k in range(1, NEIGHBOURS + 1)]
+    ranked = keyed.select("key", "line", "n", F.first(member).over(in_key).alias("l0"), F.row_number().over(in_key).alias("at"), *ahead)
     met = written(ranked.filter("l1 is not null or at > 1"), "met")
     other = F.explode(F.array(*(f"l{k}" for k in range(NEIGHBOURS + 1)))).alias("b")
-    pairs = met.select(F.col("line").alias("a"), other).filter("a != b").select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    pairs = met.select("line", "n", other).filter("line != b.line").filter(
+        similar_sizes(F.col("n"), F.col("b.n"), similarity)).select(
+        F.least("line", "b.line").alias("a"), F.greatest("line", "b.line").alias("b")).distinct()
     large = met.filter(F.col("at") > NEIGHBOURS + 1).select("key").distinct()
-    return pairs, met.select("key", "line").join(large, "key", "left_semi")
+    return pairs, met.select("key", "line", "n").join(large, "key", "left_semi")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
@@ -131,19 +147,20 @@ def line_components(lines: DataFrame, similarity: float) -> DataFrame:
     Lines in a large key that are not yet in one component are then paired across
     components, which leaves no pair of a key undecided.
     """
-    pairs, large = candidates(lines)
+    pairs, large = candidates(lines, similarity)
     pairs = written(pairs, "pairs")
     wanted = pairs.select(F.col("a").alias("line")).union(pairs.select("b")).distinct()
     texts = written(among(lines.select("line", "norm"), written(wanted, "wanted")).dropDuplicates(["line"]), "texts")
     links = written(verified(pairs, texts, similarity), "links")
     label = components(links)
     large = written(large.join(label, large["line"] == label["node"], "left").select(
-        "key", "line", F.coalesce("component_id", "line").alias("comp")), "large")
+        "key", "line", "n", F.coalesce("component_id", "line").alias("comp")), "large")
     split = large.groupBy("key").agg(F.min("comp").alias("_x"), F.max("comp").alias("_y")).filter("_x != _y").select("key")
     open_ = written(large.join(split, "key", "left_semi"), "open")
     if not open_.isEmpty():
-        left, right = open_.toDF("key", "a", "ca"), open_.toDF("key", "b", "cb")
-        more = left.join(right, "key").filter("ca < cb").select(
+        left, right = open_.toDF("key", "a", "na", "ca"), open_.toDF("key", "b", "nb", "cb")
+        able = similar_sizes(F.col("na"), F.col("nb"), similarity)
+        more = left.join(right, "key").filter("ca < cb").filter(able).select(
             F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
         extra = written(verified(more, texts, similarity), "more")
         if not extra.isEmpty():
@@ -171,7 +188,7 @@ def line_dedup(docs: DataFrame, similarity: float = 0.8, id_col: str = "doc_id",
     """The input rows with every line but one of each component taken out of their texts.
 
     Lines are cut at newlines and compared after trimming and lower-casing, by
-    the Jaccard similarity of their sets of 8-character shingles (a line shorter
+    the Jaccard similarity of their sets of 5-character shingles (a line shorter
     than that is one shingle). Lines linked directly or over others form a
     component; the one with the smallest (id, place in the document) stays as it
     was written. Equal lines always share a component; other links are found by

@@ -244,3 +244,12 @@ def test_line_dedup_of_few_shingles_and_of_long_tokens(spark):
     found = found_pairs(spark, short + long)
     assert all(found[:120])
     assert sum(found[120:]) >= 147
+
+
+def test_line_dedup_of_one_changed_letter(spark):
+    rnd, pairs = random.Random(13), []
+    for n in range(50, 100):
+        line = " ".join(letters(rnd, 7) for _ in range(13))[:n - 1] + "z"
+        at = rnd.randrange(10, n - 10)
+        pairs.append((line, line[:at] + "0" + line[at + 1:]))
+    assert all(found_pairs(spark, pairs))
