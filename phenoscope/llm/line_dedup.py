@@ -65,80 +65,85 @@ def run_keys(h: Column, width: int, bottom: int) -> Column:
     return F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(*(F.get(h, i + r) for r in range(width))))
 
 
+def handle_of(line: str) -> Column:
+    """64 bits that stand for a line in key rows; lines that share them are told apart when pairs are verified."""
+    return F.xxhash64(line).alias("handle")
+
+
 def similar_sizes(x: Column, y: Column, similarity: float) -> Column:
     """Whether sets of ``x`` and ``y`` members can have the similarity."""
     return F.least(x, y) >= similarity * F.greatest(x, y)
 
 
 def band_keys(lines: DataFrame, similarity: float) -> DataFrame:
-    """``(line, n, keys)``, a row for each distinct line of ``(line, norm)``: its hashes, and a key for each run among the smallest.
+    """``(handle, n, keys)``, a row for each distinct line of ``(line, norm)``: its hashes, and a key for each run among the smallest.
 
     Two sets of 4 and 5 hashes may have no run of three in common though their
     similarity is 0.8, hence the runs of two. Lines under ``LONG`` hashes give short
     runs, lines from ``similarity`` times as many long ones: two lines that are similar
     enough always give a kind in common.
     """
-    hashed = lines.select("line", F.array_distinct(F.sort_array(F.transform(
-        all_shingles(F.col("norm")), lambda s: F.xxhash64(s)))).alias("h"))
-    distinct = hashed.select("line", F.size("h").alias("n"), F.slice("h", 1, LONG_BOTTOM).alias("h")) \
-        .groupBy("line").agg(F.first("n").alias("n"), F.first("h").alias("h"))
+    # the text is shorter than its hashes, so lines are made distinct first
+    hashed = lines.groupBy("line").agg(F.first("norm").alias("norm")).select(handle_of("line"), F.array_distinct(
+        F.sort_array(F.transform(all_shingles(F.col("norm")), lambda s: F.xxhash64(s)))).alias("h"))
+    distinct = hashed.select("handle", F.size("h").alias("n"), F.slice("h", 1, LONG_BOTTOM).alias("h"))
     h, none = F.col("h"), F.array().cast("array<bigint>")
     small = F.when(F.size(h).between(ROWS + 1, SMALL - 1), run_keys(h, 2, SMALL)).otherwise(none)
     short = F.when(F.col("n") < LONG, run_keys(h, ROWS, BOTTOM)).otherwise(none)
     long = F.when(F.col("n") >= similarity * LONG, run_keys(h, LONG_ROWS, LONG_BOTTOM)).otherwise(none)
-    return distinct.select("line", "n", F.concat(short, small, long).alias("keys"))
+    return distinct.select("handle", "n", F.concat(short, small, long).alias("keys"))
 
 
 def candidates(lines: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
-    """Pairs ``(a, b)`` of distinct lines, and the members ``(key, line, n)`` of keys too large to pair at first.
+    """Pairs ``(a, b)`` of handles, and the members ``(key, handle, n)`` of keys too large to pair at first.
 
     Lines are made distinct before the keys are dealt out. In each key a line is
     paired with its next ``NEIGHBOURS`` in order of size and hash and with the key's
     first, so small keys are paired fully and the rows stay linear in large ones.
     Pairs whose sizes rule out the similarity are left out.
     """
-    keyed = band_keys(lines, similarity).select("line", "n", F.explode("keys").alias("key"))
-    in_key = Window.partitionBy("key").orderBy("n", "line")
-    member = F.struct("line", "n")
+    keyed = band_keys(lines, similarity).select("handle", "n", F.explode("keys").alias("key"))
+    in_key = Window.partitionBy("key").orderBy("n", "handle")
+    member = F.struct("handle", "n")
     ahead = [F.lead(member, k).over(in_key).alias(f"l{k}") for k in range(1, NEIGHBOURS + 1)]
-    ranked = keyed.select("key", "line", "n", F.first(member).over(in_key).alias("l0"), F.row_number().over(in_key).alias("at"), *ahead)
+    ranked = keyed.select("key", "handle", "n", F.first(member).over(in_key).alias("l0"), F.row_number().over(in_key).alias("at"), *ahead)
     met = written(ranked.filter("l1 is not null or at > 1"), "met")
     other = F.explode(F.array(*(f"l{k}" for k in range(NEIGHBOURS + 1)))).alias("b")
-    pairs = met.select("line", "n", other).filter("line != b.line").filter(
+    pairs = met.select("handle", "n", other).filter("handle != b.handle").filter(
         similar_sizes(F.col("n"), F.col("b.n"), similarity)).select(
-        F.least("line", "b.line").alias("a"), F.greatest("line", "b.line").alias("b")).distinct()
+        F.least("handle", "b.handle").alias("a"), F.greatest("handle", "b.handle").alias("b")).distinct()
     large = met.filter(F.col("at") > NEIGHBOURS + 1).select("key").distinct()
-    return pairs, met.select("key", "line", "n").join(large, "key", "left_semi")
+    return pairs, met.select("key", "handle", "n").join(large, "key", "left_semi")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """The pairs whose shingle sets have a Jaccard similarity of at least ``similarity``.
+    """The pairs of lines, for ``pairs`` of handles, whose shingle sets have a Jaccard similarity of at least ``similarity``.
 
     The sets are of whole lines; shingles are compared by their 64-bit hashes.
     """
-    both = pairs.join(texts.select(F.col("line").alias("a"), F.col("norm").alias("x")), "a") \
-        .join(texts.select(F.col("line").alias("b"), F.col("norm").alias("y")), "b")
+    both = pairs.join(texts.select(F.col("handle").alias("a"), F.col("line").alias("la"), F.col("norm").alias("x")), "a") \
+        .join(texts.select(F.col("handle").alias("b"), F.col("line").alias("lb"), F.col("norm").alias("y")), "b")
     hashed = lambda c: F.transform(all_shingles(F.col(c)), lambda s: F.xxhash64(s))
     similar = once(F.struct(hashed("x").alias("s"), hashed("y").alias("t")), lambda p: (
         F.size(F.array_intersect(p["s"], p["t"])) >= similarity * F.size(F.array_union(p["s"], p["t"]))))
-    return both.filter(similar).select("a", "b")
+    return both.filter(similar).select(F.least("la", "lb").alias("a"), F.greatest("la", "lb").alias("b"))
 
 
 def among(lines: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The rows of ``lines`` whose ``line`` is in ``wanted``, without a shuffle of the others.
+    """The rows of ``lines`` whose ``handle`` is in ``wanted``, without a shuffle of the others.
 
     A bitmap of ``BITMAP`` bits over hashes of the wanted lines (a fixed 2 MB
     however many they are) is broadcast and drops nearly all other rows where they
     are read; an exact semi-join drops the rest.
     """
-    place = F.pmod(F.xxhash64("line"), F.lit(BITMAP))
+    place = F.pmod(F.xxhash64("handle"), F.lit(BITMAP))
     bucket, bit = F.floor(place / 32768).alias("_bucket"), F.pmod(place, F.lit(32768)).alias("_bit")
     bitmap = wanted.select(bucket, bit).groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_bitmap"))
     near = lines.withColumns({"_bucket": bucket, "_bit": bit}).join(F.broadcast(written(bitmap, "bitmap")), "_bucket")
     byte = F.conv(F.hex(F.substring("_bitmap", F.floor(F.col("_bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     kept = near.filter(byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), F.pmod("_bit", F.lit(8)).cast("int"))) != 0)
     # written, since the optimizer would move the semi-join below the filter
-    return written(kept.select(*lines.columns), "near").join(wanted, "line", "left_semi")
+    return written(kept.select(*lines.columns), "near").join(wanted, "handle", "left_semi")
 
 
 def line_components(lines: DataFrame, similarity: float) -> DataFrame:
@@ -149,12 +154,12 @@ def line_components(lines: DataFrame, similarity: float) -> DataFrame:
     """
     pairs, large = candidates(lines, similarity)
     pairs = written(pairs, "pairs")
-    wanted = pairs.select(F.col("a").alias("line")).union(pairs.select("b")).distinct()
-    texts = written(among(lines.select("line", "norm"), written(wanted, "wanted")).dropDuplicates(["line"]), "texts")
+    wanted = pairs.select(F.col("a").alias("handle")).union(pairs.select("b")).distinct()
+    texts = written(among(lines.select(handle_of("line"), "line", "norm"), written(wanted, "wanted")).dropDuplicates(["line"]), "texts")
     links = written(verified(pairs, texts, similarity), "links")
     label = components(links)
-    large = written(large.join(label, large["line"] == label["node"], "left").select(
-        "key", "line", "n", F.coalesce("component_id", "line").alias("comp")), "large")
+    named = label.select(handle_of("node"), F.xxhash64("component_id").alias("_of"))
+    large = written(large.join(named, "handle", "left").select("key", "handle", "n", F.coalesce("_of", "handle").alias("comp")), "large")
     split = large.groupBy("key").agg(F.min("comp").alias("_x"), F.max("comp").alias("_y")).filter("_x != _y").select("key")
     open_ = written(large.join(split, "key", "left_semi"), "open")
     if not open_.isEmpty():
