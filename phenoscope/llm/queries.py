@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from phenoscope.llm import chat_format, exact_dedup, mixing
 from phenoscope.llm.bpe import bpe_encode_decode
+from phenoscope.llm.collocations import ORACLE_SQL as COLLOCATIONS_SQL
+from phenoscope.llm.collocations import collocations
 from phenoscope.llm.common import read_table
 from phenoscope.llm.embedding_dedup import embedding_dedup
 from phenoscope.llm.language_id import identify_language
@@ -15,6 +17,8 @@ from phenoscope.llm.line_dedup import line_digest
 from phenoscope.llm.simhash import simhash_dedup
 from phenoscope.llm.substring_dedup import substring_dedup
 from phenoscope.llm.toxicity import score_toxicity
+from phenoscope.llm.url_filter import url_filter
+from phenoscope.llm.whitening import whiten
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,12 +79,32 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(read_table(spark, sf_dir, "documents"), least=100, top=2000, inside_percent=100)
+
+
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    white = whiten(read_table(spark, sf_dir, "embeddings"), components=32)
+    # null from some 10^7.5 vectors on, where the sum of squares outgrows a long
+    return white.withColumn("deviation", F.col("deviation").try_cast("long"))
+
+
+#: Fixed rules of the query.
+URL_RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
+             ("block", "net/es/"), ("block", "net/fr/"))
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter(read_table(spark, sf_dir, "pages"), URL_RULES)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_substring_dedup, op3_mix_sources, op4_simhash_dedup, op5_toxicity, op6_language_id, op7_chat_format,
-    op8_embedding_dedup, op9_exact_dedup, op10_bpe)}
+    op8_embedding_dedup, op9_exact_dedup, op10_bpe, op11_collocations, op12_embedding_whitening, op13_url_filter)}
 
 ORACLE_SQL = {
     "op3_mix_sources": mixing.ORACLE_SQL,
     "op7_chat_format": chat_format.ORACLE_SQL,
     "op9_exact_dedup": exact_dedup.ORACLE_SQL,
+    "op11_collocations": COLLOCATIONS_SQL,
 }
