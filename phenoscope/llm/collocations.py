@@ -1,21 +1,22 @@
-"""Phrase collocations per language, counted with HAT-tries level by level.
-
-Tasks cut texts into words, number the words as they meet them, and count phrases
-in a HAT-trie: hash containers under a shallow trie of word ids, which burst into a
-node when they grow too large. A full trie spills whole subtrees as sorted runs;
-Spark deals the runs out by prefix and merges them.
-
-Phrases are counted by length. A phrase occurs no more often than its parts, so
-longer ones are counted only where all their parts of the level before pass a filter
-over the frequent ones: a bitmap of fixed size, whose false hits cost time but change
-no count. Scores and the dropping of phrases inside longer ones are joins over the
-frequent phrases.
+"""Phrase collocations per language, counted with HAT-tries.
+
+Tasks count phrases in HAT-tries: hash containers under a shallow trie of word ids,
+which burst into a node when they grow too large. A full trie spills whole subtrees as
+sorted runs; Spark deals the runs out by prefix, and the runs of a prefix partition are merged.
+
+A frequent phrase lies in a hash bucket whose phrases together are frequent, and has
+only frequent parts. So the tries count only what filters let through: passes before
+them count phrases by bucket (the number of buckets follows the input), first words and pairs,
+then triples of passing pairs, then longer ones. Filters are bitmaps of bounded
+size, whose false hits cost time but change no count. Scores and the dropping of phrases inside
+longer ones are joins over the frequent phrases.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+import zlib
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -27,16 +28,22 @@ from phenoscope.llm.common import written
 
 #: Words of the longest phrase.
 LONGEST = 5
-#: Entries of a container before it bursts, and of a task's tries before subtrees spill.
-BURST, ENTRIES = 1 << 14, 1 << 19
+#: Entries of a container before it bursts, of a task's tries before subtrees spill, and phrases gathered before they are added.
+BURST, ENTRIES, GATHERED = 1 << 14, 1 << 19, 1 << 20
 #: Words that a task numbers before it spills all and numbers anew.
 VOCABULARY = 1 << 19
 #: Bytes of text cut into words at once.
-BLOCK = 1 << 21
-#: Bits of the filter of frequent phrases (8 MB).
-BITS = 1 << 26
-#: Parts of a prefix's subtree when the runs are merged, so that a frequent first word is no hot key.
-SLICES = 16
+BLOCK = 1 << 20
+#: Base-2 logarithm of the bits of a filter, at most (8 MB).
+FILTER = 26
+#: Buckets a word of the input, times the least count; bytes of text that count as one word.
+SPARE, WORD_BYTES = 32, 6
+#: Bucket counts that a task holds, and buckets of one row that it sends.
+HELD, CHUNK = 1 << 20, 1 << 16
+#: Prefix partitions of the runs, and how many of them share the phrases of one first word.
+PREFIXES, SLICES = 4096, 16
+#: Phrases of one batch of runs.
+RUN = 1 << 17
 #: Parts of a language's ranking before its best are ranked.
 RANK_PARTS = 32
 
@@ -44,39 +51,95 @@ _UPPER = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 _BREAKS = b".,;:!?\n\x0b\x0c\r"
 _TABLE = bytes.maketrans(_UPPER + b"\t" + _BREAKS, _UPPER.lower() + b" " + b"." * len(_BREAKS))
 _CUT = re.compile(rb"[ .]")
-_RUN = "lang string, phrase string, n long"
+_BASE = 0x9E3779B97F4A7C15 | 1
+_BYTES = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64)
+_FULL = np.uint64(0xFFFFFFFFFFFFFFFF)
+
+
+class Powers:
+    """Powers of the hash's base and of its inverse modulo 2^64, as far as asked for."""
+
+    def __init__(self):
+        self.up = self.down = np.ones(1, np.uint64)
+
+    def to(self, size: int) -> None:
+        if len(self.up) < size:
+            self.up, self.down = (np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(size, b, np.uint64))))
+                                  for b in (np.uint64(_BASE), np.uint64(pow(_BASE, -1, 1 << 64))))
+
+
+class Cut:
+    """The words of a block of text: starts, ends, numbers of their pieces, and hashes, by whole arrays."""
+
+    def __init__(self, raw: bytes, powers: Powers):
+        text = np.frombuffer(raw, np.uint8)
+        apart = np.concatenate(([True], (text == 32) | (text == 46), [True]))
+        self.raw = raw
+        self.starts, self.ends = np.flatnonzero(apart[:-1] & ~apart[1:]), np.flatnonzero(~apart[:-1] & apart[1:])
+        breaks = np.concatenate(([0], np.cumsum(text == 46)))
+        self.pieces, self.breaks = breaks[self.starts], int(breaks[-1])
+        powers.to(len(text) + 1)
+        total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(_BYTES[text] * powers.up[:len(text)])))
+        self.hashes = (total[self.ends] - total[self.starts]) * powers.down[self.starts]
+
+    def ids(self, used: np.ndarray, words: Words) -> np.ndarray:
+        """The numbers in ``words`` of the words marked by ``used``, 0 for others.
+
+        Words are looked up once for each distinct hash. All words of a hash are compared
+        with the one that is looked up, by eight bytes at both ends, and whole where longer
+        than that; if any differs every word is looked up.
+        """
+        out = np.zeros(len(used), np.int64)
+        at = np.flatnonzero(used)
+        if not len(at):
+            return out
+        _, first, rank = np.unique(self.hashes[at], return_index=True, return_inverse=True)
+        first, starts, ends = at[first], self.starts, self.ends
+        like = first[rank]
+        found = np.array([words[self.raw[s:e]] for s, e in zip(starts[first].tolist(), ends[first].tolist())])
+        padded = self.raw + bytes(8)
+        eight = np.ndarray(len(self.raw) + 1, "<u8", padded, strides=(1,))
+        size = ends - starts
+        kept = np.uint64(8) * (np.uint64(8) - np.clip(size, 1, 8).astype(np.uint64))
+        begin = eight[starts] & (_FULL >> kept)
+        end = np.where(size > 8, eight[np.maximum(ends - 8, 0)], 0)
+        same = (size[at] == size[like]) & (begin[at] == begin[like]) & (end[at] == end[like])
+        long = at[(size[at] > 16) & (at != like)]
+        if not same.all() or any(self.raw[starts[i]:ends[i]] != self.raw[starts[j]:ends[j]] for i, j in zip(long, like[np.searchsorted(at, long)])):
+            out[at] = [words[self.raw[s:e]] for s, e in zip(starts[at].tolist(), ends[at].tolist())]
+        else:
+            out[at] = found[rank]
+        return out
 
 
 class Words(dict):
-    """Numbers a language's words from 1 in the order they are met; 0 is the break between pieces."""
+    """Numbers a language's words from 1 in the order they are met."""
 
-    def __init__(self, lang: str):
-        super().__init__({b".": 0})
-        self.names, self.hashes = [b"."], np.zeros(1, np.uint64)
-        self.seed = xxhash.xxh32_intdigest(lang.encode())
+    def __init__(self):
+        super().__init__()
+        self.names = [b""]
 
     def __missing__(self, word: bytes) -> int:
         self[word] = number = len(self.names)
         self.names.append(word)
         return number
 
-    def ids(self, raw: bytes) -> np.ndarray:
-        found = raw.replace(b".", b" . ").split()
-        return np.fromiter(map(self.__getitem__, found), np.int64, len(found))
-
-    def hash(self, ids: np.ndarray) -> np.ndarray:
-        if len(self.hashes) < len(self.names):
-            new = [xxhash.xxh3_64_intdigest(w, self.seed) for w in self.names[len(self.hashes):]]
-            self.hashes = np.concatenate((self.hashes, np.array(new, np.uint64)))
-        return self.hashes[ids]
 
+def place(columns: Sequence[np.ndarray], seed: int, size: int) -> np.ndarray:
+    """The bucket out of 2^``size`` of phrases given by the hashes of their words, column by column.
 
-def place(columns: Sequence[np.ndarray]) -> np.ndarray:
-    """The filter's bit for phrases given by the hashes of their words, column by column."""
-    h = np.zeros(len(columns[0]), np.uint64)
+    Buckets of fewer bits are the first bits of those of more.
+    """
+    h = np.full(len(columns[0]), seed, np.uint64)
     for word in columns:
-        h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15) + word
-    return ((h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - BITS.bit_length() + 1)
+        h = (h ^ (h >> np.uint64(31))) * np.uint64(_BASE) + word
+    return (((h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - size)).astype(np.int64)
+
+
+def windows(values: np.ndarray, length: int) -> list[np.ndarray]:
+    """Every run of ``length`` neighbours, column by column."""
+    count = max(0, len(values) - length + 1)
+    return [values[i:i + count] for i in range(length)]
 
 
 class Box(dict):
@@ -88,7 +151,7 @@ class HatTrie:
 
     The trie begins as one container. A container that grows over ``burst`` phrases
     of more than one remaining word becomes a node: a dictionary from the next
-    word to a container of the rest.
+    word to a container of the rest, and from 0 to one for the phrase that ends there.
     """
 
     def __init__(self, burst: int):
@@ -105,6 +168,9 @@ class HatTrie:
                 node[key] = node.get(key, 0) + n
             self.size += len(node) - before
             return self._split(node) if len(node) > self.burst and len(columns) > 1 else node
+        if not columns:  # phrases that end here
+            node[0] = self._add(node.get(0) or Box(), columns, counts, lo, hi)
+            return node
         first, rest = columns[0], columns[1:]
         while lo < hi:
             word, at = first[lo], lo + 1
@@ -117,7 +183,7 @@ class HatTrie:
     def _split(self, box: Box) -> dict:
         node: dict[int, Box] = {}
         for key, n in box.items():
-            node.setdefault(key[0], Box())[key[1:]] = n
+            node.setdefault(key[0] if key else 0, Box())[key[1:]] = n
         return {w: self._split(b) if len(b) > self.burst and any(len(k) > 1 for k in b) else b for w, b in node.items()}
 
     def spill(self, keep: int) -> Iterator[list[tuple[tuple[int, ...], int]]]:
@@ -144,7 +210,7 @@ class HatTrie:
             yield from node.items()
         else:
             for word, below in node.items():
-                yield from (((word, *k), n) for k, n in self._walk(below))
+                yield from (((word, *k) if word else k, n) for k, n in self._walk(below))
 
 
 def blocks(texts: Iterator[bytes | None], block: int) -> Iterator[tuple[bytes, bool]]:
@@ -177,129 +243,257 @@ def grouped(columns: Sequence[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray
     return [c[first] for c in columns], counts
 
 
-def phrases(ids: np.ndarray, carried: int, length: int, known: np.ndarray | None, known_length: int) -> list[np.ndarray]:
-    """The columns of all phrases of ``length`` words in ``ids`` that end after the first ``carried``.
+def passing(hashes: np.ndarray, pieces: np.ndarray, seed: int, filters: Mapping[int, np.ndarray], longest: int) -> dict[int, np.ndarray]:
+    """By length, whether the phrase that starts at a word lies in one piece and passes the filters with all its parts."""
+    out = {}
+    for length in range(1, longest + 1):
+        ends = windows(pieces, length)
+        fine = ends[0] == ends[-1]
+        if length > 1:
+            fine &= out[length - 1][:-1] & out[length - 1][1:] if len(fine) else fine
+        if length in filters:
+            bits = filters[length]
+            p = place(windows(hashes, length), seed, len(bits).bit_length() + 2)
+            fine &= (bits[p >> 3] >> (p & 7).astype(np.uint8)) & 1 == 1
+        out[length] = fine
+    return out
+
+
+class Reader:
+    """The blocks of ``(lang, text)`` batches as word hashes and pieces, with the last words of a block that a text goes on from."""
+
+    def __init__(self, block: int, carry: int):
+        self.block, self.carry, self.powers = block, carry, Powers()
+
+    def read(self, batch: pa.RecordBatch) -> Iterator[tuple[str, int, Cut, np.ndarray, np.ndarray, int, bool]]:
+        """(language, seed, block, hashes and pieces with the carried words first, how many those are, whether the text goes on)."""
+        by_lang: dict[str, list[int]] = {}
+        for i, lang in enumerate(batch.column(0).to_pylist()):
+            by_lang.setdefault(lang, []).append(i)
+        texts = batch.column(1).cast(pa.binary())
+        for lang, at in by_lang.items():
+            seed = xxhash.xxh32_intdigest(lang.encode())
+            hashes, pieces = np.empty(0, np.uint64), np.empty(0, np.int64)
+            for raw, goes_on in blocks((texts[i].as_py() for i in at), self.block):
+                cut, carried = Cut(raw, self.powers), len(hashes)
+                hashes, pieces = np.concatenate((hashes, cut.hashes)), np.concatenate((pieces, cut.pieces))
+                yield lang, seed, cut, hashes, pieces, carried, goes_on
+                keep = min(self.carry, len(hashes)) if goes_on else 0
+                hashes, pieces = hashes[len(hashes) - keep:], pieces[len(pieces) - keep:] - cut.breaks
+
+
+def bucket_rows(buckets: np.ndarray, counts: np.ndarray, least: int) -> pa.RecordBatch:
+    """Sorted buckets and counts as rows ``(chunk, cells)``: places in the chunk, then counts of ``least`` at most.
+
+    Where a count is cut the sum still reaches ``least``, so what is compared with it stays exact.
+    """
+    kind = np.uint8 if least < 256 else np.uint32
+    chunk, counts = buckets // CHUNK, np.minimum(counts, least).astype(kind)
+    edges = np.flatnonzero(np.diff(chunk, prepend=-1, append=-1))
+    inside = (buckets % CHUNK).astype(np.uint16)
+    cells = [inside[i:j].tobytes() + counts[i:j].tobytes() for i, j in zip(edges[:-1], edges[1:])]
+    return pa.RecordBatch.from_arrays([pa.array(chunk[edges[:-1]]), pa.array(cells, pa.binary())], names=["chunk", "cells"])
+
+
+def bucket_filter(rows: DataFrame, lengths: Sequence[int], filters: Mapping[int, np.ndarray], size: int, least: int, block: int,
+                  held: int) -> np.ndarray:
+    """A filter with those of 2^``size`` buckets that hold ``least`` phrases of the given lengths.
 
-    With ``known`` (whether a part of ``known_length`` words that starts at a place may
-    be frequent) only phrases all of whose parts are.
+    Only phrases that pass ``filters`` are counted. Tasks send counts by bucket; a chunk
+    of buckets is added up row by row in Spark.
     """
-    starts = len(ids) - length + 1
-    if starts <= 0:
-        return [np.empty(0, np.int64)] * length
-    broken = np.concatenate(([0], np.cumsum(ids == 0)))
-    fine = broken[length:] == broken[:starts]
-    if known is not None:
-        for i in range(length - known_length + 1):
-            fine &= known[i:i + starts]
-    fine[:max(0, carried - length + 1)] = False
-    at = np.flatnonzero(fine)
-    return [ids[at + i] for i in range(length)]
-
-
-def run_batches(lang: str, names: list[bytes], taken: list[tuple[tuple[int, ...], int]]) -> Iterator[pa.RecordBatch]:
-    """A spilled subtree as a sorted run."""
-    run = sorted((b" ".join([names[i] for i in key]), n) for key, n in taken)
-    for i in range(0, len(run), 1 << 16):
-        part = run[i:i + (1 << 16)]
-        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(part)), pa.array([p for p, _ in part], pa.binary()).cast(pa.string()),
-                                          pa.array([n for _, n in part], pa.int64())], names=["lang", "phrase", "n"])
-
-
-def counted(rows: DataFrame, lengths: Sequence[int], filter_bits: np.ndarray | None, burst: int, entries: int,
+    shared = rows.sparkSession.sparkContext.broadcast(dict(filters))
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pending: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def summed() -> tuple[np.ndarray, np.ndarray]:
+            buckets, counts = (np.concatenate(c) for c in zip(*pending))
+            order = np.argsort(buckets, kind="stable")
+            buckets, counts = buckets[order], counts[order]
+            first = np.flatnonzero(np.diff(buckets, prepend=-1))
+            return buckets[first], np.add.reduceat(counts, first) if len(first) else counts
+
+        reader = Reader(block, max(lengths) - 1)
+        for batch in batches:
+            for _, seed, _, hashes, pieces, carried, _ in reader.read(batch):
+                fine = passing(hashes, pieces, seed, shared.value, max(lengths))
+                for length in lengths:
+                    fine[length][:max(0, carried - length + 1)] = False
+                    pending.append(np.unique(place([c[fine[length]] for c in windows(hashes, length)], seed, size), return_counts=True))
+                if sum(len(b) for b, _ in pending) > 2 * held:
+                    pending = [summed()]
+                    if len(pending[0][0]) > held:
+                        yield bucket_rows(*pending[0], least)
+                        pending = []
+        if pending:
+            yield bucket_rows(*summed(), least)
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kind = np.dtype(np.uint8 if least < 256 else np.uint32)
+        counts, current = np.zeros(CHUNK, np.int64), None
+
+        def hits() -> pa.RecordBatch:
+            found = np.flatnonzero(counts >= least) + current * CHUNK
+            return pa.RecordBatch.from_arrays([pa.array(found >> max(0, size - FILTER))], names=["p"])
+
+        for batch in batches:
+            for chunk, cells in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if chunk != current:
+                    if current is not None:
+                        yield hits()
+                    counts[:], current = 0, chunk
+                n = len(cells) // (2 + kind.itemsize)
+                counts[np.frombuffer(cells, np.uint16, n)] += np.frombuffer(cells, kind, n, 2 * n)
+        if current is not None:
+            yield hits()
+
+    sent = rows.mapInArrow(count, "chunk long, cells binary").repartition("chunk").sortWithinPartitions("chunk")
+    return bitmap(sent.mapInArrow(merge, "p long"), min(size, FILTER))
+
+
+def bitmap(places: DataFrame, size: int) -> np.ndarray:
+    """2^``size`` bits, those in ``(p)`` set. Put together in Spark; 2^(``size`` - 15) rows of 4 KB reach the driver."""
+    width = 32768
+    merged = places.select(F.floor(F.col("p") / width).alias("bucket"), F.pmod("p", F.lit(width)).alias("bit")).groupBy("bucket").agg(
+        F.bitmap_construct_agg("bit").alias("bits"))
+    out = np.zeros((1 << size) // 8, np.uint8)
+    for row in merged.collect():
+        out[row.bucket * width // 8:(row.bucket + 1) * width // 8] = np.frombuffer(row.bits, np.uint8)
+    return out
+
+
+def runs_of(lang: str, names: list[bytes], subtrees: Iterator[list[tuple[tuple[int, ...], int]]]) -> Iterator[pa.RecordBatch]:
+    """Spilled subtrees as rows ``(prefix, lang, phrases, counts)``: the sorted run of a prefix partition each."""
+    parts: dict[int, list[tuple[bytes, int]]] = {}
+    held = 0
+
+    def rows() -> pa.RecordBatch:
+        for part in parts.values():
+            part.sort()
+        phrases = [[p for p, _ in part] for part in parts.values()]
+        return pa.RecordBatch.from_arrays([
+            pa.array(list(parts), pa.int32()), pa.array([lang] * len(parts)), pa.array(phrases, pa.list_(pa.binary())).cast(pa.list_(pa.string())),
+            pa.array([[n for _, n in part] for part in parts.values()], pa.list_(pa.int64()))], names=["prefix", "lang", "phrases", "counts"])
+
+    for taken in subtrees:
+        for key, n in taken:
+            phrase = b" ".join([names[i] for i in key])
+            prefix = (zlib.crc32(names[key[0]]) + zlib.crc32(phrase) % SLICES * (PREFIXES // SLICES)) % PREFIXES
+            parts.setdefault(prefix, []).append((phrase, n))
+            held += 1
+            if held == RUN:
+                yield rows()
+                parts, held = {}, 0
+    if parts:
+        yield rows()
+
+
+def counted(rows: DataFrame, filters: Mapping[int, np.ndarray], least: int, burst: int, entries: int, gathered: int,
             vocabulary: int, block: int) -> DataFrame:
-    """``(lang, phrase, n)`` of phrases of the given lengths in ``(lang, text)``, summed over all tasks."""
-    known_length, carry = min(lengths) - 1, max(lengths) - 1
-    shared = None if filter_bits is None else rows.sparkSession.sparkContext.broadcast(filter_bits)
+    """``(lang, phrase, n)`` of the phrases in ``(lang, text)`` that pass the filters and occur ``least`` times.
+
+    Under the empty phrase there is the number of all words of a language.
+    """
+    longest = max(filters)
+    shared = rows.sparkSession.sparkContext.broadcast(dict(filters))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = None if shared is None else shared.value
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words: dict[str, Words] = {}
         tries: dict[str, HatTrie] = {}
+        totals: dict[str, int] = {}
+        waiting: dict[tuple[str, int], list[list[np.ndarray]]] = {}
+        waits = 0
+
+        def added() -> None:
+            for (lang, _), parts in waiting.items():
+                tries[lang].add(*grouped([np.concatenate(c) for c in zip(*parts)]))
+            waiting.clear()
 
         def spilled(keep: int) -> Iterator[pa.RecordBatch]:
             size = sum(t.size for t in tries.values())
             for lang, trie in tries.items():
-                for taken in trie.spill(trie.size * keep // max(1, size)):
-                    yield from run_batches(lang, words[lang].names, taken)
+                yield from runs_of(lang, words[lang].names, trie.spill(trie.size * keep // max(1, size)))
 
+        reader = Reader(block, longest - 1)
         for batch in batches:
-            by_lang: dict[str, list[int]] = {}
-            for i, lang in enumerate(batch.column(0).to_pylist()):
-                by_lang.setdefault(lang, []).append(i)
-            texts = batch.column(1).cast(pa.binary())
-            for lang, at in by_lang.items():
-                tail = np.empty(0, np.int64)
-                for raw, goes_on in blocks((texts[i].as_py() for i in at), block):
-                    if lang not in words:
-                        words[lang], tries[lang] = Words(lang), HatTrie(burst)
-                    ids = np.concatenate((tail, words[lang].ids(raw)))
-                    known = None
-                    if bits is not None and len(ids) >= known_length:
-                        h, n = words[lang].hash(ids), len(ids) - known_length + 1
-                        p = place([h[i:i + n] for i in range(known_length)])
-                        known = (bits[p >> np.uint64(3)] >> (p & np.uint64(7)).astype(np.uint8)) & 1 == 1
-                        known = np.concatenate((known, np.zeros(known_length - 1, bool)))
-                    for length in lengths:
-                        columns = phrases(ids, len(tail), length, known, known_length)
-                        if len(columns[0]):
-                            tries[lang].add(*grouped(columns))
-                    tail = ids[len(ids) - carry:] if goes_on and carry else np.empty(0, np.int64)
-                    if sum(map(len, words.values())) > vocabulary:
-                        names = [words[lang].names[i] for i in tail]
-                        yield from spilled(0)
-                        words, tries = {lang: Words(lang)}, {lang: HatTrie(burst)}
-                        tail = np.array([words[lang][w] for w in names], np.int64)
-                    elif sum(t.size for t in tries.values()) > entries:
-                        yield from spilled(entries // 2)
+            tail = np.empty(0, np.int64)
+            for lang, seed, cut, hashes, pieces, carried, goes_on in reader.read(batch):
+                if lang not in words:
+                    words[lang], tries[lang] = Words(), HatTrie(burst)
+                totals[lang] = totals.get(lang, 0) + len(hashes) - carried
+                fine = passing(hashes, pieces, seed, shared.value, longest)
+                used = fine[1].copy()
+                used[max(0, len(used) - longest + 1):] |= goes_on  # the next block needs their numbers
+                ids = np.concatenate((tail, cut.ids(used[carried:], words[lang])))
+                for length, starts in fine.items():
+                    starts[:max(0, carried - length + 1)] = False
+                    if starts.any():
+                        waiting.setdefault((lang, length), []).append([c[starts] for c in windows(ids, length)])
+                        waits += int(np.count_nonzero(starts))
+                tail = ids[max(0, len(ids) - longest + 1):] if goes_on else ids[:0]
+                full = sum(map(len, words.values())) > vocabulary
+                if waits > gathered or full:
+                    added()
+                    waits = 0
+                if full:
+                    names = [words[lang].names[i] for i in tail]
+                    yield from spilled(0)
+                    words, tries = {lang: Words()}, {lang: HatTrie(burst)}
+                    tail = np.array([words[lang][w] for w in names], np.int64)
+                elif sum(t.size for t in tries.values()) > entries:
+                    yield from spilled(entries // 2)
+        added()
         yield from spilled(0)
+        if totals:
+            yield pa.RecordBatch.from_arrays([
+                pa.array([-1] * len(totals), pa.int32()), pa.array(list(totals)), pa.array([[""]] * len(totals)),
+                pa.array([[n] for n in totals.values()])], names=["prefix", "lang", "phrases", "counts"])
 
-    found = rows.mapInArrow(run, _RUN)
-    prefix = found.withColumns({"head": F.substring_index("phrase", " ", 1), "part": F.pmod(F.xxhash64("phrase"), F.lit(SLICES))})
-    return prefix.repartition("lang", "head", "part").groupBy("lang", "head", "part", "phrase").agg(
-        F.sum("n").alias("n")).select("lang", "phrase", "n")
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[str, int] = {}
+        current = None
 
+        def found() -> pa.RecordBatch:
+            kept = [(p, n) for p, n in counts.items() if n >= least or not p]
+            return pa.RecordBatch.from_arrays([pa.array([current[1]] * len(kept), pa.string()), pa.array([p for p, _ in kept], pa.string()),
+                                               pa.array([n for _, n in kept], pa.int64())], names=["lang", "phrase", "n"])
 
-def filter_of(frequent: DataFrame) -> np.ndarray:
-    """A bitmap of ``BITS`` bits with the places of ``(lang, phrase)``; its parts are merged in Spark."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seeds = {v: xxhash.xxh32_intdigest(v.encode()) for v in set(batch.column(0).to_pylist())}
-            hashes = np.array([[xxhash.xxh3_64_intdigest(w, seeds[lang]) for w in phrase.split(b" ")] for lang, phrase in zip(
-                batch.column(0).to_pylist(), batch.column(1).cast(pa.binary()).to_pylist())], np.uint64)
-            if len(hashes):
-                yield pa.RecordBatch.from_arrays([pa.array(place(list(hashes.T)).astype(np.int64))], names=["p"])
-
-    width = 32768  # bits of one merged part
-    places = frequent.mapInArrow(run, "p long").select(F.floor(F.col("p") / width).alias("bucket"), F.pmod("p", F.lit(width)).alias("bit"))
-    merged = places.groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
-    out = np.zeros(BITS // 8, np.uint8)
-    for row in merged.collect():  # BITS / width rows at most
-        out[row.bucket * width // 8:(row.bucket + 1) * width // 8] = np.frombuffer(row.bits, np.uint8)
-    return out
+            prefixes, langs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+            for i, key in enumerate(zip(prefixes, langs)):
+                if key != current:
+                    if current is not None:
+                        yield found()
+                    counts, current = {}, key
+                for p, n in zip(batch.column(2)[i].as_py(), batch.column(3)[i].as_py()):
+                    counts[p] = counts.get(p, 0) + n
+        if current is not None:
+            yield found()
+
+    runs = rows.mapInArrow(count, "prefix int, lang string, phrases array<string>, counts array<bigint>")
+    return runs.repartition("prefix", "lang").sortWithinPartitions("prefix", "lang").mapInArrow(merge, "lang string, phrase string, n long")
 
 
 def frequent_phrases(rows: DataFrame, least: int, longest: int = LONGEST, burst: int = BURST, entries: int = ENTRIES,
-                     vocabulary: int = VOCABULARY, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+                     gathered: int = GATHERED, vocabulary: int = VOCABULARY, block: int = BLOCK, held: int = HELD) -> tuple[DataFrame, DataFrame]:
     """``(lang, phrase, k, f)`` of all phrases of up to ``longest`` words that occur ``least`` times, and ``(lang, n)``.
 
-    ``rows`` is ``(lang, text)``. One pass over the texts for each of 1, 2 and 3 words,
-    and one for all longer phrases.
+    ``rows`` is ``(lang, text)``, read once for its size, once for the buckets of words and pairs,
+    once for those of triples, once for those of longer phrases, and once to count.
     """
-    limits = dict(burst=burst, entries=entries, vocabulary=vocabulary, block=block)
-    words = written(counted(rows, [1], None, **limits), "words")
-    totals = written(words.groupBy("lang").agg(F.sum("n").alias("n")), "totals")
-    levels = [written(words.filter(F.col("n") >= least), "frequent")]
-    for lengths in ([2], [3], list(range(4, longest + 1))):
+    total = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    size = max(16, (total // WORD_BYTES * SPARE // least).bit_length())
+    filters: dict[int, np.ndarray] = {}
+    for lengths in ([1, 2], [3], list(range(4, longest + 1))):
         lengths = [k for k in lengths if k <= longest]
-        last = levels[-1]
-        if not lengths or last.isEmpty():
-            break
-        found = counted(rows, lengths, filter_of(last.select("lang", "phrase")), **limits)
-        levels.append(written(found.filter(F.col("n") >= least), "frequent"))
-    out = levels[0]
-    for level in levels[1:]:
-        out = out.unionByName(level)
-    return out.select("lang", "phrase", F.size(F.split("phrase", " ")).alias("k"), F.col("n").alias("f")), totals
+        if lengths and (not filters or filters[max(filters)].any()):
+            bits = bucket_filter(rows, lengths, filters, size, least, block, held)
+            filters |= {k: bits for k in lengths}
+    found = counted(rows, filters, least, burst, entries, gathered, vocabulary, block)
+    words = F.when(F.col("phrase") == "", 0).otherwise(F.size(F.split("phrase", " ")))
+    kept = written(found.select("lang", "phrase", words.alias("k"), F.col("n").alias("f")), "frequent")
+    return kept.filter("k > 0"), kept.filter("k = 0").select("lang", F.col("f").alias("n"))
 
 
 def scored(frequent: DataFrame, totals: DataFrame) -> DataFrame:

@@ -57,7 +57,7 @@ def corpus():
     return rows + [(t, "en") for _, t in odd_texts() if t is None or len(t) < 5000] + [("\x1c\x85 \u00a0 \x00 x", "en")] * 4
 
 
-SMALL = {"burst": 3, "entries": 12, "vocabulary": 40, "block": 64}
+SMALL = {"burst": 3, "entries": 12, "vocabulary": 40, "block": 64, "held": 9, "gathered": 5}
 
 
 @pytest.mark.parametrize("limits", [{}, SMALL], ids=["production", "small"])
@@ -95,6 +95,24 @@ def test_scores_over_64_bits(spark):
     assert row.score == 1000 * a * n // (left * right)
 
 
+def test_buckets_are_added_up():
+    import numpy as np
+    batch = C.bucket_rows(np.array([0, 1, 65535, 65536, 1 << 20]), np.array([1, 300, 5, 7, 2]), 100).to_pydict()
+    assert batch["chunk"] == [0, 1, 16] and [len(c) for c in batch["cells"]] == [9, 3, 3]
+    assert list(np.frombuffer(batch["cells"][0], np.uint8, 3, 6)) == [1, 100, 5]
+
+
+def test_words_of_one_hash_are_told_apart(monkeypatch):
+    import numpy as np
+    raw = b"one two one abcdefgh-rest-of-a-long-word abcdefgh-tset-of-a-long-word two x"
+    for hashes in (None, [1, 1, 1, 2, 2, 1, 1], [1, 2, 1, 3, 3, 2, 4]):
+        cut, words = C.Cut(raw, C.Powers()), C.Words()
+        if hashes:
+            cut.hashes = np.array(hashes, np.uint64)
+        ids = cut.ids(np.array([True] * 6 + [False]), words)
+        assert [words.names[i] for i in ids] == raw.split()[:6] + [b""]
+
+
 def test_trie_bursts_and_spills():
     import numpy as np
     trie = C.HatTrie(burst=2)
@@ -104,4 +122,7 @@ def test_trie_bursts_and_spills():
     assert not isinstance(trie.root, C.Box) and trie.size == 4
     spilled = list(trie.spill(1))
     assert [dict(s) for s in spilled] == [{(1, 1, 1): 2, (1, 1, 2): 3, (1, 2, 1): 4}] and trie.size == 1
-    assert [dict(s) for s in trie.spill(0)] == [{(2, 1, 1): 5}] and trie.size == 0
+    trie.add([np.array([2])], np.array([6]))
+    for _ in range(2):
+        trie.add([np.array([2, 2, 2]), np.array([1, 3, 4])], np.array([1, 1, 1]))
+    assert [dict(s) for s in trie.spill(0)] == [{(2, 1, 1): 5, (2,): 6, (2, 1): 2, (2, 3): 2, (2, 4): 2}] and trie.size == 0
