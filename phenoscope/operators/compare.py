@@ -37,7 +37,3 @@ def comparison_frame(scores: DataFrame, features: Sequence[DataFrame],
             out = out.withColumn(flag, F.when(F.col(flag) == 1, F.lit(1)).otherwise(F.lit(0)))
     return out
 
-
-def duplicate_keys(df: DataFrame, key: str = "id") -> DataFrame:
-    """Keys held by more than one row (a wide join would multiply them)."""
-    return df.groupBy(key).count().filter(F.col("count") > 1)

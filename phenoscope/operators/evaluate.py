@@ -1,8 +1,8 @@
 """How well a score predicts a 0/1 outcome (D-34..D-37, D-43).
 
-Nothing is collected: ROC points and AUC come from per-score counts with
-running totals over a bucketed order (see ``ordered``), the balanced sample
-keeps the negatives with the smallest seeded hash.
+Nothing is collected: ROC points and AUC come from per-score counts, written
+once, with running totals over one order of (group, score) (see ``ordered``); the
+balanced sample keeps the negatives with the smallest seeded hash.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from phenoscope.operators.ordered import attach_scalars, hash_first_n, quantile_bucket, running_totals
+from phenoscope.operators.ordered import BUCKET_ROWS, attach_scalars, hash_first_n, ordered_totals
 
 
 def balanced_sample(df: DataFrame, label_col: str, key_col: str, seed: int = 0,
@@ -41,48 +41,53 @@ def score_counts(df: DataFrame, y_col: str, score_col: str, group_cols: Sequence
             .agg(F.sum(y).alias("pos"), F.sum(F.lit(1) - y).alias("neg")))
 
 
-def _cumulative(counts: DataFrame, group_cols: Sequence[str], buckets: int) -> DataFrame:
+def _cumulative(counts: DataFrame, group_cols: Sequence[str], bucket_rows: int) -> DataFrame:
     """Per distinct score: tp/fp = positives/negatives at or above it; P/N group totals."""
-    bucketed = quantile_bucket(counts, "threshold", group_cols, buckets=buckets, descending=True)
-    cum = running_totals(bucketed, order=[F.col("threshold").desc()],
-                         sum_cols={"tp": F.col("pos"), "fp": F.col("neg")},
-                         bucket=F.col("_rt_bucket"), partition_cols=group_cols,
-                         max_buckets=buckets, with_totals=True).drop("_rt_bucket")
-    return cum.withColumnRenamed("tp_total", "P").withColumnRenamed("fp_total", "N")
+    cum = ordered_totals(counts, group_cols, [F.col("threshold").desc()], ["pos", "neg"], bucket_rows)
+    return cum.withColumnsRenamed({"pos_run": "tp", "neg_run": "fp", "pos_all": "P", "neg_all": "N"})
 
 
 def roc_curve(df: DataFrame, y_col: str, score_col: str, group_cols: Sequence[str] = (),
-              buckets: int = 64) -> DataFrame:
+              bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """D-35: one ROC point per distinct score, taken as threshold (score >= t).
 
     The curve of every group starts at (0, 0), the point of the threshold
     infinity, which no score reaches. Without positives (negatives) the true
-    (false) positive rate is null.
+    (false) positive rate is null. ``df`` is read once.
     """
     counts = score_counts(df, y_col, score_col, group_cols)
-    start = counts.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 0").select(
-        *group_cols, F.lit(float("inf")).alias("threshold"), F.lit(0).cast("long").alias("pos"),
-        F.lit(0).cast("long").alias("neg"))
-    cum = _cumulative(counts.unionByName(start), group_cols, buckets)
-    return cum.select(*group_cols, "threshold", "tp", "fp",
-                      F.try_divide(F.col("tp"), F.col("P")).alias("tpr"),
-                      F.try_divide(F.col("fp"), F.col("N")).alias("fpr"))
+    cum = _cumulative(counts, group_cols, bucket_rows)
+    # the starting point stands beside the group's first score
+    point = lambda t, tp, fp: F.struct(t.cast("double").alias("threshold"), tp.cast("long").alias("tp"), fp.cast("long").alias("fp"))
+    here = point(F.col("threshold"), F.col("tp"), F.col("fp"))
+    start = point(F.lit(float("inf")), F.lit(0), F.lit(0))
+    first = (F.col("tp") == F.col("pos")) & (F.col("fp") == F.col("neg"))
+    points = cum.select(*group_cols, "P", "N", F.explode(F.when(first, F.array(start, here)).otherwise(F.array(here))).alias("at"))
+    return points.select(*group_cols, "at.threshold", "at.tp", "at.fp",
+                         F.try_divide(F.col("at.tp"), F.col("P")).alias("tpr"),
+                         F.try_divide(F.col("at.fp"), F.col("N")).alias("fpr"))
 
 
 def roc_auc(df: DataFrame, y_col: str, score_col: str, group_cols: Sequence[str] = (),
-            buckets: int = 64) -> DataFrame:
+            bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """D-36: area under the ROC curve per group, ties counted one half.
 
     AUC = sum over distinct scores s of pos(s) * (negatives below s + neg(s)/2) / (P*N),
-    in double, since the products outgrow a long from some 10^9 rows on.
+    in double, since the products outgrow a long from some 10^9 rows on. ``df`` is read once.
     """
-    counts = score_counts(df, y_col, score_col, group_cols)
-    cum = _cumulative(counts, group_cols, buckets)
+    groups = list(group_cols)
+    cum = _cumulative(score_counts(df, y_col, score_col, groups), groups, bucket_rows)
     pos, below = F.col("pos").cast("double"), (F.col("N") - F.col("fp")).cast("double")
     part = pos * below + F.lit(0.5) * pos * F.col("neg")
-    return cum.groupBy(*group_cols).agg(
-        F.try_divide(F.sum(part), F.first("P").cast("double") * F.first("N").cast("double")).alias("auc"),
-        F.first("P").alias("n_pos"), F.first("N").alias("n_neg"))
+    # a group inside one bucket is summed there; the few that go on, two a bucket at most, in one task
+    sums = cum.groupBy("_rt_bucket", *groups).agg(F.sum(part).alias("area"), F.first("P").alias("P"), F.first("N").alias("N"),
+                                                  F.first("_rt_edge").alias("edge"))
+    summed = sums.filter("edge").select(*groups, "area", "P", "N").coalesce(1).groupBy(*groups).agg(
+        F.sum("area").alias("area"), F.first("P").alias("P"), F.first("N").alias("N"))
+    if groups:
+        summed = summed.unionByName(sums.filter("not edge").select(*groups, "area", "P", "N"))
+    return summed.select(*groups, F.try_divide(F.col("area"), F.col("P").cast("double") * F.col("N").cast("double")).alias("auc"),
+                         F.col("P").alias("n_pos"), F.col("N").alias("n_neg"))
 
 
 def long_scores(df: DataFrame, key_col: str, y_col: str, predictors: Sequence[str]) -> DataFrame:

@@ -1,23 +1,18 @@
 """Running totals in a global order, without a single-partition window.
 
-A window with an ORDER BY but no PARTITION BY moves every row to one task.
-``running_totals`` splits the order into buckets whose boundaries are
-monotone in the ordering key (order statistics of a deterministic hash
-sample, or a prefix of a hash), so every row of a bucket precedes every
-row of the next one:
-
-1. totals per (group, bucket)                 -- aggregate, map-side combined
-2. offsets = sum of all earlier buckets         -- window over <= ``buckets``
-                                                   rows per group
-3. per row: offset + running sum inside bucket  -- window partitioned by
-                                                   (group, bucket)
-
-Ties of the ordering key always share a bucket. By default the in-bucket
-window has a RANGE frame, so tied rows get the same (inclusive) total; with
-``ties=False`` every row gets its own. Groups are joined null-safe, so rows
+A window with an ORDER BY but no PARTITION BY moves every row to one task. Here the
+order is cut into buckets, so that every row of a bucket precedes every row of the next:
+
+1. totals per bucket                             -- aggregate, map-side combined
+2. offsets = sums of all earlier buckets         -- over the buckets, a bounded frame
+3. per row: offset + running sum in the bucket   -- window partitioned by bucket
+
+``running_totals`` takes buckets that the caller knows to be monotone (prefixes of a
+hash). ``ordered_totals`` makes them by range partitioning on one composite key,
+the group columns first, so a group of a third of all rows is cut like any other
+and few groups still use every task. The input is read once and written; its
+row count sets the number of buckets. Groups are joined null-safe, so rows
 whose group columns are null form a group like any other.
-Bucket boundaries never depend on task order, so a partition recomputed
-after an executor loss lands in the same buckets as before.
 """
 
 from __future__ import annotations
@@ -27,7 +22,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from phenoscope.store import measured, written
+
 _BUCKET = "_rt_bucket"
+#: Rows of a bucket, about, and buckets at most: the bound of the frames that are broadcast or sent to one task.
+BUCKET_ROWS, MAX_BUCKETS = 200_000, 1 << 16
 
 
 def attach_scalars(df: DataFrame, one_row: DataFrame) -> DataFrame:
@@ -51,40 +50,50 @@ def join_groups(df: DataFrame, per_group: DataFrame, cols: Sequence[str], how: s
     return df.join(renamed, cond, how).drop(*[f"_g_{c}" for c in cols])
 
 
-def _unit_hash(x: Column) -> Column:
-    """Deterministic pseudo-uniform value in [0, 1) from a column's value."""
-    return F.pmod(F.xxhash64(x), F.lit(1 << 30)).cast("double") / F.lit(float(1 << 30))
+def range_buckets(df: DataFrame, order: Sequence[Column], bucket_rows: int = BUCKET_ROWS) -> tuple[DataFrame, int]:
+    """``df`` with ``_rt_bucket``, monotone in ``order``, and the number of buckets: one for each ``bucket_rows`` rows.
+
+    ``df`` is computed once and written; bounds are sampled from the written rows,
+    and the bucketed rows are written too, so that no retry can move a row to
+    another bucket. Rows that are equal in ``order`` share a bucket.
+    """
+    table, rows = measured(df)
+    buckets = min(MAX_BUCKETS, max(1, -(-rows // bucket_rows)))
+    if buckets == 1:
+        return table.withColumn(_BUCKET, F.lit(0)), 1
+    return written(table.repartitionByRange(buckets, *order).withColumn(_BUCKET, F.spark_partition_id())), buckets
 
 
-def quantile_bucket(df: DataFrame, order_col: str, partition_cols: Sequence[str] = (),
-                    buckets: int = 256, descending: bool = False,
-                    sample_size: int = 20000) -> DataFrame:
-    """Add ``_rt_bucket``: bucket number monotone in ``order_col`` (per group).
+def ordered_totals(df: DataFrame, group_cols: Sequence[str], order: Sequence[Column], sum_cols: Sequence[str],
+                   bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """Add for each of ``sum_cols`` ``<name>_run`` and ``<name>_all``: the inclusive running sum in ``order`` and the sum, by group.
 
-    Boundaries are evenly spaced order statistics of a deterministic sample:
-    the rows whose value hash falls below ``sample_size / group rows``. The
-    sample is the same on every run and every task retry, so a recomputed
-    partition is bucketed exactly like the first time, and its size per
-    group is bounded (about ``sample_size``) whatever the data volume.
+    Also ``_rt_bucket`` and ``_rt_edge`` (whether the row's group may reach into
+    another bucket). Ties in ``order`` get the same running sum. Only the first and the last group of a
+    bucket can go on in another one, so the prefix sums over buckets have at
+    most two rows a bucket, however many groups there are.
     """
-    parts = list(partition_cols)
-    x = F.col(order_col)
-    sizes = df.groupBy(*parts).agg(F.count(F.lit(1)).alias("_rt_n"))
-    staged = join_groups(df, sizes, parts) if parts else attach_scalars(df, sizes)
-    rate = F.least(F.lit(1.0), F.lit(float(sample_size)) / F.col("_rt_n"))
-    sample = staged.filter(x.isNotNull() & (_unit_hash(x) < rate))
-    picked = sample.groupBy(*parts).agg(F.array_sort(F.collect_list(x)).alias("_rt_s"))
-    positions = F.sequence(F.lit(1), F.lit(buckets - 1))
-    cuts = picked.select(*parts, F.filter(F.transform(
-        positions, lambda i: F.try_element_at(
-            F.col("_rt_s"), (F.floor(i * F.size("_rt_s") / F.lit(buckets)) + 1).cast("int"))),
-        lambda c: c.isNotNull()).alias("_rt_cuts"))
-    joined = join_groups(df, cuts, parts, "left") if parts else attach_scalars(df, cuts)
-    if descending:
-        bucket = F.size(F.filter(F.col("_rt_cuts"), lambda c: c > x))
-    else:
-        bucket = F.size(F.filter(F.col("_rt_cuts"), lambda c: c < x))
-    return joined.withColumn(_BUCKET, F.coalesce(bucket, F.lit(0))).drop("_rt_cuts")
+    groups = list(group_cols)
+    table, buckets = range_buckets(df, [*[F.col(c).asc_nulls_first() for c in groups], *order], bucket_rows)
+    per = table.groupBy(_BUCKET, *groups).agg(*[F.sum(c).alias(f"_rt_t_{c}") for c in sum_cols])
+    if groups:
+        key, inside = F.struct(*groups), Window.partitionBy(_BUCKET)
+        per = per.withColumns({"_rt_x": F.min(key).over(inside), "_rt_y": F.max(key).over(inside)}).filter(
+            key.eqNullSafe(F.col("_rt_x")) | key.eqNullSafe(F.col("_rt_y"))).drop("_rt_x", "_rt_y")
+    # two rows a bucket at most: one task, and small enough to broadcast
+    edges = per.coalesce(1)
+    before = Window.partitionBy(*groups).orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
+    edges = edges.select(_BUCKET, *groups, F.lit(True).alias("_rt_edge"),
+                         *[F.coalesce(F.sum(f"_rt_t_{c}").over(before), F.lit(0)).alias(f"_rt_o_{c}") for c in sum_cols],
+                         *[F.sum(f"_rt_t_{c}").over(Window.partitionBy(*groups)).alias(f"_rt_w_{c}") for c in sum_cols])
+    within = Window.partitionBy(_BUCKET, *groups)
+    rows = table.withColumns({f"{c}_run": F.sum(c).over(within.orderBy(*order)) for c in sum_cols}
+                             | {f"{c}_all": F.sum(c).over(within) for c in sum_cols})
+    out = join_groups(rows, F.broadcast(edges), [_BUCKET, *groups], "left")
+    return out.withColumns({f"{c}_run": F.col(f"{c}_run") + F.coalesce(f"_rt_o_{c}", F.lit(0)) for c in sum_cols}
+                           | {f"{c}_all": F.coalesce(f"_rt_w_{c}", f"{c}_all") for c in sum_cols}
+                           | {"_rt_edge": F.coalesce("_rt_edge", F.lit(False))}).drop(
+        *[f"_rt_{k}_{c}" for k in "ow" for c in sum_cols])
 
 
 def running_totals(df: DataFrame, order: Sequence[Column], sum_cols: dict[str, Column],
@@ -159,27 +168,22 @@ def hash_first_n(df: DataFrame, key: str, seed: int, n: Column | int,
     return ranked.filter(F.col("_rank") <= limit).drop("_hk", "_rank")
 
 
-def exact_cut_points(df: DataFrame, value_col: str, num_bins: int,
-                     buckets: int = 256) -> DataFrame:
-    """One row, column ``cuts``: the values at ranks ceil(j*n/num_bins), j=1..num_bins-1.
+def value_counts(df: DataFrame, value_col: str) -> DataFrame:
+    """``(value, rows)`` of the distinct values that are not null."""
+    return df.select(F.col(value_col).alias("_x")).filter(F.col("_x").isNotNull()).groupBy("_x").agg(
+        F.count(F.lit(1)).alias("_cnt"))
+
+
+def exact_cut_points(df: DataFrame, value_col: str, num_bins: int, bucket_rows: int = BUCKET_ROWS) -> list:
+    """The values at ranks ceil(j*n/num_bins), j = 1..num_bins-1; empty without values.
 
     This is the discrete quantile (smallest value whose cumulative share is
     at least j/num_bins), found exactly: distinct values with counts get
-    global running counts, then the rows that contain each target rank are
-    kept. Nulls are ignored.
+    global running counts, and the few that hold a target rank are returned. ``df`` is
+    read once. Nulls are ignored.
     """
-    values = (df.select(F.col(value_col).alias("_x")).filter(F.col("_x").isNotNull())
-              .groupBy("_x").agg(F.count(F.lit(1)).alias("_cnt")))
-    n = values.agg(F.sum("_cnt").alias("_n"))
-    ranks = n.select(F.transform(F.sequence(F.lit(1), F.lit(num_bins - 1)),
-                                 lambda j: F.floor((j * F.col("_n") + num_bins - 1) / num_bins)
-                                 .cast("long")).alias("_ranks"))
-    bucketed = quantile_bucket(values, "_x", buckets=buckets)
-    cum = running_totals(bucketed, order=[F.col("_x")], sum_cols={"_cum": F.col("_cnt")},
-                         bucket=F.col(_BUCKET), max_buckets=buckets).drop(_BUCKET)
-    hits = attach_scalars(cum, ranks).select(
-        "_x", F.size(F.filter(F.col("_ranks"), lambda k: (k > F.col("_cum") - F.col("_cnt"))
-                              & (k <= F.col("_cum")))).alias("_times"))
-    picked = hits.filter(F.col("_times") > 0).select(
-        F.explode(F.array_repeat(F.col("_x"), F.col("_times").cast("int"))).alias("_x"))
-    return picked.agg(F.sort_array(F.collect_list("_x")).alias("cuts"))
+    ranked = ordered_totals(value_counts(df, value_col), [], [F.col("_x").asc()], ["_cnt"], bucket_rows)
+    ranks = F.transform(F.sequence(F.lit(1), F.lit(num_bins - 1)), lambda j: F.floor((j * F.col("_cnt_all") + num_bins - 1) / num_bins))
+    times = F.size(F.filter(ranks, lambda k: (k > F.col("_cnt_run") - F.col("_cnt")) & (k <= F.col("_cnt_run"))))
+    found = ranked.select("_x", times.alias("times")).filter("times > 0").orderBy("_x").collect()
+    return [r._x for r in found for _ in range(r.times)]

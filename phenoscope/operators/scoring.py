@@ -109,11 +109,17 @@ def _bin_label(x, cuts):
         F.lit(1) + F.size(F.filter(cuts, lambda c: c <= x)))
 
 
-def quantile_bins(df: DataFrame, value_col: str, out_col: str, num_bins: int = 10) -> DataFrame:
-    """D-26 (exact): bin number 1..num_bins from exact discrete quantile cut points."""
-    cuts = exact_cut_points(df, value_col, num_bins)
-    return attach_scalars(df, cuts).withColumn(
-        out_col, _bin_label(F.col(value_col), F.col("cuts"))).drop("cuts")
+def quantile_bins(df: DataFrame, value_col: str, out_col: str, num_bins: int = 10, scores: DataFrame | None = None) -> DataFrame:
+    """D-26 (exact): bin number 1..num_bins from exact discrete quantile cut points.
+
+    The cut points, ``num_bins`` - 1 numbers, are computed at once and are constants of the
+    plan. ``scores`` is a frame with the same values that is cheaper to read than
+    ``df``: the scores before they are joined to other columns.
+    """
+    cuts = exact_cut_points(df if scores is None else scores, value_col, num_bins)
+    kind = df.schema[value_col].dataType
+    points = F.array(*[F.lit(c).cast(kind) for c in cuts]) if cuts else F.array().cast(f"array<{kind.simpleString()}>")
+    return df.withColumn(out_col, _bin_label(F.col(value_col), points))
 
 
 def approx_cut_points(df: DataFrame, value_col: str,

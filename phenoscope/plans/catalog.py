@@ -18,6 +18,7 @@ from phenoscope.functions import harmonic as H
 from phenoscope.operators import doe, evaluate, flags, model, nested, scoring, severity
 from phenoscope.sources import readers
 from phenoscope.sources import testbed as TB
+from phenoscope.store import written
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -161,7 +162,7 @@ def q_filter_sources(spark: SparkSession, sf: str) -> DataFrame:
 @query("action_types")
 def q_action_types(spark: SparkSession, sf: str) -> DataFrame:
     at = doe.action_types(TB.mechanism_of_action(spark, sf))
-    return at.select("targetId2", "drugId2", joined(F.col("actionType")).alias("actionTypes"),
+    return at.select(F.col("targetId").alias("targetId2"), F.col("drugId").alias("drugId2"), joined(F.col("actionType")).alias("actionTypes"),
                      F.size("actionType").alias("n_actions"))
 
 
@@ -174,7 +175,7 @@ def q_onco_label(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("gof_lof_samples")
 def q_gof_lof_samples(spark: SparkSession, sf: str) -> DataFrame:
-    ev = doe.with_intogen_labels(doe.filter_sources(TB.evidence(spark, sf)))
+    ev = doe.with_intogen_labels(doe.filter_sources(TB.stored_evidence(spark, sf)))
     return (ev.filter(F.col("datasourceId") == "intogen")
             .groupBy("targetId", "diseaseId", "intogen_function", "intogenAnnot")
             .agg(F.count(F.lit(1)).alias("n_rows")))
@@ -262,7 +263,7 @@ def q_comparison_frame(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("presence_flags")
 def q_presence_flags(spark: SparkSession, sf: str) -> DataFrame:
-    return _plan(spark, sf).comparison.select("id", "safetyLiabilities", "noToxCastLiab")
+    return _plan(spark, sf).features.select("id", "safetyLiabilities", "noToxCastLiab")
 
 
 def _rounded_scores(spark: SparkSession, sf: str) -> DataFrame:
@@ -294,7 +295,7 @@ def q_quantile_bins_approx(spark: SparkSession, sf: str) -> DataFrame:
 @query("binarise")
 def q_binarise(spark: SparkSession, sf: str) -> DataFrame:
     p = _plan(spark, sf)
-    return flags.binarise(p.comparison, p.flag_columns()).select("id", *p.flag_columns())
+    return flags.binarise(p.features, p.flag_columns()).select("id", *p.flag_columns())
 
 
 # ---------------------------------------------------------------------------
@@ -335,7 +336,7 @@ def q_severity_by_target(spark: SparkSession, sf: str) -> DataFrame:
 @query("evidence_phenotype_scores")
 def q_evidence_phenotype_scores(spark: SparkSession, sf: str) -> DataFrame:
     p = _plan(spark, sf)
-    out = severity.evidence_phenotype_scores(p.i.evidence, p.disease_types)
+    out = severity.evidence_phenotype_scores(p.evidence, p.disease_types)
     return out.select(F.col("phenotype.id").alias("phenotypeId"), F.col("phenotype.label").alias("phenotypeLabel"),
                       "NrScores", r6(F.col("average")).alias("average"))
 
@@ -343,7 +344,7 @@ def q_evidence_phenotype_scores(spark: SparkSession, sf: str) -> DataFrame:
 @query("evidence_severity")
 def q_evidence_severity(spark: SparkSession, sf: str) -> DataFrame:
     p = _plan(spark, sf)
-    out = severity.evidence_severity(p.i.evidence, p.disease_types, p.i.phenotypes)
+    out = severity.evidence_severity(p.evidence, p.disease_types, p.i.phenotypes)
     return out.select("id", H.multiset_count(F.col("scoreDiseases2")).alias("n_scores"),
                       r6(F.col("harmonicSum")).alias("harmonicSum"),
                       r6(F.col("dis2HarmSumNorm")).alias("dis2HarmSumNorm"))
@@ -372,9 +373,8 @@ def q_roc_auc(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("auc_grid")
 def q_auc_grid(spark: SparkSession, sf: str) -> DataFrame:
-    from phenoscope.plans.safety import checkpointed
     # every label's sample and every AUC step re-reads the input: cut it once
-    docs = checkpointed(TB.labelled_documents(spark, sf))
+    docs = written(TB.labelled_documents(spark, sf))
     grid = evaluate.auc_grid(docs, ["y", "y2"], ["score", "score2"], "id", seed=0)
     return grid.select("label", "predictor", r6(F.col("auc")).alias("auc"), "n")
 
@@ -407,11 +407,10 @@ def q_split_train_test(spark: SparkSession, sf: str) -> DataFrame:
 
 def _svm_inputs(spark: SparkSession, sf: str):
     """Per target: y = withdrawn-drug flag; features = its phenotype labels."""
-    from phenoscope.plans.safety import checkpointed
     p = _plan(spark, sf, share=True)
-    scored = checkpointed(p.comparison.select("id", "harmonicSumNorm", "allWD"))
+    scored = written(p.features.select("id", "harmonicSumNorm", "allWD"))
     labelled = evaluate.balanced_sample(scored.filter(F.col("harmonicSumNorm").isNotNull()), "allWD", "id", seed=0)
-    return checkpointed(model.feature_frame(labelled.select("id", "y"), flags.phenotype_matrix(p.i.phenotypes)))
+    return written(model.feature_frame(labelled.select("id", "y"), flags.phenotype_matrix(p.i.phenotypes)))
 
 
 # the labels that the wide form of the test data is asked for
@@ -443,9 +442,8 @@ def q_linear_svm(spark: SparkSession, sf: str) -> DataFrame:
 @query("classifier_metrics")
 def q_classifier_metrics(spark: SparkSession, sf: str) -> DataFrame:
     """D-42: whether every metric agrees with the one from confusion counts and ranks."""
-    from phenoscope.plans.safety import checkpointed
     train, test = model.split_train_test(_svm_inputs(spark, sf), "id", seed=2020)
-    scored = checkpointed(model.linear_svm(train).transform(test))
+    scored = written(model.linear_svm(train).transform(test))
     found, counted = model.classifier_metrics(scored), model.counted_metrics(scored)
     return spark.createDataFrame([(m, abs(v - counted[m]) < 1e-9) for m, v in found.items()], "metric string, agrees boolean")
 

@@ -1,13 +1,14 @@
 """End-to-end plans: from input roles to the comparison frame and its evaluation.
 
-``Inputs`` bundles the input frames; ``SafetyPlan`` composes the operators
-into lazy plans. Jobs run only where a frame is checkpointed before a
-fan-out (``predictor_auc``) and when ``inputs_from_release`` reads the small
-toxicity-class vocabulary.
+``Inputs`` bundles the input frames; ``SafetyPlan`` composes the operators.
+Jobs run where a frame is written that later steps read more than once (lookups,
+count tables, cut points, shared frames), and when ``inputs_from_release`` reads the
+small toxicity-class vocabulary.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -18,11 +19,14 @@ from phenoscope.functions import constants as K
 from phenoscope.operators import compare, doe, evaluate, flags, nested, scoring, severity
 from phenoscope.sources import readers
 from phenoscope.sources import testbed as TB
+from phenoscope.store import bucketed, written
 
 
 @dataclass
 class Inputs:
-    evidence: DataFrame
+    """The input frames; ``evidence`` may be a function, called when it is first needed."""
+
+    evidence: DataFrame | Callable[[], DataFrame]
     targets: DataFrame
     moa: DataFrame
     phenotypes: DataFrame
@@ -34,7 +38,7 @@ class Inputs:
     @classmethod
     def from_testbed(cls, spark: SparkSession, sf_dir: str) -> "Inputs":
         return cls(
-            evidence=TB.evidence(spark, sf_dir),
+            evidence=lambda: TB.stored_evidence(spark, sf_dir),
             targets=TB.targets(spark, sf_dir),
             moa=TB.mechanism_of_action(spark, sf_dir),
             phenotypes=TB.mouse_phenotypes(spark, sf_dir),
@@ -76,44 +80,35 @@ def inputs_from_release(spark: SparkSession, root: str, release: str, approvals_
     )
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the session's shared checkpoint folder and cut its lineage.
-
-    Used for reduced frames (per target, or the evidence summary) that several
-    later branches read: without it every branch would re-plan and re-run the
-    whole upstream analysis. A reliable checkpoint survives the
-    loss of the executors that computed it.
-    """
-    from pyspark import StorageLevel
-
-    from phenoscope.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    # persisted first, so writing the checkpoint does not compute it again
-    df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        return df.checkpoint(eager=True)
-    finally:
-        df.unpersist()
-
-
 class SafetyPlan:
     """Lazily built frames of the analysis; each property is one lazy plan.
 
     With ``share`` the evidence summary is written once (``shared_summary``) and
-    every consumer reads that; otherwise each property stays lazy throughout.
+    every consumer reads that, and the feature frames are stored in buckets of
+    the target id, so that the joins of the comparison need no exchange.
     """
 
+    SCORES = ("harmonicSumNorm", "dis1HarmSumNorm", "dis2HarmSumNorm")
+
     def __init__(self, inputs: Inputs, share: bool = False):
         self.i = inputs
         self.share = share
 
+    @cached_property
+    def evidence(self) -> DataFrame:
+        return self.i.evidence() if callable(self.i.evidence) else self.i.evidence
+
+    def kept(self, df: DataFrame, key: str = "id") -> DataFrame:
+        """A frame keyed by target: stored in buckets of the key with ``share``, else as it is."""
+        return bucketed(df, key) if self.share else df
+
     @property
     def cells(self) -> DataFrame:
         return self.shared_summary if self.share else self.summary
 
     @cached_property
     def assessment(self) -> DataFrame:
-        return doe.direction_of_effect(self.i.evidence, self.i.targets, self.i.moa)
+        return doe.direction_of_effect(self.evidence, self.i.targets, self.i.moa)
 
     @cached_property
     def summary(self) -> DataFrame:
@@ -132,13 +127,13 @@ class SafetyPlan:
         One pass over the evidence evaluates the label rules; the written rows
         are the few cells that any consumer keeps.
         """
-        return checkpointed(self.summary.filter(F.col("homogenized").isin("LoF_protect", "LoF_risk")))
+        return written(self.summary.filter(F.col("homogenized").isin("LoF_protect", "LoF_risk")))
 
     @cached_property
     def phenotype_scores(self) -> DataFrame:
         """(id, scores, harmonicSum, harmonicSumNorm) from curated class weights."""
         lists = scoring.score_lists(self.i.phenotypes, self.i.weights)
-        return scoring.with_harmonic(lists).withColumnRenamed("targetFromSourceId", "id")
+        return self.kept(scoring.with_harmonic(lists).withColumnRenamed("targetFromSourceId", "id"))
 
     @cached_property
     def warning_flags(self) -> DataFrame:
@@ -150,7 +145,8 @@ class SafetyPlan:
         return flags.combine_flags(wd, bbw).withColumnRenamed("targetId", "id")
 
     @cached_property
-    def comparison(self) -> DataFrame:
+    def features(self) -> DataFrame:
+        """The scores and every feature of a target, side by side."""
         features = [
             nested.lof_tolerance(self.i.targets),
             nested.liability_count(self.i.targets, K.LIABILITY_EXCLUDED, "safetyLiabl"),
@@ -159,10 +155,21 @@ class SafetyPlan:
             self.warning_flags,
         ]
         frame = compare.comparison_frame(
-            self.phenotype_scores.select("id", "harmonicSum", "harmonicSumNorm"), features)
-        frame = flags.presence_flags(frame, {"safetyLiabl": "safetyLiabilities", "noToxCast": "noToxCastLiab"})
+            self.phenotype_scores.select("id", "harmonicSum", "harmonicSumNorm"), [self.kept(f) for f in features])
+        return flags.presence_flags(frame, {"safetyLiabl": "safetyLiabilities", "noToxCast": "noToxCastLiab"})
+
+    @cached_property
+    def comparison(self) -> DataFrame:
+        """D-25, with the deciles of the scores.
+
+        The joins keep every score once, so the cut points are those of the scores
+        alone: they come from the scores' counts and are constants here, and the
+        evidence is read as often as without them.
+        """
         # rounded, so that equal scores cannot fall on two sides of a cut point
-        bins = scoring.quantile_bins(frame.withColumn("_x", F.round("harmonicSumNorm", 9)), "_x", "decilesHarmonicSumNorm")
+        rounded = F.round("harmonicSumNorm", 9)
+        bins = scoring.quantile_bins(self.features.withColumn("_x", rounded), "_x", "decilesHarmonicSumNorm",
+                                     scores=self.phenotype_scores.select(rounded.alias("_x")))
         return bins.drop("_x")
 
     @cached_property
@@ -175,9 +182,9 @@ class SafetyPlan:
         t = severity.target_severity(self.disease_types)
         per_label = severity.phenotype_severity(self.i.phenotypes, t)
         dis1 = severity.severity_by_target(self.i.phenotypes, per_label).select("id", "dis1HarmSumNorm")
-        dis2 = severity.evidence_severity(self.i.evidence, self.disease_types, self.i.phenotypes) \
+        dis2 = severity.evidence_severity(self.evidence, self.disease_types, self.i.phenotypes) \
             .select("id", "dis2HarmSumNorm")
-        return dis1.join(dis2, "id", "full_outer")
+        return self.kept(dis1.join(dis2, "id", "full_outer"))
 
     @cached_property
     def full_comparison(self) -> DataFrame:
@@ -195,20 +202,20 @@ class SafetyPlan:
 
     @cached_property
     def binarised(self) -> DataFrame:
-        return flags.binarise(self.full_comparison, self.flag_columns())
+        """The features and severities with 0/1 flags (without the deciles, which no outcome needs)."""
+        return flags.binarise(self.features.join(self.severity_scores, "id", "left"), self.flag_columns())
 
-    def predictor_auc(self, seed: int = 0, materialize: bool = True, job_sizes: bool = False) -> DataFrame:
+    def predictor_auc(self, seed: int = 0, job_sizes: bool = False) -> DataFrame:
         """AUC of the three scores for liabilities, black-box warnings, withdrawals.
 
         With ``job_sizes`` the negatives for a warning are as many as its positives
         among the targets with a liability, as in the analysed job; otherwise as
         many as all its positives.
 
-        The per-target frame is checkpointed first (one job), since each of the
-        three outcomes samples it and each AUC reads its sample several times.
+        The per-target frame is written first (one job), since each of the
+        three outcomes samples it.
         """
-        frame = checkpointed(self.binarised) if materialize else self.binarised
+        frame = written(self.binarised.select("id", "safetyLiabl", "allBBW", "allWD", *self.SCORES))
         liable = self.scored(frame).filter(F.col("safetyLiabl") == 1)
         sizes = {c: liable.agg(F.count_if(F.col(c) == 1)) for c in ("allBBW", "allWD")} if job_sizes else None
-        return evaluate.auc_grid(frame, ["safetyLiabl", "allBBW", "allWD"],
-                                 ["harmonicSumNorm", "dis1HarmSumNorm", "dis2HarmSumNorm"], "id", seed, negatives=sizes)
+        return evaluate.auc_grid(frame, ["safetyLiabl", "allBBW", "allWD"], self.SCORES, "id", seed, negatives=sizes)

@@ -41,7 +41,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder the cluster names.
+    """Return the shared checkpoint folder the cluster names: ``spark.checkpoint.dir`` before any that the context has.
 
     Only with a ``local`` master and none configured (tests) a scratch folder is
     created, once a session; on a cluster that raises, since executors do not
@@ -51,10 +51,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         context = spark.sparkContext
     except Exception:  # a Spark Connect session: the server manages checkpoints
         return spark.conf.get("spark.checkpoint.dir", "")
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     current = context.getCheckpointDir()
-    if current:
+    # the context's folder is a new one below what it was given
+    if current and (not configured or current.removeprefix("file:").startswith(configured.removeprefix("file:").rstrip("/") + "/")):
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         context.setCheckpointDir(configured)
         return configured

@@ -34,6 +34,7 @@ from phenoscope.functions.constants import (
     ACTIVATOR_ACTIONS, EVIDENCE_SOURCES, INHIBITOR_ACTIONS, LOF_CONSEQUENCES,
 )
 from phenoscope.sources import schemas
+from phenoscope.store import written
 
 
 @dataclass(frozen=True)
@@ -243,6 +244,11 @@ def evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stored_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``evidence`` written by source, the layout of a release: a filter on the source reads only its files."""
+    return written(evidence(spark, sf_dir), ["datasourceId"])
+
+
 def targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part")
     s = schemas.TARGETS
