@@ -23,8 +23,8 @@ def unique_by(df: DataFrame, key: str = "id") -> DataFrame:
     rest = [c for c in df.columns if c != key]
     one = df.groupBy(key).agg(*[F.first(c).alias(c) for c in rest], F.count(F.lit(1)).alias("_rows"))
     bad = F.raise_error(F.concat(F.lit(f"more than one row for {key} "), F.coalesce(F.col(key).cast("string"), F.lit("null"))))
-    checked = F.when(F.col("_rows") > 1, bad.cast(df.schema[key].dataType)).otherwise(F.col(key))
-    return one.select(checked.alias(key), *rest)
+    # a filter, so that the key stays the column by which the rows are partitioned
+    return one.filter(F.when(F.col("_rows") > 1, bad.cast("boolean")).otherwise(F.lit(True))).select(key, *rest)
 
 
 def comparison_frame(scores: DataFrame, features: Sequence[DataFrame],

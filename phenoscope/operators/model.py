@@ -20,8 +20,6 @@ from phenoscope.operators.ordered import hash_key
 LABEL = "label"
 FEATURES = "features"
 LABELS = "labels"
-#: Phenotype labels that the model knows at most (the most frequent ones).
-VOCABULARY = 1 << 16
 
 
 def feature_frame(labelled: DataFrame, matrix: DataFrame, key: str = "id") -> DataFrame:
@@ -35,10 +33,19 @@ def feature_frame(labelled: DataFrame, matrix: DataFrame, key: str = "id") -> Da
     return joined.withColumn(LABELS, F.coalesce(LABELS, F.array().cast("array<string>")))
 
 
-def feature_stages(y_col: str = "y", vocabulary: int = VOCABULARY):
-    """D-39 (ML part): label index (0 stays class 0) and the 0/1 vector over the fitted vocabulary."""
+def vocabulary_size(frame: DataFrame) -> int:
+    """Number of distinct phenotype labels of a feature frame, 1 at least."""
+    return max(1, frame.select(F.explode(LABELS).alias("l")).distinct().count())
+
+
+def feature_stages(frame: DataFrame, y_col: str = "y"):
+    """D-39 (ML part): label index (0 stays class 0) and the 0/1 vector over all labels of ``frame``.
+
+    Every label is a feature, however many there are: the vocabulary is as long as
+    the data's, and is held by the driver like the model's coefficients.
+    """
     indexer = StringIndexer(inputCol=y_col, outputCol=LABEL, stringOrderType="alphabetAsc")
-    vectors = CountVectorizer(inputCol=LABELS, outputCol=FEATURES, binary=True, vocabSize=vocabulary)
+    vectors = CountVectorizer(inputCol=LABELS, outputCol=FEATURES, binary=True, vocabSize=vocabulary_size(frame))
     return [indexer, vectors]
 
 
@@ -53,7 +60,7 @@ def split_train_test(df: DataFrame, key: str, seed: int = 2020, train_fraction:
 def linear_svm(train: DataFrame, y_col: str = "y", max_iter: int = 10) -> PipelineModel:
     """D-41: index label, assemble features, fit a linear SVM."""
     svm = LinearSVC(featuresCol=FEATURES, labelCol=LABEL, maxIter=max_iter)
-    return Pipeline(stages=feature_stages(y_col) + [svm]).fit(train)
+    return Pipeline(stages=feature_stages(train, y_col) + [svm]).fit(train)
 
 
 def classifier_metrics(predictions: DataFrame) -> dict[str, float]:

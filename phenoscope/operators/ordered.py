@@ -57,10 +57,11 @@ def range_buckets(df: DataFrame, order: Sequence[Column], bucket_rows: int = BUC
     and the bucketed rows are written too, so that no retry can move a row to
     another bucket. Rows that are equal in ``order`` share a bucket.
     """
-    table, rows = measured(df)
+    # a stored number, since a constant would be taken out of the windows' keys
+    table, rows = measured(df.withColumn(_BUCKET, F.lit(0)))
     buckets = min(MAX_BUCKETS, max(1, -(-rows // bucket_rows)))
     if buckets == 1:
-        return table.withColumn(_BUCKET, F.lit(0)), 1
+        return table, 1
     return written(table.repartitionByRange(buckets, *order).withColumn(_BUCKET, F.spark_partition_id())), buckets
 
 

@@ -18,7 +18,7 @@ from phenoscope.functions import harmonic as H
 from phenoscope.operators import doe, evaluate, flags, model, nested, scoring, severity
 from phenoscope.sources import readers
 from phenoscope.sources import testbed as TB
-from phenoscope.store import written
+from phenoscope.store import shared_folder, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
@@ -424,7 +424,7 @@ def q_assemble_features(spark: SparkSession, sf: str) -> DataFrame:
     from pyspark.ml import Pipeline
     from pyspark.ml.functions import vector_to_array
     frame = _svm_inputs(spark, sf)
-    fitted = Pipeline(stages=model.feature_stages()).fit(frame)
+    fitted = Pipeline(stages=model.feature_stages(frame)).fit(frame)
     names = F.array(*map(F.lit, fitted.stages[-1].vocabulary)).cast("array<string>")
     row = fitted.transform(frame).withColumn("_v", vector_to_array(model.FEATURES))
     present = F.filter(names, lambda _, i: F.col("_v")[i] == 1)
@@ -458,11 +458,24 @@ def q_harmonic_ranked(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("text_numbers")
 def q_text_numbers(spark: SparkSession, sf: str) -> DataFrame:
-    """O-42: text to double; what is no number becomes null. Read from document texts' first words."""
-    first = F.regexp_extract(F.coalesce(F.col("text"), F.lit("")), r"^\s*(\S*)", 1)
-    raw = TB.table(spark, sf, "documents").select(
-        "doc_id", F.when(F.pmod("doc_id", F.lit(3)) == 0, first).otherwise(F.concat(F.col("n_chars").cast("string"), F.lit(".5"))).alias("raw"))
-    return raw.select("doc_id", F.col("raw").try_cast("double").alias("value"))
+    """O-42: text to double over every word of every whole text; what is no number becomes null and is left out."""
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    # the casts of engines differ in words like "nan", "inf" and "1d"
+    plain = lambda w: F.when(w.rlike(r"^[+-]?[0-9]{1,15}([.][0-9]{1,9})?$"), w).try_cast("double")
+    numbers = F.filter(F.transform("words", plain), lambda x: x.isNotNull())
+    docs = TB.table(spark, sf, "documents").select("doc_id", words.alias("words"))
+    return docs.select("doc_id", F.size("words").alias("n_words"), numbers.alias("numbers")).select(
+        "doc_id", "n_words", F.size("numbers").alias("n_numbers"), F.array_min("numbers").alias("least"), F.array_max("numbers").alias("most"))
+
+
+@query("csv_columns")
+def q_csv_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """O-02: whole tables written as CSV and read by header; texts hold separators, quotes and line ends."""
+    docs, path = TB.table(spark, sf, "documents"), shared_folder(spark)
+    readers.write_csv(docs.select("lang", "text", "doc_id", "source", "n_chars"), path)
+    rows = readers.read_csv(spark, path, ["doc_id", "text", "n_chars"], malformed="_bad", multi_line=True)
+    return rows.select(F.col("doc_id").cast("long").alias("doc_id"), F.length("text").cast("long").alias("size"), F.md5("text").alias("digest"),
+                       F.col("n_chars").try_cast("long").alias("n_chars"), F.col("_bad").isNull().alias("whole"))
 
 
 @query("grouped_auc")

@@ -840,8 +840,14 @@ FROM (SELECT source, CAST(n_chars AS DOUBLE) AS n_chars,
              CAST(ROW_NUMBER() OVER (PARTITION BY source ORDER BY n_chars DESC) AS DOUBLE) AS rn FROM documents)
 GROUP BY source"""
     q["text_numbers"] = r"""
-SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN TRY_CAST(regexp_extract(COALESCE(text, ''), '^\s*(\S*)', 1) AS DOUBLE)
-                    ELSE CAST(n_chars AS DOUBLE) + 0.5 END AS value FROM documents"""
+WITH words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(COALESCE(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM documents),
+numbers AS (
+  SELECT doc_id, w, list_transform(list_filter(w, lambda x: regexp_full_match(x, '[+-]?[0-9]{1,15}([.][0-9]{1,9})?')),
+                                   lambda x: CAST(x AS DOUBLE)) AS n FROM words)
+SELECT doc_id, CAST(len(w) AS INTEGER) AS n_words, CAST(len(n) AS INTEGER) AS n_numbers, list_min(n) AS least, list_max(n) AS most FROM numbers"""
+    q["csv_columns"] = """
+SELECT doc_id, CAST(LENGTH(text) AS BIGINT) AS size, MD5(text) AS digest, n_chars, TRUE AS whole FROM documents"""
     by_lang = []
     for lang in ("NULL", "'de'", "'es'", "'fr'"):
         src = f"(SELECT * FROM gl WHERE lang IS NOT DISTINCT FROM {lang})"

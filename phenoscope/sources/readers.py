@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from phenoscope.functions.constants import CURATED_PHENOTYPE_WEIGHTS
 from phenoscope.sources import schemas
@@ -48,17 +49,32 @@ def read_drug_warnings(spark: SparkSession, path: str) -> DataFrame:
     return read_parquet(spark, path, schemas.DRUG_WARNINGS)
 
 
-def read_csv(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, columns: Sequence[str], malformed: str | None = None,
+             multi_line: bool = False) -> DataFrame:
     """The named columns of a CSV file with a header, all as text.
 
     Columns are found by their header, so their order and number in the file do
     not matter (a declared schema would bind by position). A missing one raises.
+    Quoted fields may hold separators and doubled quotes, with ``multi_line`` also line ends
+    (a file is then read by one task, so it should be one of many). With ``malformed`` there is a column of
+    that name with the text of records whose number of fields is not the header's;
+    it is null for all others. Without it fields that lack are null and those beyond are dropped.
     """
-    raw = spark.read.option("header", True).csv(path)
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
+    raw = reader.csv(path)
     missing = [c for c in columns if c not in raw.columns]
     if missing:
         raise ValueError(f"{path} has no column {', '.join(missing)}; it has {', '.join(raw.columns)}")
-    return raw.select(*[F.col(f"`{c}`") for c in columns])
+    if malformed is None:
+        return raw.select(*[F.col(f"`{c}`") for c in columns])
+    schema = T.StructType([*(T.StructField(c, T.StringType()) for c in raw.columns), T.StructField(malformed, T.StringType())])
+    told = reader.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", malformed).csv(path)
+    return told.select(*[F.col(f"`{c}`") for c in [*columns, malformed]])
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """``df`` as CSV files with a header, in the form that ``read_csv`` reads; nulls and empty texts both come back as null."""
+    df.write.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
 
 
 def read_approvals_csv(spark: SparkSession, path: str) -> DataFrame:

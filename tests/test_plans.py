@@ -1,6 +1,8 @@
 """Plan shape: filters and column pruning reach the parquet scan; the grouped
 ROC/AUC plan never gathers everything into one partition."""
 
+import re
+
 from pyspark.sql import functions as F
 
 from phenoscope.operators import doe, evaluate, nested
@@ -47,3 +49,62 @@ def test_grouped_auc_has_no_single_partition_exchange(spark):
         (F.col("id") % 97).cast("double").alias("score"), (F.col("id") % 2).alias("grp"))
     plan = _plan(evaluate.roc_auc(df, "y", "score", ["grp"]))
     assert "SinglePartition" not in plan
+
+
+def test_auc_grid_has_no_exchange_on_label_and_predictor_alone(spark):
+    df = spark.range(500).select("id", (F.col("id") % 3 == 0).cast("int").alias("y"), (F.col("id") % 97).cast("double").alias("a"),
+                                 (F.col("id") % 31).cast("double").alias("b"))
+    plan = _plan(evaluate.auc_grid(df, ["y"], ["a", "b"], "id", balanced=False))
+    keys = re.findall(r"hashpartitioning\(([^)]*)\)", plan)
+    names = [{re.sub("#.*", "", k.strip()) for k in key.split(",")[:-1]} for key in keys]
+    assert names and {"label", "predictor"} not in names
+
+
+def test_only_rows_that_can_match_meet_the_lookups(spark, tmp_path):
+    """Rows of other sources stream past both lookups even where these are too large to broadcast."""
+    rows = [(s, f"T{i % 3}", f"D{i % 2}", "C1" if s == "chembl" else None, None, None, None, None, None,
+             [("SO_0002053",)] if s == "intogen" else None, None) for i, s in enumerate(["eva", "intogen", "chembl", "impc"] * 3)]
+    path = str(tmp_path / "evidence")
+    frame = spark.createDataFrame(rows, "datasourceId string, targetId string, diseaseId string, drugId string, "
+                                  "beta double, oddsRatio double, clinicalSignificances array<string>, variantFunctionalConsequenceId string, "
+                                  "variantFunctionalConsequenceFromQtlId string, mutatedSamples array<struct<functionalConsequenceId: string>>, extra string")
+    frame.write.partitionBy("datasourceId").parquet(path)
+    evidence = spark.read.parquet(path)
+    actions = spark.createDataFrame([("T2", "C1", ["INHIBITOR"])], "targetId string, drugId string, actionType array<string>")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        labelled = doe.with_intogen_labels(evidence)
+        joined = doe.join_where(labelled, F.col("drugId").isNotNull(), actions, {"targetId": "targetId", "drugId": "drugId"})
+        plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert joined.count() == len(rows) and plan.count("Join LeftOuter") == 3
+    # the last branch, of rows that meet neither lookup, has no join
+    assert "Join" not in plan.split("\n:  ")[-1].split("\n   :- ")[-1].split("\n   +- ")[-1]
+    got = {(r.datasourceId, r.targetId, r.intogenAnnot, tuple(r.actionType or ())) for r in joined.collect()}
+    assert ("chembl", "T2", 0, ("INHIBITOR",)) in got and all(n == 0 for s, _, n, _ in got if s != "intogen")
+    assert {n for s, _, n, _ in got if s == "intogen"} == {1} and all(not a for s, _, _, a in got if s != "chembl")
+
+
+def test_stored_features_join_without_an_exchange(spark, tmp_path):
+    from phenoscope.operators import compare
+    from phenoscope.store import bucketed
+    frames = [spark.range(300).select(F.concat(F.lit("T"), F.col("id") % (90 + 10 * k)).alias("id"), F.col("id").alias(f"v{k}"))
+              .dropDuplicates(["id"]) for k in range(3)]
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = [bucketed(f, "id") for f in frames]
+        joined = compare.comparison_frame(kept[0], kept[1:])
+        plan = _plan(joined)
+        assert "SortMergeJoin" in plan and "Exchange" not in plan and joined.count() == 90
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_deciles_add_no_scan_of_the_evidence(spark):
+    from phenoscope.plans.safety import Inputs, SafetyPlan
+    plan = SafetyPlan(Inputs.from_testbed(spark, "/root/testdata/sf0.001"))
+    with_deciles = plan.comparison._jdf.queryExecution().toString().count("FileScan")
+    assert with_deciles == plan.features._jdf.queryExecution().toString().count("FileScan") > 0

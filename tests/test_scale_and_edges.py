@@ -40,8 +40,8 @@ def test_auc_grid_balanced_with_sizes(spark):
 def test_null_groups_are_groups(spark):
     rows = [(g, i % 2, float(i % 7)) for g in ("a", None) for i in range(40)]
     df = spark.createDataFrame(rows, "g string, y int, s double")
-    assert {r.g for r in evaluate.roc_auc(df, "y", "s", ["g"], buckets=4).collect()} == {"a", None}
-    assert {r.g for r in evaluate.roc_curve(df, "y", "s", ["g"], buckets=4).collect()} == {"a", None}
+    assert {r.g for r in evaluate.roc_auc(df, "y", "s", ["g"], bucket_rows=4).collect()} == {"a", None}
+    assert {r.g for r in evaluate.roc_curve(df, "y", "s", ["g"], bucket_rows=4).collect()} == {"a", None}
     scaled = scoring.minmax_scale(df, "s", "x", ["g"]).groupBy("g").agg(F.min("x").alias("lo"), F.max("x").alias("hi"))
     assert {(r.g, r.lo, r.hi) for r in scaled.collect()} == {("a", -1.0, 1.0), (None, -1.0, 1.0)}
 
@@ -49,17 +49,17 @@ def test_null_groups_are_groups(spark):
 def test_auc_of_more_rows_than_a_long_product_holds(spark, monkeypatch):
     counts = spark.createDataFrame([(1.0, 4_000_000_000, 0), (0.0, 0, 4_000_000_000)], "threshold double, pos long, neg long")
     monkeypatch.setattr(evaluate, "score_counts", lambda *args: counts)
-    assert evaluate.roc_auc(counts, "y", "s", buckets=4).first().auc == 1.0
+    assert evaluate.roc_auc(counts, "y", "s", bucket_rows=4).first().auc == 1.0
 
 
 def test_roc_curve_starts_at_the_origin(spark):
     df = spark.createDataFrame([(1, 0.9), (0, 0.1)], "y int, s double")
-    points = sorted((r.threshold, r.tpr, r.fpr) for r in evaluate.roc_curve(df, "y", "s", buckets=4).collect())
+    points = sorted((r.threshold, r.tpr, r.fpr) for r in evaluate.roc_curve(df, "y", "s", bucket_rows=4).collect())
     assert points == [(0.1, 1.0, 1.0), (0.9, 1.0, 0.0), (float("inf"), 0.0, 0.0)]
 
 
 def test_roc_curve_of_no_rows(spark):
-    assert evaluate.roc_curve(spark.createDataFrame([], "y int, s double"), "y", "s", buckets=4).collect() == []
+    assert evaluate.roc_curve(spark.createDataFrame([], "y int, s double"), "y", "s", bucket_rows=4).collect() == []
 
 
 WARNINGS = [("T1", "Withdrawn", "cardio tox"), ("T1", "Withdrawn", "new class"), ("T2", "Withdrawn", "cardio.tox"),
@@ -192,3 +192,33 @@ def test_label_rules_run_once_where_consumers_share(spark):
     plan.collect()
     final = plan._jdf.queryExecution().executedPlan().toString()
     assert "conflict/noEvaluable" not in final  # the rules' text: they ran before, for the written summary
+
+
+def test_csv_tells_malformed_records(spark, tmp_path):
+    path = tmp_path / "t.csv"
+    path.write_text('a,b\n1,x\n2\n3,"y, ""z"""\n4,p,q\n')
+    rows = {r.a: (r.b, r.bad) for r in readers.read_csv(spark, str(path), ["a", "b"], malformed="bad").collect()}
+    assert rows == {"1": ("x", None), "2": (None, "2"), "3": ('y, "z"', None), "4": ("p", "4,p,q")}
+    assert {(r.a, r.b) for r in readers.read_csv(spark, str(path), ["a", "b"]).collect()} == {(a, b) for a, (b, _) in rows.items()}
+
+
+def test_csv_round_trip(spark, tmp_path):
+    rows = [(1, 'a "quoted", text\nwith  lines '), (2, "x"), (3, None), (4, " lead\ttab")]
+    readers.write_csv(spark.createDataFrame(rows, "k int, t string"), str(tmp_path / "out"))
+    back = readers.read_csv(spark, str(tmp_path / "out"), ["t", "k"], multi_line=True).collect()
+    assert sorted((int(r.k), r.t) for r in back) == rows
+
+
+def test_configured_folder_comes_before_the_contexts():
+    from phenoscope.session import ensure_checkpoint_dir
+
+    class Session:
+        conf = {"spark.checkpoint.dir": "/shared"}
+
+        class sparkContext:
+            master, given = "spark://host:7077", "file:/own/1"
+            getCheckpointDir = classmethod(lambda c: c.given)
+            setCheckpointDir = classmethod(lambda c, path: setattr(c, "given", f"file:{path}/2"))
+
+    assert ensure_checkpoint_dir(Session) == "/shared" and Session.sparkContext.given == "file:/shared/2"
+    assert ensure_checkpoint_dir(Session) == "file:/shared/2"
