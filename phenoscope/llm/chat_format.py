@@ -111,7 +111,7 @@ def read_back(formatted: DataFrame, vocabulary_path: str) -> DataFrame:
     hashed as they pass, one at a time.
     """
     content = formatted.sparkSession.sparkContext.broadcast(Path(vocabulary_path).read_text(encoding="utf-8"))
-    rows = formatted.withColumn("_key", F.coalesce(F.col("conv_id").cast("string"), F.lit("null")))
+    rows = formatted.withColumn("_key", F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit("")))
     schema = T.StructType([formatted.schema["conv_id"], T.StructField("n_turns", T.LongType()),
                            T.StructField("turns_sha256", T.StringType()), T.StructField("loss_chars", T.LongType()),
                            T.StructField("loss_sha256", T.StringType()), T.StructField("formatted_chars", T.LongType())])

@@ -54,6 +54,33 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(columns: list[str], *names: str) -> list[str]:
+    """``names``, with underscores put before those that ``columns`` already has (in any case)."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def row_key(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """A text that stands for a row's id and text together, in the order of ids, null ids last.
+
+    Rows that repeat an id with another text have keys of their own; only rows equal
+    in both share one. Whole numbers are padded, other ids are ordered as text.
+    """
+    name = F.col(id_col)
+    if docs.schema[id_col].dataType.typeName() in ("byte", "short", "integer", "long"):
+        shown = F.lpad((name.cast("decimal(20,0)") + F.lit(str(1 << 63)).cast("decimal(20,0)")).cast("string"), 20, "0")
+    else:
+        shown = name.cast("string")
+    start = F.when(name.isNull(), F.lit("1:")).otherwise(F.concat(F.lit("0:"), shown))
+    text = F.when(F.col(text_col).isNull(), F.lit("-")).otherwise(F.md5(F.col(text_col)))
+    return F.concat(start, F.lit(":"), text)
+
+
 def word_count(text: Column) -> Column:
     """Number of words in ``text`` as long; 0 for null, empty and blank texts."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD_PATTERN)), F.lit(0)).cast("long")

@@ -19,7 +19,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from phenoscope.llm.common import components, written
+from phenoscope.llm.common import components, row_key, unused, written
 
 #: Characters of a shingle.
 SHINGLE = 5
@@ -29,7 +29,7 @@ ROWS, BOTTOM = 3, 16
 SMALL = 10
 #: Lines of about this many hashes and more give longer runs among more hashes, since many lines share a run of three.
 LONG = 40
-LONG_ROWS, LONG_BOTTOM = 5, 40
+LONG_ROWS, LONG_BOTTOM = 4, 24
 #: Neighbours in a band's key that a line is compared with at first.
 NEIGHBOURS = 4
 #: Bits of the filter for the lines whose text is wanted.
@@ -38,9 +38,12 @@ _BLANK = " \t\r\x0b\x0c"
 
 
 def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(_id, pos, norm)`` of every line that is not blank; ``norm`` is trimmed and lower-cased, ``pos`` from 0."""
-    rows = docs.select(F.col(id_col).alias("_id"), F.posexplode(F.split(F.lower(F.col(text_col)), "\n")).alias("pos", "raw"))
-    return rows.select("_id", "pos", F.btrim("raw", F.lit(_BLANK)).alias("norm")).filter("norm != ''")
+    """``(_row, pos, norm)`` of every line that is not blank; ``norm`` is trimmed and lower-cased, ``pos`` from 0.
+
+    ``_row`` is the row's key: its id and text together.
+    """
+    rows = docs.select(row_key(docs, id_col, text_col).alias("_row"), F.posexplode(F.split(F.lower(F.col(text_col)), "\n")).alias("pos", "raw"))
+    return rows.select("_row", "pos", F.btrim("raw", F.lit(_BLANK)).alias("norm")).filter("norm != ''")
 
 
 def line_key(norm: Column) -> Column:
@@ -169,19 +172,18 @@ def line_components(lines: DataFrame, similarity: float) -> DataFrame:
 
 
 def line_marks(docs: DataFrame, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, pos, line, kept)`` of every line that is not blank; ``line`` is its 128-bit hash.
+    """``(_row, pos, line, kept)`` of every line that is not blank; ``line`` is its 128-bit hash, ``_row`` the row's key.
 
-    Of the lines in one component the one with the smallest (id, ``pos``) is kept.
+    Of the lines in one component the one with the smallest (key, ``pos``) is kept: that of the smallest id.
     """
     lines = lines_of(docs, id_col, text_col).withColumn("line", line_key(F.col("norm")))
     label = written(line_components(lines, similarity), "line_components")
-    placed = written(lines.select("_id", "pos", "line").join(label, "line", "left").select(
-        "_id", "pos", "line", F.coalesce("comp", "line").alias("comp")), "placed")
-    place = F.struct(F.col("_id").isNull().alias("z"), F.col("_id").alias("id"), F.col("pos").alias("pos"))
-    best = placed.groupBy("comp").agg(F.min(place).alias("best"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    best = written(best.select("comp", F.col("best.id").alias("_keep"), F.col("best.pos").alias("_at")), "best")
-    kept = F.col("_at").isNull() | (F.col("_id").eqNullSafe(F.col("_keep")) & (F.col("pos") == F.col("_at")))
-    return placed.join(best, "comp", "left").select(F.col("_id").alias(id_col), "pos", "line", kept.alias("kept"))
+    placed = written(lines.select("_row", "pos", "line").join(label, "line", "left").select(
+        "_row", "pos", "line", F.coalesce("comp", "line").alias("comp")), "placed")
+    best = placed.groupBy("comp").agg(F.min(F.struct("_row", "pos")).alias("best"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    best = written(best.select("comp", F.col("best._row").alias("_keep"), F.col("best.pos").alias("_at")), "best")
+    kept = F.col("_at").isNull() | ((F.col("_row") == F.col("_keep")) & (F.col("pos") == F.col("_at")))
+    return placed.join(best, "comp", "left").select("_row", "pos", "line", kept.alias("kept"))
 
 
 def line_dedup(docs: DataFrame, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -192,39 +194,41 @@ def line_dedup(docs: DataFrame, similarity: float = 0.8, id_col: str = "doc_id",
     than that is one shingle). Lines linked directly or over others form a
     component; the one with the smallest (id, place in the document) stays as it
     was written. Equal lines always share a component; other links are found by
-    banding, with a chance of 99.5 % at a similarity of 0.8, 99.8 % at 0.85 and more
+    banding, with a chance of some 99 % at a similarity of exactly 0.8 and more
     above it; none is missed at 0.8 or above between lines of at most 19 shingles together.
 
     Blank lines stay. Null and empty texts stay as they are; a document may be left
-    with an empty text but is not dropped. Rows that repeat an id are treated as
-    one document, so equal lines at equal places of them share their fate. Null ids
-    come last in the order of ids. All other columns are passed through; an
-    empty table gives an empty result.
+    with an empty text but is not dropped. Rows that repeat an id with another text are
+    documents of their own (of these the text's hash decides which keeps a line); rows equal in id and text are
+    one document, and each is returned with the same lines. Null ids come last in the order of ids. All
+    other columns are passed through, whatever their names; an empty table gives an empty result.
     """
+    key, gone_key, gone_at = unused(docs.columns, "_row", "_gone_row", "_gone")
     marks = line_marks(docs, similarity, id_col, text_col)
-    gone = written(marks.filter("not kept").groupBy(F.col(id_col).alias("_gone_id")).agg(
-        F.collect_set("pos").alias("_gone")), "gone")
-    joined = docs.join(gone, docs[id_col].eqNullSafe(gone["_gone_id"]), "left")
+    gone = written(marks.filter("not kept").groupBy(F.col("_row").alias(gone_key)).agg(
+        F.collect_set("pos").alias(gone_at)), "gone")
+    keyed = docs.withColumn(key, row_key(docs, id_col, text_col))
+    joined = keyed.join(gone, F.col(key) == F.col(gone_key), "left")
     lines = F.split(F.col(text_col), "\n")
-    left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains("_gone", i)), "\n")
-    text = F.when(F.col("_gone").isNull(), F.col(text_col)).otherwise(left)
+    left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(gone_at, i)), "\n")
+    text = F.when(F.col(gone_at).isNull(), F.col(text_col)).otherwise(left)
     return joined.select(*(text.alias(c) if c == text_col else F.col(c) for c in docs.columns))
 
 
 def line_digest(docs: DataFrame, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, n_lines, n_removed, kept_sha256)`` per id: counts of lines that are not blank, and a digest of those kept.
+    """``(id, n_lines, n_removed, kept_sha256)`` of every input row: counts of lines that are not blank, and a digest of those kept.
 
     The digest is the SHA-256 of the kept lines' 128-bit hashes in lowercase hex, in order.
     """
     marks = line_marks(docs, similarity, id_col, text_col)
-    inside = F.array_sort(F.collect_list(F.struct("pos", "line", "kept")))
-    counts = marks.groupBy(id_col).agg(inside.alias("_lines"))
+    # a set, since rows equal in id and text have the same lines
+    counts = marks.groupBy(F.col("_row").alias("_of")).agg(F.array_sort(F.collect_set(F.struct("pos", "line", "kept"))).alias("_lines"))
     kept = F.filter("_lines", lambda x: x["kept"])
     hashes = F.array_join(F.transform(kept, lambda x: F.lower(F.hex(x["line"]))), "")
-    found = counts.select(F.col(id_col).alias("_id"), F.size("_lines").cast("long").alias("n_lines"),
+    found = counts.select("_of", F.size("_lines").cast("long").alias("n_lines"),
                           (F.size("_lines") - F.size(kept)).cast("long").alias("n_removed"), F.sha2(hashes, 256).alias("kept_sha256"))
-    ids = docs.select(id_col).distinct()
+    rows = docs.select(F.col(id_col).alias("_id"), row_key(docs, id_col, text_col).alias("_row"))
     zero = F.lit(0).cast("long")
-    return ids.join(found, ids[id_col].eqNullSafe(found["_id"]), "left").select(
-        id_col, F.coalesce("n_lines", zero).alias("n_lines"), F.coalesce("n_removed", zero).alias("n_removed"),
+    return rows.join(found, F.col("_row") == F.col("_of"), "left").select(
+        F.col("_id").alias(id_col), F.coalesce("n_lines", zero).alias("n_lines"), F.coalesce("n_removed", zero).alias("n_removed"),
         F.coalesce("kept_sha256", F.sha2(F.lit(""), 256)).alias("kept_sha256"))

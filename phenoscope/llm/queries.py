@@ -39,6 +39,11 @@ def op4_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_dedup(read_table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
 
 
+def _held_out(fold: Column) -> Column:
+    """Whether a document is held out; rows without an id are in no fold."""
+    return F.coalesce(fold, F.lit(False)).alias("held_out")
+
+
 def _fold(folds: int) -> Column:
     """The fold of a document: crc32 of its id as text, modulo ``folds``."""
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(folds))
@@ -46,12 +51,12 @@ def _fold(folds: int) -> Column:
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = score_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"), _fold(5) != 0)
-    return scored.select("doc_id", (_fold(5) == 0).alias("held_out"), "score", "predicted")
+    return scored.select("doc_id", _held_out(_fold(5) == 0), "score", "predicted")
 
 
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = identify_language(read_table(spark, sf_dir, "documents"), _fold(4) != 2)
-    return found.select("doc_id", (_fold(4) == 2).alias("held_out"), "lang_pred", "score")
+    return found.select("doc_id", _held_out(_fold(4) == 2), "lang_pred", "score")
 
 
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

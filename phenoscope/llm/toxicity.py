@@ -127,8 +127,8 @@ def with_features(rows: DataFrame, learned: list[str]) -> DataFrame:
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, usable: Column, max_train: int = 16_000, max_terms: int = 1000,
-                   seed: int = 5, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
-    """One row per input row: ``(id, score, predicted)``.
+                   seed: int = 5, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", row_col: str | None = None) -> DataFrame:
+    """One row per input row: ``(id, score, predicted)``, with column ``row_col`` in the id's place if it is given.
 
     ``labels`` holds ``(id, label 0/1)``; only labelled rows for which
     ``usable`` (a condition on the id) holds are learned from, and of those at
@@ -138,7 +138,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, usable: Column, max_train
 
     ``score`` is the calibrated probability of label 1, ``predicted`` is 1 from
     0.5 on. Null and empty texts have all features zero and are scored like
-    any other. Rows that repeat an id are scored alike; labels that repeat an id
+    any other. Rows that repeat an id are scored by their own text; labels that repeat an id
     count once, a positive before a negative; null labels and ids are not learned
     from. Without both classes in a part of the sample the score is the share of
     label 1 (0.0 without labels). Other columns are not read.
@@ -159,6 +159,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, usable: Column, max_train
     train, calibrate = (vectors.transform(fit.filter(c)).withColumn("label", F.col("label").cast("double"))
                         for c in ("part >= 0.5 and part < 0.8", "part >= 0.8"))
     classes = [{r.label for r in x.select("label").distinct().collect()} for x in (train, calibrate)]
+    rows = rows if row_col is None else docs.select(F.col(row_col).alias("_id"), F.col(text_col).alias("_text"))
     features = vectors.transform(with_features(rows, learned))
     if any(len(c) < 2 for c in classes):
         base = known.agg(F.coalesce(F.avg("label"), F.lit(0.0))).first()[0]
@@ -169,5 +170,5 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, usable: Column, max_train
         curve = IsotonicRegression(featuresCol="p", labelCol="label", predictionCol="score").fit(margin(calibrate).coalesce(4))
         scored = curve.transform(margin(features).select("_id", "p"))
     score = F.least(F.greatest(F.col("score"), F.lit(0.0)), F.lit(1.0))
-    return scored.select(F.col("_id").alias(id_col), score.alias("score"),
+    return scored.select(F.col("_id").alias(row_col or id_col), score.alias("score"),
                          F.when(score >= 0.5, 1).otherwise(0).alias("predicted"))

@@ -176,3 +176,10 @@ def test_shard_traversal_prunes_inside_nested_cells():
         assert set(zip(i.tolist(), j.tolist())) == set(zip(*(a.tolist() for a in np.nonzero(x @ x.T >= 0.95))))
         for above, cell in zip(tree, tree[1:]):
             assert (above[cell] == above).all() and (cell[cell] == cell).all()
+
+
+def test_null_conversation_is_not_the_text_null(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    turns = spark.createDataFrame([(None, 0, "user", "a"), ("null", 0, "user", "b"), ("", 0, "user", "c")], "conv_id string, turn int, role string, text string")
+    rows = chat_format.read_back(chat_format.format_chats(turns, path), path).collect()
+    assert sorted((str(r.conv_id), r.n_turns) for r in rows) == [("", 1), ("None", 1), ("null", 1)]
