@@ -14,27 +14,38 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from phenoscope.llm.bpe import bpe_encode_decode
-from phenoscope.llm.common import read_table, written
+from phenoscope.llm.common import read_table, row_key, unused, written
 from phenoscope.llm.line_dedup import line_dedup
 from phenoscope.llm.mixing import mix_sources
 from phenoscope.llm.simhash import simhash_dedup
 from phenoscope.llm.toxicity import score_toxicity
 
 
-def without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """``docs`` without the ids in ``dropped``; rows with a null id stay."""
-    return docs.join(written(dropped.select("doc_id").distinct(), "dropped"), "doc_id", "left_anti").select(*docs.columns)
+def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a key of each row, its id and text together, and the key's name, which no other column has.
+
+    Stages act on keys, so of several texts under one id, or without one, each is judged by itself.
+    """
+    (key,) = unused(docs.columns, "row_key")
+    return docs.withColumn(key, row_key(docs)), key
+
+
+def without(docs: DataFrame, dropped: DataFrame, key: str) -> DataFrame:
+    """``docs`` without the rows whose key is in ``dropped``."""
+    return docs.join(written(dropped.select(key).distinct(), "dropped"), key, "left_anti")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the toxicity operator does not reject (score under 0.5).
 
     The model learns from table ``labels`` outside the held-out fold, as in the
-    operator's query. Null and empty texts are scored like any other.
+    operator's query. Null and empty texts are scored like any other; rows that repeat
+    an id, and rows without one, are judged by their own text.
     """
+    rows, key = keyed(docs)
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5))
-    scored = score_toxicity(docs, read_table(spark, sf_dir, "labels"), fold != 0)
-    return without(docs, scored.filter("predicted = 1"))
+    scored = score_toxicity(rows, read_table(spark, sf_dir, "labels"), fold != 0, row_col=key)
+    return without(rows, scored.filter("predicted = 1"), key).select(*docs.columns)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,34 +61,35 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash component, that with the smallest id; repeated ids count as copies.
+    """One document of each SimHash component, that with the smallest id; rows without an id come last.
 
-    Rows with a null id stay.
+    Of several texts under one id that are no near copies each stays. Of rows equal in id
+    and text one stays, the smallest by the other columns.
     """
-    found = written(simhash_dedup(docs, shingle=4, max_bits=4), "simhash")
-    kept = without(docs, found.filter("doc_id <> component_id"))
-    repeated = found.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1 and doc_id is not null")
+    rows, key = keyed(docs)
+    found = simhash_dedup(rows, shingle=4, max_bits=4, id_col=key)
+    kept = written(without(rows, found.filter(F.col(key) != F.col("component_id")), key), "kept")
+    repeated = kept.groupBy(key).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > 1)
     if repeated.isEmpty():
-        return kept
-    return kept.filter("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.filter("doc_id is null"))
+        return kept.select(*docs.columns)
+    first = kept.join(repeated.select(key), key, "left_semi").groupBy(key).agg(F.min(F.struct(*docs.columns)).alias("first")).select("first.*")
+    return kept.join(repeated.select(key), key, "left_anti").select(*docs.columns).unionByName(first)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it: 0, 1 or 2 rows.
-
-    Rows that repeat an id are taken equally often; a null id counts as one id.
-    """
-    key = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    taken = written(mix_sources(docs).filter("repeats > 0").groupBy(key.alias("_key")).agg(F.max("repeats").alias("_repeats")), "taken")
-    return docs.withColumn("_key", key).join(taken, "_key") \
-        .withColumn("_epoch", F.explode(F.sequence(F.lit(1), F.col("_repeats").cast("int")))).select(*docs.columns)
+    """Every document as often as the mix takes it: 0, 1 or 2 rows. Rows equal in id and text are taken equally often."""
+    rows, key = keyed(docs)
+    repeats, epoch = unused(rows.columns, "repeats", "epoch")
+    taken = mix_sources(rows, id_col=key).filter("repeats > 0").groupBy(key).agg(F.max("repeats").cast("int").alias(repeats))
+    return rows.join(written(taken, "taken"), key).withColumn(epoch, F.explode(F.sequence(F.lit(1), F.col(repeats)))).select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """``(doc_id, n_tokens, ids, ids_sha256, decoded_sha256)`` for every row of the mix.
 
     ``ids`` are little-endian unsigned 32-bit integers of the byte-level vocabulary;
-    the last digest is that of the text decoded from them.
+    the last digest is that of the text decoded from them. Null and empty texts have no ids; repeated rows and
+    null ids are returned each.
     """
     coded = bpe_encode_decode(docs, public_tokenizers.path("byte_bpe_50k.json"))
     return coded.select("doc_id", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"),
