@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -64,3 +66,20 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="phenoscope-ckpt-")
     context.setCheckpointDir(local)
     return local
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors, once a session, for the Python code that runs in tasks.
+
+    Not needed where it is installed on every machine; harmless there.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_phenoscope_shipped", False):
+        return
+    home = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="phenoscope-ship-")) / "phenoscope.zip"
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for path in sorted(home.rglob("*.py")):
+            out.write(path, f"{home.name}/{path.relative_to(home)}")
+    context.addPyFile(str(archive))
+    context._phenoscope_shipped = True
