@@ -30,6 +30,8 @@ SMALL = 10
 #: Lines of about this many hashes and more give longer runs among more hashes, since many lines share a run of three.
 LONG = 40
 LONG_ROWS, LONG_BOTTOM = 4, 24
+#: Part of the smallest hashes that two lines must have in common for their texts to be compared.
+AGREE = 0.625
 #: Neighbours in a band's key that a line is compared with at first.
 NEIGHBOURS = 4
 #: Bits of the filter for the lines whose text is wanted.
@@ -51,11 +53,6 @@ def line_key(norm: Column) -> Column:
     return F.unhex(F.md5(norm))
 
 
-def once(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` bound to a variable, so that it is computed once however often it is used."""
-    return F.transform(F.array(value), use)[0]
-
-
 def all_shingles(norm: Column) -> Column:
     """Every run of ``SHINGLE`` characters; a shorter line is its own shingle."""
     found = F.regexp_extract_all(norm, F.lit(f"(?s)(?=(.{{{SHINGLE}}}))"), F.lit(1))
@@ -73,102 +70,129 @@ def similar_sizes(x: Column, y: Column, similarity: float) -> Column:
     return F.least(x, y) >= similarity * F.greatest(x, y)
 
 
-def band_keys(lines: DataFrame, similarity: float) -> DataFrame:
-    """``(line, n, keys)``, a row for each distinct line of ``(line, norm)``: its hashes, and a key for each run among the smallest.
+def signatures(lines: DataFrame) -> DataFrame:
+    """``(handle, n, sketch)`` of each distinct line of ``(handle, norm)``: how many hashes it has, and the smallest.
+
+    Hashes are ordered by 64 bits; the sketch holds the upper 32 of each, which is enough to compare two sketches.
+    """
+    hashed = lines.select("handle", F.array_distinct(F.sort_array(F.transform(
+        all_shingles(F.col("norm")), lambda s: F.xxhash64(s)))).alias("h"))
+    upper = F.transform(F.slice("h", 1, LONG_BOTTOM), lambda v: F.shiftright(v, 32).cast("int"))
+    return hashed.select("handle", F.size("h").alias("n"), upper.alias("sketch")) \
+        .groupBy("handle").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+
+
+def band_keys(signed: DataFrame, similarity: float) -> DataFrame:
+    """``(handle, n, keys)``: a key for each run among the smallest hashes of a line.
 
     Two sets of 4 and 5 hashes may have no run of three in common though their
     similarity is 0.8, hence the runs of two. Lines under ``LONG`` hashes give short
     runs, lines from ``similarity`` times as many long ones: two lines that are similar
     enough always give a kind in common.
     """
-    hashed = lines.select("line", F.array_distinct(F.sort_array(F.transform(
-        all_shingles(F.col("norm")), lambda s: F.xxhash64(s)))).alias("h"))
-    distinct = hashed.select("line", F.size("h").alias("n"), F.slice("h", 1, LONG_BOTTOM).alias("h")) \
-        .groupBy("line").agg(F.first("n").alias("n"), F.first("h").alias("h"))
-    h, none = F.col("h"), F.array().cast("array<bigint>")
+    h, none = F.col("sketch"), F.array().cast("array<bigint>")
     small = F.when(F.size(h).between(ROWS + 1, SMALL - 1), run_keys(h, 2, SMALL)).otherwise(none)
     short = F.when(F.col("n") < LONG, run_keys(h, ROWS, BOTTOM)).otherwise(none)
     long = F.when(F.col("n") >= similarity * LONG, run_keys(h, LONG_ROWS, LONG_BOTTOM)).otherwise(none)
-    return distinct.select("line", "n", F.concat(short, small, long).alias("keys"))
+    return signed.select("handle", "n", F.concat(short, small, long).alias("keys"))
 
 
-def candidates(lines: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
-    """Pairs ``(a, b)`` of distinct lines, and the members ``(key, line, n)`` of keys too large to pair at first.
+def candidates(signed: DataFrame, similarity: float) -> tuple[DataFrame, DataFrame]:
+    """Pairs ``(a, b)`` of line handles, and the members ``(key, handle, n)`` of keys too large to pair at first.
 
-    Lines are made distinct before the keys are dealt out. In each key a line is
-    paired with its next ``NEIGHBOURS`` in order of size and hash and with the key's
-    first, so small keys are paired fully and the rows stay linear in large ones.
-    Pairs whose sizes rule out the similarity are left out.
+    In each key a line is paired with its next ``NEIGHBOURS`` in order of size and
+    hash and with the key's first, so small keys are paired fully and the rows stay
+    linear in large ones. Pairs whose sizes rule out the similarity are left out.
     """
-    keyed = band_keys(lines, similarity).select("line", "n", F.explode("keys").alias("key"))
-    in_key = Window.partitionBy("key").orderBy("n", "line")
-    member = F.struct("line", "n")
+    keyed = band_keys(signed, similarity).select("handle", "n", F.explode("keys").alias("key"))
+    in_key = Window.partitionBy("key").orderBy("n", "handle")
+    member = F.struct("handle", "n")
     ahead = [F.lead(member, k).over(in_key).alias(f"l{k}") for k in range(1, NEIGHBOURS + 1)]
-    ranked = keyed.select("key", "line", "n", F.first(member).over(in_key).alias("l0"), F.row_number().over(in_key).alias("at"), *ahead)
+    ranked = keyed.select("key", "handle", "n", F.first(member).over(in_key).alias("l0"), F.row_number().over(in_key).alias("at"), *ahead)
     met = written(ranked.filter("l1 is not null or at > 1"), "met")
     other = F.explode(F.array(*(f"l{k}" for k in range(NEIGHBOURS + 1)))).alias("b")
-    pairs = met.select("line", "n", other).filter("line != b.line").filter(
+    pairs = met.select("handle", "n", other).filter("handle != b.handle").filter(
         similar_sizes(F.col("n"), F.col("b.n"), similarity)).select(
-        F.least("line", "b.line").alias("a"), F.greatest("line", "b.line").alias("b")).distinct()
+        F.least("handle", "b.handle").alias("a"), F.greatest("handle", "b.handle").alias("b")).distinct()
     large = met.filter(F.col("at") > NEIGHBOURS + 1).select("key").distinct()
-    return pairs, met.select("key", "line", "n").join(large, "key", "left_semi")
+    return pairs, met.select("key", "handle", "n").join(large, "key", "left_semi")
+
+
+def likely(pairs: DataFrame, signed: DataFrame) -> DataFrame:
+    """``(a, b, na, nb)``: the pairs whose sketches have at least ``AGREE`` of their hashes in common, with the lines' sizes.
+
+    A sketch of fewer than ``LONG_BOTTOM`` hashes is the whole set; of two such sets of similarity 0.8 none
+    is left out. Of larger ones with a similarity of exactly 0.8 less than 1 in 1,000 is.
+    """
+    side = lambda x: signed.select(F.col("handle").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    agree = F.size(F.array_intersect("sa", "sb")) >= AGREE * F.least(F.size("sa"), F.size("sb"))
+    return both.filter(agree).select("a", "b", "na", "nb")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """The pairs whose shingle sets have a Jaccard similarity of at least ``similarity``.
+    """The pairs ``(a, b, na, nb)`` whose shingle sets have a Jaccard similarity of at least ``similarity``.
 
-    The sets are of whole lines; shingles are compared by their 64-bit hashes.
+    The sets are of whole lines; shingles are compared by their 64-bit hashes. The sets' sizes
+    are known, so the members in common decide.
     """
-    both = pairs.join(texts.select(F.col("line").alias("a"), F.col("norm").alias("x")), "a") \
-        .join(texts.select(F.col("line").alias("b"), F.col("norm").alias("y")), "b")
+    both = pairs.join(texts.select(F.col("handle").alias("a"), F.col("norm").alias("x")), "a") \
+        .join(texts.select(F.col("handle").alias("b"), F.col("norm").alias("y")), "b")
     hashed = lambda c: F.transform(all_shingles(F.col(c)), lambda s: F.xxhash64(s))
-    similar = once(F.struct(hashed("x").alias("s"), hashed("y").alias("t")), lambda p: (
-        F.size(F.array_intersect(p["s"], p["t"])) >= similarity * F.size(F.array_union(p["s"], p["t"]))))
-    return both.filter(similar).select("a", "b")
+    common = F.size(F.array_intersect(hashed("x"), hashed("y")))
+    return both.select("a", "b", F.col("na").alias("m"), F.col("nb").alias("n"), common.alias("c")) \
+        .filter(F.col("c") >= similarity * (F.col("m") + F.col("n") - F.col("c"))).select("a", "b")
 
 
 def among(lines: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The rows of ``lines`` whose ``line`` is in ``wanted``, without a shuffle of the others.
+    """The rows of ``lines`` whose ``handle`` is in ``wanted``, without a shuffle of the others.
 
     A bitmap of ``BITMAP`` bits over hashes of the wanted lines (a fixed 2 MB
     however many they are) is broadcast and drops nearly all other rows where they
     are read; an exact semi-join drops the rest.
     """
-    place = F.pmod(F.xxhash64("line"), F.lit(BITMAP))
+    place = F.pmod("handle", F.lit(BITMAP))
     bucket, bit = F.floor(place / 32768).alias("_bucket"), F.pmod(place, F.lit(32768)).alias("_bit")
     bitmap = wanted.select(bucket, bit).groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_bitmap"))
     near = lines.withColumns({"_bucket": bucket, "_bit": bit}).join(F.broadcast(written(bitmap, "bitmap")), "_bucket")
     byte = F.conv(F.hex(F.substring("_bitmap", F.floor(F.col("_bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     kept = near.filter(byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), F.pmod("_bit", F.lit(8)).cast("int"))) != 0)
     # written, since the optimizer would move the semi-join below the filter
-    return written(kept.select(*lines.columns), "near").join(wanted, "line", "left_semi")
+    return written(kept.select(*lines.columns), "near").join(wanted, "handle", "left_semi")
 
 
 def line_components(lines: DataFrame, similarity: float) -> DataFrame:
-    """``(line, comp)`` for lines ``(line, norm)`` that have a smaller line in their component.
+    """``(line, comp)`` for lines ``(line, handle, norm)`` that have a smaller line in their component.
 
     Lines in a large key that are not yet in one component are then paired across
-    components, which leaves no pair of a key undecided.
+    components, which leaves no pair of a key undecided. Rows between the steps carry
+    64-bit handles; a handle that two different lines share is linked with nothing.
     """
-    pairs, large = candidates(lines, similarity)
-    pairs = written(pairs, "pairs")
-    wanted = pairs.select(F.col("a").alias("line")).union(pairs.select("b")).distinct()
-    texts = written(among(lines.select("line", "norm"), written(wanted, "wanted")).dropDuplicates(["line"]), "texts")
+    signed = written(signatures(lines), "signed")
+    met, large = candidates(signed, similarity)
+    pairs = written(likely(met, signed), "pairs")
+    large = written(large, "large")
+    ends = pairs.select(F.col("a").alias("handle")).union(pairs.select("b")).union(large.select("handle")).distinct()
+    found = among(lines.select("handle", "line", "norm"), written(ends, "wanted")).groupBy("handle").agg(
+        F.min("line").alias("line"), F.max("line").alias("last"), F.first("norm").alias("norm"))
+    texts = written(found.filter("line = last").drop("last"), "texts")
     links = written(verified(pairs, texts, similarity), "links")
     label = components(links)
-    large = written(large.join(label, large["line"] == label["node"], "left").select(
-        "key", "line", "n", F.coalesce("component_id", "line").alias("comp")), "large")
-    split = large.groupBy("key").agg(F.min("comp").alias("_x"), F.max("comp").alias("_y")).filter("_x != _y").select("key")
-    open_ = written(large.join(split, "key", "left_semi"), "open")
+    placed = written(large.join(label, large["handle"] == label["node"], "left").select(
+        "key", "handle", "n", F.coalesce("component_id", "handle").alias("comp")), "placed")
+    split = placed.groupBy("key").agg(F.min("comp").alias("_x"), F.max("comp").alias("_y")).filter("_x != _y").select("key")
+    open_ = written(placed.join(split, "key", "left_semi"), "open")
     if not open_.isEmpty():
         left, right = open_.toDF("key", "a", "na", "ca"), open_.toDF("key", "b", "nb", "cb")
         able = similar_sizes(F.col("na"), F.col("nb"), similarity)
         more = left.join(right, "key").filter("ca < cb").filter(able).select(
             F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-        extra = written(verified(more, texts, similarity), "more")
+        extra = written(verified(written(likely(more, signed), "across"), texts, similarity), "more")
         if not extra.isEmpty():
             label = components(links.unionByName(extra))
-    return label.withColumnsRenamed({"node": "line", "component_id": "comp"})
+    named = texts.select("handle", "line")
+    return label.join(named, label["node"] == named["handle"]).select("line", "component_id").join(
+        named.select(F.col("handle").alias("component_id"), F.col("line").alias("comp")), "component_id").select("line", "comp")
 
 
 def line_marks(docs: DataFrame, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -176,7 +200,7 @@ def line_marks(docs: DataFrame, similarity: float = 0.8, id_col: str = "doc_id",
 
     Of the lines in one component the one with the smallest (key, ``pos``) is kept: that of the smallest id.
     """
-    lines = lines_of(docs, id_col, text_col).withColumn("line", line_key(F.col("norm")))
+    lines = lines_of(docs, id_col, text_col).withColumns({"line": line_key(F.col("norm")), "handle": F.xxhash64("norm")})
     label = written(line_components(lines, similarity), "line_components")
     placed = written(lines.select("_row", "pos", "line").join(label, "line", "left").select(
         "_row", "pos", "line", F.coalesce("comp", "line").alias("comp")), "placed")
