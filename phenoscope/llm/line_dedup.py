@@ -118,6 +118,11 @@ def candidates(signed: DataFrame, similarity: float) -> tuple[DataFrame, DataFra
     return pairs, met.select("key", "handle", "n").join(large, "key", "left_semi")
 
 
+def agree(x: str, y: str) -> Column:
+    """Whether two sketches have enough hashes in common for their lines to be compared."""
+    return F.size(F.array_intersect(x, y)) >= AGREE * F.least(F.size(x), F.size(y))
+
+
 def likely(pairs: DataFrame, signed: DataFrame) -> DataFrame:
     """``(a, b, na, nb)``: the pairs whose sketches have at least ``AGREE`` of their hashes in common, with the lines' sizes.
 
@@ -126,8 +131,7 @@ def likely(pairs: DataFrame, signed: DataFrame) -> DataFrame:
     """
     side = lambda x: signed.select(F.col("handle").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
-    agree = F.size(F.array_intersect("sa", "sb")) >= AGREE * F.least(F.size("sa"), F.size("sb"))
-    return both.filter(agree).select("a", "b", "na", "nb")
+    return both.filter(agree("sa", "sb")).select("a", "b", "na", "nb")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
@@ -181,13 +185,16 @@ def line_components(lines: DataFrame, similarity: float) -> DataFrame:
     placed = written(large.join(label, large["handle"] == label["node"], "left").select(
         "key", "handle", "n", F.coalesce("component_id", "handle").alias("comp")), "placed")
     split = placed.groupBy("key").agg(F.min("comp").alias("_x"), F.max("comp").alias("_y")).filter("_x != _y").select("key")
-    open_ = written(placed.join(split, "key", "left_semi"), "open")
+    # sketches are joined to the members, not to their pairs
+    open_ = written(placed.join(split, "key", "left_semi").join(signed.select("handle", "sketch"), "handle").select(
+        "key", "handle", "n", "comp", "sketch"), "open")
     if not open_.isEmpty():
-        left, right = open_.toDF("key", "a", "na", "ca"), open_.toDF("key", "b", "nb", "cb")
+        left, right = open_.toDF("key", "a", "na", "ca", "sa"), open_.toDF("key", "b", "nb", "cb", "sb")
         able = similar_sizes(F.col("na"), F.col("nb"), similarity)
-        more = left.join(right, "key").filter("ca < cb").filter(able).select(
-            F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(pairs, ["a", "b"], "left_anti")
-        extra = written(verified(written(likely(more, signed), "across"), texts, similarity), "more")
+        more = left.join(right, "key").filter("ca < cb").filter(able).filter(agree("sa", "sb")).select(
+            F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "na", "nb").dropDuplicates(["a", "b"])
+        more = written(more.join(pairs.select("a", "b"), ["a", "b"], "left_anti"), "across")
+        extra = written(verified(more, texts, similarity), "more")
         if not extra.isEmpty():
             label = components(links.unionByName(extra))
     named = texts.select("handle", "line")
