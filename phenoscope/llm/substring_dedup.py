@@ -8,8 +8,9 @@ documents lie in paths with the same minimizer. Paths whose minimizer has one
 spelling in the whole corpus do not branch and stay compact; only paths of a
 minimizer with several spellings are opened into single edges. Compact paths
 and edges that a smaller document also has are joined to their first source,
-and neighbouring ones with the same source compact into long spans, whose words
-are compared at both coordinates.
+and neighbouring ones with the same source compact into long spans. Spans are held
+equal by the digests of their paths at both coordinates; the source's words are
+not fetched again.
 """
 
 from __future__ import annotations
