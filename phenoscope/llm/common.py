@@ -54,6 +54,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(table: DataFrame) -> None:
+    """Delete a table of ``written`` that nothing reads any more, by the file system that holds it."""
+    spark, files = table.sparkSession, table.inputFiles()
+    folder = files[0].rsplit("/", 1)[0] if files else ""
+    if "/llm-" in folder:
+        path = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(folder))
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def unused(columns: list[str], *names: str) -> list[str]:
     """``names``, with underscores put before those that ``columns`` already has (in any case)."""
     taken, out = {c.lower() for c in columns}, []

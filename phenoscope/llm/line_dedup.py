@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from phenoscope.llm.common import components, row_key, runs, star_edges, unused, written
+from phenoscope.llm.common import components, discard, row_key, runs, star_edges, unused, written
 
 #: Characters of a shingle.
 SHINGLE = 5
@@ -33,6 +33,8 @@ ROWS, BANDS = 4, 10
 SMALL = 9
 #: Part of the minima that two lines must have in common for their texts to be compared across components.
 AGREE = 0.575
+#: Two bits of each of so many minima make a line's 64-bit sketch; neighbours' texts are compared if so many of them agree.
+SKETCH, SKETCH_AGREE = 32, 21
 #: Neighbours in a band's key that a line is compared with at first.
 NEIGHBOURS = 4
 #: Rows held at a time while neighbours are paired; a key with more is cut.
@@ -118,7 +120,7 @@ def places(members: np.ndarray, bits: int) -> np.ndarray:
     return (members >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(members), np.int64)
 
 
-def signed_texts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[bytes | None]]:
+def signed_texts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray | None]]:
     """Sizes of the shingle sets, their minima, and the keys of small sets."""
     members, bits = shingle_sets(texts)
     place = places(members, bits)
@@ -132,68 +134,55 @@ def signed_texts(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[bytes |
     # 40 bits of each hash, so that equal sets have equal sums however many lines were hashed together
     part = hashes >> np.uint64(24)
     total = np.add.reduceat(part, starts)
-    few: list[bytes | None] = [None] * len(texts)
+    few: list[np.ndarray | None] = [None] * len(texts)
     for i in np.flatnonzero(size <= SMALL).tolist():
         one = total[i] - part[starts[i]:starts[i] + size[i]]
-        few[i] = mixed(np.concatenate((total[i:i + 1], one))).tobytes()
+        few[i] = mixed(np.concatenate((total[i:i + 1], one)))
     return size, minima, few
 
 
-def signatures(lines: DataFrame) -> DataFrame:
-    """``(handle, n, minima, few)`` of each distinct line of ``(handle, norm)``: how many shingles it has, their minima, keys of small sets."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
-            for cut in cuts([len(t) for t in texts]):
-                size, minima, few = signed_texts(texts[cut])
-                width = minima.shape[1] * 4
-                ends = pa.py_buffer(np.arange(0, (len(size) + 1) * width, width, dtype=np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[cut], pa.array(size, pa.int32()),
-                     pa.Array.from_buffers(pa.binary(), len(size), [None, ends, pa.py_buffer(minima)]), pa.array(few, pa.binary())],
-                    names=["handle", "n", "minima", "few"])
-
-    found = lines.select("handle", "norm").mapInArrow(run, "handle long, n int, minima binary, few binary")
-    return found.groupBy("handle").agg(*(F.first(c).alias(c) for c in ("n", "minima", "few")))
+def sketches(minima: np.ndarray) -> np.ndarray:
+    """64 bits of each row of minima: the lowest two of the first ``SKETCH``."""
+    shifts = np.arange(0, 2 * SKETCH, 2, dtype=np.uint64)
+    return np.bitwise_or.reduce((minima[:, :SKETCH].astype(np.uint64) & np.uint64(3)) << shifts, axis=1)
 
 
-def minima_of(column: pa.Array) -> np.ndarray:
-    """One row of minima for each value of a binary column."""
-    return np.frombuffer(b"".join(column.to_pylist()), "<u4").reshape(-1, ROWS * BANDS)
+def sketches_agree(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Whether ``SKETCH_AGREE`` of the minima in two sketches agree."""
+    differ = x ^ y
+    differ = (differ | (differ >> np.uint64(1))) & np.uint64(0x5555555555555555)
+    return np.bitwise_count(differ) <= SKETCH - SKETCH_AGREE
 
 
-def band_keys(signed: DataFrame) -> DataFrame:
-    """``(key, handle, n)``: a key for each band of a line, and the keys of small sets.
+def signatures(lines: DataFrame) -> DataFrame:
+    """``(handle, n, sketch, keys)`` of each distinct line of ``(handle, norm)``: how many shingles it has, and a key for each band.
 
     Of two sets of at most ``SMALL`` shingles and a similarity of 0.8, neither has
     more than one that the other has not, so they share a key of small sets.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            handle, n = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            bands = (minima_of(batch.column(2)).reshape(-1, BANDS, ROWS) * _BAND).sum(axis=2, dtype=np.uint64) + _BAND[:, 0]
-            keys, at = [mixed(bands).ravel()], [np.repeat(np.arange(len(handle)), BANDS)]
-            few = batch.column(3)
-            small = np.flatnonzero(few.is_valid().to_numpy(zero_copy_only=False))
-            if len(small):
-                own = [np.frombuffer(few[i].as_py(), "<u8") for i in small.tolist()]
-                keys.append(np.concatenate(own))
-                at.append(np.repeat(small, [len(k) for k in own]))
-            rows = np.concatenate(at)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(handle[rows]), pa.array(n[rows])],
-                                             names=["key", "handle", "n"])
-
-    return signed.select("handle", "n", "minima", "few").mapInArrow(run, "key long, handle long, n int")
+            texts = batch.column(1).to_pylist()
+            for cut in cuts([len(t) for t in texts]):
+                size, minima, few = signed_texts(texts[cut])
+                bands = mixed((minima.reshape(-1, BANDS, ROWS) * _BAND).sum(axis=2, dtype=np.uint64) + _BAND[:, 0])
+                keys = [k if f is None else np.concatenate((k, f)) for k, f in zip(bands, few)]
+                ends = np.cumsum([0, *map(len, keys)], dtype=np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0)[cut], pa.array(size, pa.int32()), pa.array(sketches(minima).view(np.int64)),
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys).view(np.int64)))],
+                    names=["handle", "n", "sketch", "keys"])
+
+    found = lines.select("handle", "norm").mapInArrow(run, "handle long, n int, sketch long, keys array<bigint>")
+    return found.groupBy("handle").agg(*(F.first(c).alias(c) for c in ("n", "sketch", "keys")))
 
 
 def paired(rows: np.ndarray, cut: list[int], similarity: float) -> pa.RecordBatch:
-    """``(key, a, b)`` for sorted ``rows`` of (key, n, handle): pairs without a key, and the members ``a`` of keys not paired fully.
+    """``(key, a, b)`` for sorted ``rows`` of (key, n, handle, sketch): pairs without a key, and the members ``a`` of keys not paired fully.
 
     ``cut`` names keys that have rows elsewhere.
     """
-    key, n, handle = rows
+    key, n, handle, sketch = rows
     at = np.arange(len(key))
     starts = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
     size = np.diff(np.concatenate((starts, [len(key)])))
@@ -203,6 +192,7 @@ def paired(rows: np.ndarray, cut: list[int], similarity: float) -> pa.RecordBatc
     x = np.concatenate((*ahead, start[late]))
     y = np.concatenate((*(i + k for k, i in enumerate(ahead, 1)), late))
     able = np.minimum(n[x], n[y]) >= similarity * np.maximum(n[x], n[y])
+    able &= sketches_agree(sketch[x].view(np.uint64), sketch[y].view(np.uint64))
     x, y = handle[x[able]], handle[y[able]]
     members = np.flatnonzero((size > NEIGHBOURS + 1) | np.isin(key, cut))
     none = np.zeros(len(members), np.int64)
@@ -217,16 +207,17 @@ def neighbours(keyed: DataFrame, similarity: float) -> DataFrame:
 
     In each key a line is paired with its next ``NEIGHBOURS`` in order of size and
     hash and with the key's first, so small keys are paired fully and the rows stay
-    linear in large ones; lines alone in their key give no row. Pairs whose sizes rule out the similarity are left out. Rows are
+    linear in large ones; lines alone in their key give no row. Pairs whose
+    sizes rule out the similarity, or whose sketches disagree, are left out. Rows are
     dealt by ranges of (key, size, handle), so a key that many lines share is spread
     over tasks; the keys at a range's ends count as large.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, cut = np.empty((3, 0), np.int64), None
+        held, cut = np.empty((4, 0), np.int64), None
         for batch in batches:
             if not batch.num_rows:
                 continue
-            held = np.concatenate((held, np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("key", "n", "handle")])), axis=1)
+            held = np.concatenate((held, np.stack([batch.column(c).to_numpy().astype(np.int64) for c in ("key", "n", "handle", "sketch")])), axis=1)
             cut = int(held[0, 0]) if cut is None else cut
             if held.shape[1] < HELD:
                 continue
@@ -272,11 +263,12 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
 
 
 def among(lines: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The rows of ``lines`` whose ``handle`` is in ``wanted``, without a shuffle of the others.
+    """The rows of ``lines`` whose ``handle`` is in ``wanted``, and a few others, without a shuffle.
 
     A bitmap of ``BITMAP`` bits over hashes of the wanted lines (a fixed 2 MB
     however many they are) is broadcast and drops nearly all other rows where they
-    are read; an exact semi-join drops the rest.
+    are read. An exact semi-join with what this returns, once written, drops the rest; in one
+    plan the optimizer would move it below the filter.
     """
     place = F.pmod("handle", F.lit(BITMAP))
     bucket, bit = F.floor(place / 32768).alias("_bucket"), F.pmod(place, F.lit(32768)).alias("_bit")
@@ -284,17 +276,17 @@ def among(lines: DataFrame, wanted: DataFrame) -> DataFrame:
     near = lines.withColumns({"_bucket": bucket, "_bit": bit}).join(F.broadcast(written(bitmap, "bitmap")), "_bucket")
     byte = F.conv(F.hex(F.substring("_bitmap", F.floor(F.col("_bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     kept = near.filter(byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), F.pmod("_bit", F.lit(8)).cast("int"))) != 0)
-    # written, since the optimizer would move the semi-join below the filter
-    return written(kept.select(*lines.columns), "near").join(wanted, "handle", "left_semi")
+    return kept.select(*lines.columns)
 
 
-def joined(handles: np.ndarray, comps: np.ndarray, n: np.ndarray, minima: np.ndarray, texts: list[str], left: np.ndarray, right: np.ndarray,
-           similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def joined(handles: np.ndarray, comps: np.ndarray, texts: list[str], left: np.ndarray, right: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Links between ``left`` and ``right`` places that are in different components, verified by their texts.
 
     Lines that a link has joined are not compared again, so many near copies cost little.
     """
     comps = comps.copy()
+    signed = [signed_texts(texts[cut])[:2] for cut in cuts([len(t) for t in texts])]
+    n, minima = (np.concatenate(x) for x in zip(*signed))
     for i in range(0, len(left), 64):
         block = left[i:i + 64]
         able = (comps[block][:, None] != comps[right][None]) \
@@ -319,7 +311,7 @@ def joined(handles: np.ndarray, comps: np.ndarray, n: np.ndarray, minima: np.nda
                     comps = np.where(node[order][at] == comps, root[order][at], comps)
 
 
-def across(members: DataFrame, signed: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+def across(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """``(a, b)``: links between lines of a key ``(key, handle, comp)`` that are in different components.
 
     A key with more than ``PIECE`` members is cut into pieces by a hash, and each pair
@@ -330,22 +322,22 @@ def across(members: DataFrame, signed: DataFrame, texts: DataFrame, similarity:
     part = F.pmod(F.xxhash64("handle", F.lit(7)), F.col("parts")).cast("int")
     dealt = members.join(parts, "key").select("key", "handle", "comp", part.alias("part"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("o"))
     dealt = dealt.select("key", F.least("part", "o").alias("i"), F.greatest("part", "o").alias("j"), "part", "handle", "comp")
-    rows = dealt.join(signed.select("handle", "n", "minima"), "handle").join(texts.select("handle", "norm"), "handle")
+    rows = dealt.join(texts.select("handle", "norm"), "handle")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in runs(batches, ["key", "i", "j"]):
-            key, i, j, part, handle, comp, n = (table.column(c).to_numpy() for c in ("key", "i", "j", "part", "handle", "comp", "n"))
-            minima, norm = minima_of(table.column("minima").combine_chunks()), table.column("norm").to_pylist()
+            key, i, j, part, handle, comp = (table.column(c).to_numpy() for c in ("key", "i", "j", "part", "handle", "comp"))
+            norm = table.column("norm").to_pylist()
             new = np.flatnonzero((np.diff(key) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)) + 1
             for a, b in zip([0, *new.tolist()], [*new.tolist(), len(key)]):
-                at = np.arange(a, b)
+                at = np.arange(b - a)
                 left = at[part[a:b] == i[a]]
                 right = left if i[a] == j[a] else at[part[a:b] != i[a]]
-                for x, y in joined(handle, comp, n, minima, norm, left, right, similarity):
+                for x, y in joined(handle[a:b], comp[a:b], norm[a:b], left, right, similarity):
                     yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], names=["a", "b"])
 
     order = ["key", "i", "j"]
-    return rows.repartition(*order).sortWithinPartitions(*order).select(*order, "part", "handle", "comp", "n", "minima", "norm") \
+    return rows.repartition(*order).sortWithinPartitions(*order).select(*order, "part", "handle", "comp", "norm") \
         .mapInArrow(run, "a long, b long").distinct()
 
 
@@ -357,13 +349,17 @@ def line_components(lines: DataFrame, similarity: float) -> DataFrame:
     64-bit handles; a handle that two different lines share is linked with nothing.
     """
     signed = written(signatures(lines), "signed")
-    met = written(neighbours(band_keys(signed), similarity), "met")
+    keyed = signed.select("handle", "n", "sketch", F.explode("keys").alias("key")).select("key", "n", "handle", "sketch")
+    met = written(neighbours(keyed, similarity), "met")
+    discard(signed)
     pairs = met.filter("b is not null").select("a", "b").distinct()
     large = met.filter("b is null").select("key", F.col("a").alias("handle"))
-    ends = pairs.select(F.col("a").alias("handle")).union(pairs.select("b")).union(large.select("handle")).distinct()
-    found = among(lines.select("handle", "line", "norm"), written(ends, "wanted")).groupBy("handle").agg(
+    ends = written(pairs.select(F.col("a").alias("handle")).union(pairs.select("b")).union(large.select("handle")).distinct(), "ends")
+    near = written(among(lines.select("handle", "norm"), ends), "near")
+    found = near.join(ends, "handle", "left_semi").withColumn("line", line_key(F.col("norm"))).groupBy("handle").agg(
         F.min("line").alias("line"), F.max("line").alias("last"), F.first("norm").alias("norm"))
     texts = written(found.filter("line = last").drop("last"), "texts")
+    discard(near)
     links = written(verified(pairs, texts, similarity), "links")
     label = components(links)
     placed = written(large.join(label, large["handle"] == label["node"], "left").select(
@@ -371,7 +367,7 @@ def line_components(lines: DataFrame, similarity: float) -> DataFrame:
     split = placed.groupBy("key").agg(F.min("comp").alias("_x"), F.max("comp").alias("_y")).filter("_x != _y").select("key")
     open_ = written(placed.join(split, "key", "left_semi"), "open")
     if not open_.isEmpty():
-        extra = written(across(open_, signed, texts, similarity), "more")
+        extra = written(across(open_, texts, similarity), "more")
         if not extra.isEmpty():
             label = components(links.unionByName(extra))
     named = texts.select("handle", "line")

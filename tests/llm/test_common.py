@@ -1,3 +1,5 @@
+import os
+
 import random
 
 import numpy as np
@@ -63,3 +65,11 @@ def test_cluster_without_a_shared_folder_raises():
 
     with pytest.raises(RuntimeError):
         shared_dir(Session())
+
+
+def test_discard_deletes_only_the_table_given(spark):
+    kept, gone = (common.written(spark.range(20), "numbers") for _ in range(2))
+    folder = gone.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+    common.discard(gone)
+    assert not os.path.exists(folder) and kept.count() == 20
+    common.discard(spark.range(3))
