@@ -154,6 +154,11 @@ def sketches_agree(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.bitwise_count(differ) <= SKETCH - SKETCH_AGREE
 
 
+def band_keys(minima: np.ndarray) -> np.ndarray:
+    """A key for each band of each row of minima."""
+    return mixed((minima.reshape(-1, BANDS, ROWS) * _BAND).sum(axis=2, dtype=np.uint64) + _BAND[:, 0])
+
+
 def signatures(lines: DataFrame) -> DataFrame:
     """``(handle, n, sketch, keys)`` of each distinct line of ``(handle, norm)``: how many shingles it has, and a key for each band.
 
@@ -165,7 +170,7 @@ def signatures(lines: DataFrame) -> DataFrame:
             texts = batch.column(1).to_pylist()
             for cut in cuts([len(t) for t in texts]):
                 size, minima, few = signed_texts(texts[cut])
-                bands = mixed((minima.reshape(-1, BANDS, ROWS) * _BAND).sum(axis=2, dtype=np.uint64) + _BAND[:, 0])
+                bands = band_keys(minima)
                 keys = [k if f is None else np.concatenate((k, f)) for k, f in zip(bands, few)]
                 ends = np.cumsum([0, *map(len, keys)], dtype=np.int32)
                 yield pa.RecordBatch.from_arrays(
@@ -279,14 +284,17 @@ def among(lines: DataFrame, wanted: DataFrame) -> DataFrame:
     return kept.select(*lines.columns)
 
 
-def joined(handles: np.ndarray, comps: np.ndarray, texts: list[str], left: np.ndarray, right: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def joined(key: int, handles: np.ndarray, comps: np.ndarray, texts: list[str], left: np.ndarray, right: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Links between ``left`` and ``right`` places that are in different components, verified by their texts.
 
-    Lines that a link has joined are not compared again, so many near copies cost little.
+    Lines that a link has joined are not compared again, so many near copies cost little. A pair that
+    meets in several keys is compared in that of its first common band alone: there both are members too, or
+    the key was small and paired fully.
     """
     comps = comps.copy()
     signed = [signed_texts(texts[cut])[:2] for cut in cuts([len(t) for t in texts])]
     n, minima = (np.concatenate(x) for x in zip(*signed))
+    bands, key = band_keys(minima), np.uint64(key & (1 << 64) - 1)
     for i in range(0, len(left), 64):
         block = left[i:i + 64]
         able = (comps[block][:, None] != comps[right][None]) \
@@ -295,7 +303,11 @@ def joined(handles: np.ndarray, comps: np.ndarray, texts: list[str], left: np.nd
         x, y = block[x], right[y]
         for j in range(0, len(x), 1 << 14):
             p, q = x[j:j + (1 << 14)], y[j:j + (1 << 14)]
-            keep = (comps[p] != comps[q]) & ((minima[p] == minima[q]).sum(axis=1) >= AGREE * minima.shape[1])
+            same = bands[p] == bands[q]
+            here = (bands[p, same.argmax(axis=1)] == key) | ~same.any(axis=1)
+            keep = here & (comps[p] != comps[q])
+            p, q = p[keep], q[keep]
+            keep = (minima[p] == minima[q]).sum(axis=1) >= AGREE * minima.shape[1]
             p, q = p[keep], q[keep]
             for cut in range(0, len(p), 1 << 10):
                 a, b = p[cut:cut + (1 << 10)], q[cut:cut + (1 << 10)]
@@ -333,7 +345,7 @@ def across(members: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
                 at = np.arange(b - a)
                 left = at[part[a:b] == i[a]]
                 right = left if i[a] == j[a] else at[part[a:b] != i[a]]
-                for x, y in joined(handle[a:b], comp[a:b], norm[a:b], left, right, similarity):
+                for x, y in joined(int(key[a]), handle[a:b], comp[a:b], norm[a:b], left, right, similarity):
                     yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], names=["a", "b"])
 
     order = ["key", "i", "j"]

@@ -1,11 +1,11 @@
 import os
-
 import random
 
 import numpy as np
 import pyarrow as pa
 import pytest
 
+from phenoscope.llm import common
 from phenoscope.llm.common import components, runs, shared_dir, star_edges
 
 

@@ -229,23 +229,31 @@ def test_neighbours_pair_small_keys_wholly_and_name_the_members_of_large_ones():
     assert line_dedup.paired(np.array([[7, 7], [50, 50], [1, 2], [0, -1]]), [], 0.8).num_rows == 0
 
 
-@pytest.mark.parametrize("piece", [16, 1024])
-def test_lines_of_a_large_key_are_compared_wholly(spark, monkeypatch, piece):
-    """All lines share one key and none is linked yet: the links' components are those of brute force."""
+@pytest.mark.parametrize("piece", [4, 1024])
+def test_members_of_large_keys_are_compared_wholly(spark, monkeypatch, piece):
+    """All lines are members of all their keys and none is linked yet: no link between lines that share a key is lost."""
     monkeypatch.setattr(line_dedup, "PIECE", piece)
     lines = alike(150)
+    bands = line_dedup.band_keys(line_dedup.signed_texts(lines)[1])
+    assert max(np.unique(bands, return_counts=True)[1]) > 8
     frame = spark.createDataFrame(list(enumerate(lines)), "handle long, norm string")
-    members = frame.select(F.lit(3).cast("long").alias("key"), "handle", F.col("handle").alias("comp"))
-    got = line_dedup.across(members, frame, 0.8).collect()
-    sets = [line_dedup.shingle_sets([s])[0] for s in lines]
-    near = lambda a, b: (c := len(np.intersect1d(sets[a], sets[b]))) >= 0.8 * (len(sets[a]) + len(sets[b]) - c)
-    assert all(near(r.a, r.b) for r in got)
-    expected = closure(range(len(lines)), near)
-    linked = {(r.a, r.b) for r in got}
+    members = spark.createDataFrame([(int(k), i, i) for i, row in enumerate(bands.view(np.int64).tolist()) for k in row], "key long, handle long, comp long")
+    linked = {(r.a, r.b) for r in line_dedup.across(members, frame, 0.8).collect()}
+    shared = lambda a, b: (bands[a] == bands[b]).any() and jaccard(lines[a], lines[b]) >= 0.8
+    assert all(shared(a, b) for a, b in linked)
+    expected = closure(range(len(lines)), shared)
     assert closure(range(len(lines)), lambda a, b: (a, b) in linked or (b, a) in linked) == expected
     assert 1 < len(set(expected.values())) < len(lines)
 
 
+def test_members_of_a_key_of_small_sets_are_compared(spark):
+    texts = spark.createDataFrame([(1, "abcdefgh"), (2, "abcdefghi"), (3, "zbcdefgh")], "handle long, norm string")
+    members = texts.select(F.lit(3).cast("long").alias("key"), "handle", F.col("handle").alias("comp"))
+    bands = line_dedup.band_keys(line_dedup.signed_texts(["abcdefgh", "abcdefghi", "zbcdefgh"])[1])
+    got = {(r.a, r.b) for r in line_dedup.across(members, texts, 0.8).collect()}
+    assert got == (set() if (bands[0] == bands[1]).any() else {(1, 2)})
+
+
 def test_line_dedup_where_ranges_cut_keys(spark):
     """Templates give keys of many members, which the ranges of four partitions cut."""
     rows = list(enumerate(alike(60)))
