@@ -108,7 +108,7 @@ class SafetyPlan:
 
     @cached_property
     def assessment(self) -> DataFrame:
-        return doe.direction_of_effect(self.evidence, self.i.targets, self.i.moa)
+        return doe.direction_of_effect(self.evidence, self.i.targets, self.i.moa, onco_sources=(doe.CENSUS,))
 
     @cached_property
     def summary(self) -> DataFrame:

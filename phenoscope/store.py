@@ -11,6 +11,7 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from phenoscope.session import ensure_checkpoint_dir
 
@@ -34,6 +35,26 @@ def measured(df: DataFrame) -> tuple[DataFrame, int]:
     return table, table.count()
 
 
+#: Bits of one bitmap of ``among``, bitmaps at most (32 MB together), and bits for each wanted key.
+BITMAP_BITS, MAX_BITMAPS, BITS_A_KEY = 32768, 1 << 13, 16
+
+
+def among(df: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of ``df`` whose ``keys`` are in ``wanted`` (a table of ``written``), and a few others, without a shuffle.
+
+    A bitmap over hashes of the wanted keys is broadcast and drops nearly all other rows
+    where they are read; past 16 million keys it grows no further and drops fewer.
+    The caller's join drops the rest.
+    """
+    bitmaps = min(MAX_BITMAPS, max(1, -(-wanted.count() * BITS_A_KEY // BITMAP_BITS)))
+    place = F.pmod(F.xxhash64(*keys), F.lit(bitmaps * BITMAP_BITS))
+    at = {"_bitmap_no": F.floor(place / BITMAP_BITS), "_bit": F.pmod(place, F.lit(BITMAP_BITS))}
+    bits = wanted.select(*keys).withColumns(at).groupBy("_bitmap_no").agg(F.bitmap_construct_agg("_bit").alias("_bitmap"))
+    near = df.withColumns(at).join(F.broadcast(bits), "_bitmap_no")
+    byte = F.conv(F.hex(F.substring("_bitmap", F.floor(F.col("_bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return near.filter(F.getbit(byte, F.pmod("_bit", F.lit(8)).cast("int")) == 1).select(*df.columns)
+
+
 def bucketed(df: DataFrame, key: str) -> DataFrame:
     """``df`` written in buckets of ``key``, as many as a shuffle has partitions.
 

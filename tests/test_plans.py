@@ -108,3 +108,61 @@ def test_deciles_add_no_scan_of_the_evidence(spark):
     plan = SafetyPlan(Inputs.from_testbed(spark, "/root/testdata/sf0.001"))
     with_deciles = plan.comparison._jdf.queryExecution().toString().count("FileScan")
     assert with_deciles == plan.features._jdf.queryExecution().toString().count("FileScan") > 0
+
+
+ONCO_EVIDENCE = ("datasourceId string, targetId string, diseaseId string, drugId string, beta double, oddsRatio double, "
+                 "clinicalSignificances array<string>, variantFunctionalConsequenceId string, variantFunctionalConsequenceFromQtlId string, "
+                 "mutatedSamples array<struct<functionalConsequenceId: string>>")
+
+
+def test_only_rows_that_read_the_onco_label_meet_it(spark):
+    """With several symbols to a target, too, the labels are those of the join of all rows."""
+    rows = [(s, t, "D1", "C1" if s == "chembl" else None, None, None, None, None, None, None)
+            for s in ("eva", "cancer_gene_census", "chembl") for t in ("T1", "T2", "T3", None)]
+    evidence = spark.createDataFrame(rows, ONCO_EVIDENCE)
+    moa = spark.createDataFrame([(["C1"], ["T1"], "INHIBITOR")], "chemblIds array<string>, targets array<string>, actionType string")
+    kind = "id string, approvedSymbol string, hallmarks struct<attributes: array<struct<description: string>>>"
+    hall = lambda *names: {"attributes": [{"description": n} for n in names]}
+    columns = ["datasourceId", "targetId", "variantEffect", "directionOnTrait", "homogenized"]
+    for more in ([], [("T2", "S3", hall("oncogene"))]):
+        targets = spark.createDataFrame([("T1", "S1", hall("TSG")), ("T2", "S2", hall("TSG"))] + more, kind)
+        whole = doe.direction_of_effect(evidence, targets, moa)
+        least = doe.direction_of_effect(evidence, targets, moa, onco_sources=(doe.CENSUS,))
+        assert sorted(map(str, least.select(columns).collect())) == sorted(map(str, whole.select(columns).collect()))
+        assert least.count() == len(rows) + 3 * len(more)
+    onco = doe.onco_label(targets.limit(2)).select("target_id", "TSorOncogene")
+    plan = doe.with_onco_label(evidence.filter("datasourceId != 'cancer_gene_census'"), onco, (doe.CENSUS,))
+    assert {r.TSorOncogene for r in plan.collect()} == {None}
+
+
+def test_evidence_plan_does_not_shuffle_the_evidence_for_the_onco_label(spark):
+    from phenoscope.plans.safety import Inputs, SafetyPlan
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = SafetyPlan(Inputs.from_testbed(spark, "/root/testdata/sf0.001")).assessment._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # the last branch, of rows that meet no lookup, has no join
+    assert plan.count("TSorOncogene") and "Join" not in plan.split("Filter")[-1]
+
+
+def test_rows_among_wanted_keys_are_found_without_a_shuffle(spark):
+    from phenoscope.store import among, written
+    rows = spark.range(20_000).select((F.col("id") % 5000).cast("string").alias("a"), F.nullif(F.col("id") % 7, F.lit(3)).alias("b"), "id")
+    wanted = written(rows.filter("id < 100").select("a", "b"))
+    near = among(rows, wanted, ["a", "b"])
+    exact = lambda df: {r.id for r in df.join(wanted.distinct(), ["a", "b"]).collect()}
+    assert exact(near) == exact(rows) and 100 <= near.count() < 3000
+    assert near.columns == rows.columns
+    assert "hashpartitioning(a" not in _plan(near) and "SortMergeJoin" not in _plan(near)
+
+
+def test_action_types_of_wanted_pairs_are_those_of_the_whole_table(spark):
+    from phenoscope.store import written
+    moa = spark.createDataFrame([([f"C{i % 9}"] if i % 10 else None, [f"T{i % 7}", f"T{i % 5}"], ("INHIBITOR", "OPENER", None)[i % 3]) for i in range(300)],
+                                "chemblIds array<string>, targets array<string>, actionType string")
+    pairs = [("T1", "C1"), ("T1", "C1"), ("T6", "C8"), ("T4", None), (None, "C2"), ("T99", "C1")]
+    got = doe.action_types(moa, written(spark.createDataFrame(pairs, "targetId string, drugId string"))).collect()
+    whole = [r for r in doe.action_types(moa).collect() if (r.targetId, r.drugId) in {("T1", "C1"), ("T6", "C8")}]
+    assert sorted(map(str, got)) == sorted(map(str, whole)) and len(got) == 2
