@@ -6,12 +6,14 @@ vocabulary fitted to the data, so that no label list has to be given.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LinearSVC
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import CountVectorizer, StringIndexer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from phenoscope.operators.evaluate import roc_auc
@@ -49,6 +51,16 @@ def feature_stages(frame: DataFrame, y_col: str = "y"):
     return [indexer, vectors]
 
 
+def present_labels(vocabulary: Sequence[str], features: str = FEATURES) -> Column:
+    """The names behind the ones of the feature vector, sorted.
+
+    The vector is an argument beside the names, not read inside a lambda: there the optimizer
+    would unpack it again for every name.
+    """
+    names = F.array(*map(F.lit, vocabulary)).cast("array<string>")
+    return F.array_sort(F.array_compact(F.zip_with(names, vector_to_array(features), lambda name, x: F.when(x == 1, name))))
+
+
 def split_train_test(df: DataFrame, key: str, seed: int = 2020, train_fraction: float = 0.7):
     """D-40: stable split by a seeded hash of the key (same split after any retry)."""
     u = F.conv(F.substring(hash_key(F.col(key), seed), 1, 8), 16, 10).cast("double") / F.lit(float(2 ** 32))

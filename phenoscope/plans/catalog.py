@@ -422,13 +422,10 @@ PHENOTYPE_LABELS = tuple(f"{kind} {k}" for kind in ("click", "error", "purchase"
 def q_assemble_features(spark: SparkSession, sf: str) -> DataFrame:
     """D-39: id, y, label index and the names behind the ones of the feature vector."""
     from pyspark.ml import Pipeline
-    from pyspark.ml.functions import vector_to_array
     frame = _svm_inputs(spark, sf)
     fitted = Pipeline(stages=model.feature_stages(frame)).fit(frame)
-    names = F.array(*map(F.lit, fitted.stages[-1].vocabulary)).cast("array<string>")
-    row = fitted.transform(frame).withColumn("_v", vector_to_array(model.FEATURES))
-    present = F.filter(names, lambda _, i: F.col("_v")[i] == 1)
-    return row.select("id", "y", model.LABEL, joined(F.array_sort(present)).alias("features"))
+    present = model.present_labels(fitted.stages[-1].vocabulary)
+    return fitted.transform(frame).select("id", "y", model.LABEL, joined(present).alias("features"))
 
 
 @query("linear_svm")

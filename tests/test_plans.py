@@ -166,3 +166,15 @@ def test_action_types_of_wanted_pairs_are_those_of_the_whole_table(spark):
     got = doe.action_types(moa, written(spark.createDataFrame(pairs, "targetId string, drugId string"))).collect()
     whole = [r for r in doe.action_types(moa).collect() if (r.targetId, r.drugId) in {("T1", "C1"), ("T6", "C8")}]
     assert sorted(map(str, got)) == sorted(map(str, whole)) and len(got) == 2
+
+
+def test_feature_names_unpack_the_vector_once_a_row(spark):
+    from pyspark.ml import Pipeline
+
+    from phenoscope.operators import model
+    frame = spark.createDataFrame([(1, 0, ["a", "c"]), (2, 1, []), (3, 1, ["b"])], "id long, y int, labels array<string>")
+    fitted = Pipeline(stages=model.feature_stages(frame)).fit(frame)
+    named = fitted.transform(frame).select("id", model.present_labels(fitted.stages[-1].vocabulary).alias("names"))
+    assert {r.id: r.names for r in named.collect()} == {1: ["a", "c"], 2: [], 3: ["b"]}
+    plan = named._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambdafunction" in plan and "UDF" not in "".join(re.findall(r"lambdafunction\(.*?lambda", plan))
