@@ -175,7 +175,7 @@ def q_onco_label(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("gof_lof_samples")
 def q_gof_lof_samples(spark: SparkSession, sf: str) -> DataFrame:
-    ev = doe.with_intogen_labels(doe.filter_sources(TB.stored_evidence(spark, sf)))
+    ev = doe.with_intogen_labels(doe.filter_sources(TB.stored_evidence(spark, sf, doe.filter_sources)))
     return (ev.filter(F.col("datasourceId") == "intogen")
             .groupBy("targetId", "diseaseId", "intogen_function", "intogenAnnot")
             .agg(F.count(F.lit(1)).alias("n_rows")))

@@ -38,7 +38,7 @@ class Inputs:
     @classmethod
     def from_testbed(cls, spark: SparkSession, sf_dir: str) -> "Inputs":
         return cls(
-            evidence=lambda: TB.stored_evidence(spark, sf_dir),
+            evidence=lambda: TB.stored_evidence(spark, sf_dir, doe.filter_sources),
             targets=TB.targets(spark, sf_dir),
             moa=TB.mechanism_of_action(spark, sf_dir),
             phenotypes=TB.mouse_phenotypes(spark, sf_dir),

@@ -206,47 +206,50 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_tax")
+    li = table(spark, sf_dir, "lineitem")
+    pick_source, line = F.col("l_orderkey") + F.col("l_linenumber"), F.col("l_linenumber")
+
+    def of(*sources: str) -> Column:
+        return F.pmod(pick_source, F.lit(len(TESTBED_SOURCES))).isin(*map(TESTBED_SOURCES.index, sources))
+
+    # what comes of lineitem alone is computed before it is shuffled to the orders, and only where it is used
+    narrow = li.select(
+        "l_orderkey", "l_partkey", "l_linenumber",
+        F.when(of("chembl", "intogen"), F.col("l_suppkey")).alias("l_suppkey"),
+        F.floor(F.col("l_quantity")).cast("int").alias("quantity"),
+        F.when(F.pmod(line, F.lit(3)) == 0, F.lit(None).cast("double"))
+        .otherwise(F.col("l_discount") - F.lit(0.05)).alias("beta"),
+        F.when(F.pmod(line, F.lit(2)) == 0, F.lit(None).cast("double"))
+        .otherwise(F.col("l_tax") / F.lit(0.04)).alias("oddsRatio"))
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    rows = li.join(orders, li.l_orderkey == orders.o_orderkey, "inner")
-    source = pick(F.col("l_orderkey") + F.col("l_linenumber"), TESTBED_SOURCES, T.StringType())
+    rows = narrow.join(orders, narrow.l_orderkey == orders.o_orderkey, "inner")
     s = schemas.EVIDENCE
-    return (
-        rows.withColumn("datasourceId", source)
-        .select(
-            "datasourceId",
-            F.when(F.col("l_linenumber") == 7, F.lit(None).cast("string"))
-            .otherwise(F.concat(F.lit("T"), F.col("l_partkey").cast("string"))).alias("targetId"),
-            F.when(F.pmod(F.col("l_orderkey"), F.lit(23)) == 0, F.lit(None).cast("string"))
-            .otherwise(F.concat(F.lit("D"), F.col("o_custkey").cast("string")))
-            .alias("diseaseId"),
-            F.when(F.col("datasourceId") == "chembl",
-                   F.concat(F.lit("CHEMBL"), F.col("l_suppkey").cast("string"))).alias("drugId"),
-            F.when(F.pmod(F.col("l_linenumber"), F.lit(3)) == 0, F.lit(None).cast("double"))
-            .otherwise(F.col("l_discount") - F.lit(0.05)).alias("beta"),
-            F.when(F.pmod(F.col("l_linenumber"), F.lit(2)) == 0, F.lit(None).cast("double"))
-            .otherwise(F.col("l_tax") / F.lit(0.04)).alias("oddsRatio"),
-            pick(F.floor(F.col("l_quantity")).cast("int"), SIGNIFICANCE_OPTIONS,
-                 _field(s, "clinicalSignificances")).alias("clinicalSignificances"),
-            pick(F.col("l_partkey"), CONSEQUENCE_OPTIONS, T.StringType())
-            .alias("variantFunctionalConsequenceId"),
-            pick(F.col("l_orderkey") + F.col("l_linenumber"), QTL_OPTIONS, T.StringType())
-            .alias("variantFunctionalConsequenceFromQtlId"),
-            F.when(F.col("datasourceId") == "intogen",
-                   pick(F.col("l_suppkey"), SAMPLE_OPTIONS, _field(s, "mutatedSamples")))
-            .alias("mutatedSamples"),
-            F.when(F.col("datasourceId") == "impc",
-                   pick(F.col("l_partkey"), PHENOTYPE_OPTIONS,
-                        _field(s, "diseaseModelAssociatedModelPhenotypes")))
-            .alias("diseaseModelAssociatedModelPhenotypes"),
-        )
+    return rows.select(
+        pick(pick_source, TESTBED_SOURCES, T.StringType()).alias("datasourceId"),
+        F.when(line == 7, F.lit(None).cast("string"))
+        .otherwise(F.concat(F.lit("T"), F.col("l_partkey").cast("string"))).alias("targetId"),
+        F.when(F.pmod(F.col("l_orderkey"), F.lit(23)) == 0, F.lit(None).cast("string"))
+        .otherwise(F.concat(F.lit("D"), F.col("o_custkey").cast("string")))
+        .alias("diseaseId"),
+        F.when(of("chembl"), F.concat(F.lit("CHEMBL"), F.col("l_suppkey").cast("string"))).alias("drugId"),
+        "beta", "oddsRatio",
+        pick(F.col("quantity"), SIGNIFICANCE_OPTIONS, _field(s, "clinicalSignificances")).alias("clinicalSignificances"),
+        pick(F.col("l_partkey"), CONSEQUENCE_OPTIONS, T.StringType())
+        .alias("variantFunctionalConsequenceId"),
+        pick(pick_source, QTL_OPTIONS, T.StringType()).alias("variantFunctionalConsequenceFromQtlId"),
+        F.when(of("intogen"), pick(F.col("l_suppkey"), SAMPLE_OPTIONS, _field(s, "mutatedSamples")))
+        .alias("mutatedSamples"),
+        F.when(of("impc"), pick(F.col("l_partkey"), PHENOTYPE_OPTIONS, _field(s, "diseaseModelAssociatedModelPhenotypes")))
+        .alias("diseaseModelAssociatedModelPhenotypes"),
     )
 
 
-def stored_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``evidence`` written by source, the layout of a release: a filter on the source reads only its files."""
-    return written(evidence(spark, sf_dir), ["datasourceId"])
+def stored_evidence(spark: SparkSession, sf_dir: str, keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """``evidence`` written by source, the layout of a release: a filter on the source reads only its files.
+
+    ``keep`` is a filter that the analysis begins with anyway: other rows are then neither joined nor written.
+    """
+    return written(keep(evidence(spark, sf_dir)), ["datasourceId"])
 
 
 def targets(spark: SparkSession, sf_dir: str) -> DataFrame:

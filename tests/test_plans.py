@@ -178,3 +178,33 @@ def test_feature_names_unpack_the_vector_once_a_row(spark):
     assert {r.id: r.names for r in named.collect()} == {1: ["a", "c"], 2: [], 3: ["b"]}
     plan = named._jdf.queryExecution().optimizedPlan().toString()
     assert "lambdafunction" in plan and "UDF" not in "".join(re.findall(r"lambdafunction\(.*?lambda", plan))
+
+
+def test_few_rows_beside_the_wanted_keys_pass_the_bitmap(spark):
+    from phenoscope.store import among, written
+    wanted = written(spark.range(40_000).select(F.concat(F.lit("T"), F.col("id")).alias("a")))
+    others = spark.range(40_000, 240_000).select(F.concat(F.lit("T"), F.col("id")).alias("a"))
+    assert among(others, wanted, ["a"]).count() < 200_000 * 0.025
+    assert among(wanted, wanted, ["a"]).count() == 40_000
+
+
+def test_stored_evidence_holds_the_rows_of_the_sources_that_the_analysis_keeps(spark):
+    from phenoscope.functions import constants as K
+    from phenoscope.plans.safety import SafetyPlan, Inputs
+    from phenoscope.sources import testbed as TB
+    sf = "/root/testdata/sf0.001"
+    stored, whole = SafetyPlan(Inputs.from_testbed(spark, sf)).evidence, TB.evidence(spark, sf)
+    assert {r.datasourceId for r in stored.select("datasourceId").distinct().collect()} <= set(K.EVIDENCE_SOURCES)
+    kept = doe.filter_sources(whole).select(*stored.columns)
+    assert stored.count() == kept.count() < whole.count() and stored.exceptAll(kept).isEmpty()
+
+
+def test_direction_is_found_before_rows_are_shuffled_to_a_lookup(spark, monkeypatch):
+    evidence = spark.createDataFrame([("eva", "T1", "D1", None, 1.0, None, ["pathogenic"], None, None, None)], ONCO_EVIDENCE)
+    moa = spark.createDataFrame([(["C1"], ["T1"], "INHIBITOR")], "chemblIds array<string>, targets array<string>, actionType string")
+    targets = spark.createDataFrame([("T1", "S1", None)], "id string, approvedSymbol string, hallmarks struct<attributes: array<struct<description: string>>>")
+    join, met = doe.join_where, []
+    monkeypatch.setattr(doe, "join_where", lambda df, *more, **named: met.append(df.columns) or join(df, *more, **named))
+    got = doe.direction_of_effect(evidence, targets, moa)
+    assert len(met) == 2 and all("directionOnTrait" in columns for columns in met)
+    assert [r.directionOnTrait for r in got.collect()] == ["risk"]
