@@ -184,9 +184,22 @@ def spark_literal(value, dtype: T.DataType) -> Column:
     return F.lit(value).cast(dtype)
 
 
+def _computed(value) -> bool:
+    """Whether an option holds a value of the row."""
+    if isinstance(value, (list, dict)):
+        return any(map(_computed, value.values() if isinstance(value, dict) else value))
+    return isinstance(value, RowValue)
+
+
 def pick(key: Column, options, dtype: T.DataType) -> Column:
-    """``options[key % len(options)]`` as one CASE expression."""
+    """``options[key % len(options)]``: an array constant, or one CASE expression where an option needs the row.
+
+    A CASE for every list would make the evidence's generated method too long (over 8,000 bytes) for the JVM to compile.
+    """
     k = F.pmod(key, F.lit(len(options)))
+    if not any(map(_computed, options)):
+        values = F.array(*[spark_literal(option, dtype) for option in options]).cast(T.ArrayType(dtype))
+        return F.get(values, k.cast("int"))
     expr = None
     for i, option in enumerate(options):
         value = spark_literal(option, dtype)

@@ -208,3 +208,27 @@ def test_direction_is_found_before_rows_are_shuffled_to_a_lookup(spark, monkeypa
     got = doe.direction_of_effect(evidence, targets, moa)
     assert len(met) == 2 and all("directionOnTrait" in columns for columns in met)
     assert [r.directionOnTrait for r in got.collect()] == ["risk"]
+
+
+def test_evidence_code_is_short_enough_to_be_compiled(spark):
+    from phenoscope.sources import testbed as TB
+    debug = spark._jvm.org.apache.spark.sql.execution.debug.__getattr__("package$").__getattr__("MODULE$")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = doe.filter_sources(TB.evidence(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", debug.codegenString(plan))]
+    assert sizes and max(sizes) < 8000
+
+
+def test_options_are_picked_by_key(spark):
+    from pyspark.sql import types as T
+
+    from phenoscope.sources import testbed as TB
+    got = lambda options, kind: [r.x for r in spark.createDataFrame([(-1,), (0,), (4,), (None,)], "k long").select(
+        TB.pick(F.col("k"), options, kind).alias("x")).collect()]
+    assert got((None, "a", "b"), T.StringType()) == ["b", None, "a", None]
+    assert got(([], None, ["c"]), T.ArrayType(T.StringType())) == [["c"], [], None, None]
+    own = TB.RowValue(lambda: F.concat(F.lit("row "), F.col("k")), "")
+    assert got(("a", own), T.StringType()) == ["row -1", "a", "a", None]
