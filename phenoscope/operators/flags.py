@@ -51,7 +51,11 @@ def warning_classes(target_warnings: DataFrame, key: str = "targetId") -> DataFr
         key, "warningType", F.coalesce("toxicityClass", F.lit("unknown")).alias("toxicityClass")).distinct()
 
 
-def drugs_by_effect(assessment: DataFrame, source: str = "chembl",
+#: The source whose rows name a drug.
+DRUG_SOURCE = "chembl"
+
+
+def drugs_by_effect(assessment: DataFrame, source: str = DRUG_SOURCE,
                     label: str = "LoF_protect", count_col: str | None = None) -> DataFrame:
     """D-21: (targetId, drugId, count) of assessed rows of one source and cell.
 

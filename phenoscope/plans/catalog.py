@@ -8,7 +8,7 @@ sizes, sums or sorted joined text.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from phenoscope.functions import constants as K
 from phenoscope.functions import harmonic as H
 from phenoscope.operators import doe, evaluate, flags, model, nested, scoring, severity
+from phenoscope.plans.safety import Inputs, SafetyPlan
 from phenoscope.sources import readers
 from phenoscope.sources import testbed as TB
 from phenoscope.store import shared_folder, written
@@ -87,9 +88,8 @@ def q_harmonic_norm(spark: SparkSession, sf: str) -> DataFrame:
     return scored.select("targetFromSourceId", r6(F.col("harmonicSumNorm")).alias("harmonicSumNorm"))
 
 
-def _plan(spark: SparkSession, sf: str, share: bool = False):
-    from phenoscope.plans.safety import Inputs, SafetyPlan
-    return SafetyPlan(Inputs.from_testbed(spark, sf), share)
+def _plan(spark: SparkSession, sf: str, share: bool = False, sources: Sequence[str] = K.EVIDENCE_SOURCES):
+    return SafetyPlan(Inputs.from_testbed(spark, sf), share, sources)
 
 
 def joined(c):
@@ -225,18 +225,18 @@ def q_coherency(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 @query("drugs_by_effect")
 def q_drugs_by_effect(spark: SparkSession, sf: str) -> DataFrame:
-    return flags.drugs_by_effect(_plan(spark, sf).summary, count_col="n")
+    return flags.drugs_by_effect(_plan(spark, sf, sources=SafetyPlan.FEATURE_SOURCES).summary, count_col="n")
 
 
 @query("attach_warnings")
 def q_attach_warnings(spark: SparkSession, sf: str) -> DataFrame:
-    pairs = flags.drugs_by_effect(_plan(spark, sf).summary, count_col="n")
+    pairs = flags.drugs_by_effect(_plan(spark, sf, sources=SafetyPlan.FEATURE_SOURCES).summary, count_col="n")
     return nested.attach_warnings(pairs, TB.drug_warnings(spark, sf))
 
 
 @query("warning_flags")
 def q_warning_flags(spark: SparkSession, sf: str) -> DataFrame:
-    pairs = flags.drugs_by_effect(_plan(spark, sf).summary, count_col="n")
+    pairs = flags.drugs_by_effect(_plan(spark, sf, sources=SafetyPlan.FEATURE_SOURCES).summary, count_col="n")
     tw = nested.attach_warnings(pairs, TB.drug_warnings(spark, sf))
     return flags.warning_flags(tw, K.BLACK_BOX_WARNING, "_BBW", TB.TOXICITY_CLASSES)
 
@@ -244,18 +244,18 @@ def q_warning_flags(spark: SparkSession, sf: str) -> DataFrame:
 @query("warning_classes")
 def q_warning_classes(spark: SparkSession, sf: str) -> DataFrame:
     """D-23 (long form): every class of every target's warnings."""
-    pairs = flags.drugs_by_effect(_plan(spark, sf).summary, count_col="n")
+    pairs = flags.drugs_by_effect(_plan(spark, sf, sources=SafetyPlan.FEATURE_SOURCES).summary, count_col="n")
     return flags.warning_classes(nested.attach_warnings(pairs, TB.drug_warnings(spark, sf)))
 
 
 @query("combine_flags")
 def q_combine_flags(spark: SparkSession, sf: str) -> DataFrame:
-    return _plan(spark, sf).warning_flags
+    return _plan(spark, sf, sources=SafetyPlan.FEATURE_SOURCES).warning_flags
 
 
 @query("comparison_frame")
 def q_comparison_frame(spark: SparkSession, sf: str) -> DataFrame:
-    frame = _plan(spark, sf).comparison
+    frame = _plan(spark, sf, sources=SafetyPlan.FEATURE_SOURCES).comparison
     cols = [r6(F.col(c)).alias(c) if c in ("harmonicSum", "harmonicSumNorm", "cal_score") else F.col(c)
             for c in frame.columns]
     return frame.select(*cols)
@@ -263,7 +263,7 @@ def q_comparison_frame(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("presence_flags")
 def q_presence_flags(spark: SparkSession, sf: str) -> DataFrame:
-    return _plan(spark, sf).features.select("id", "safetyLiabilities", "noToxCastLiab")
+    return _plan(spark, sf, sources=SafetyPlan.FEATURE_SOURCES).features.select("id", "safetyLiabilities", "noToxCastLiab")
 
 
 def _rounded_scores(spark: SparkSession, sf: str) -> DataFrame:
@@ -294,7 +294,7 @@ def q_quantile_bins_approx(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("binarise")
 def q_binarise(spark: SparkSession, sf: str) -> DataFrame:
-    p = _plan(spark, sf)
+    p = _plan(spark, sf, sources=SafetyPlan.FEATURE_SOURCES)
     return flags.binarise(p.features, p.flag_columns()).select("id", *p.flag_columns())
 
 
@@ -303,18 +303,18 @@ def q_binarise(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 @query("disease_types")
 def q_disease_types(spark: SparkSession, sf: str) -> DataFrame:
-    t = _plan(spark, sf).disease_types
+    t = _plan(spark, sf, sources=SafetyPlan.CLASS_SOURCES).disease_types
     return t.select("targetId", "diseaseId", "nr", joined(F.col("diseaseType")).alias("diseaseType"), "bivalent")
 
 
 @query("target_severity")
 def q_target_severity(spark: SparkSession, sf: str) -> DataFrame:
-    t = severity.target_severity(_plan(spark, sf).disease_types)
+    t = severity.target_severity(_plan(spark, sf, sources=SafetyPlan.CLASS_SOURCES).disease_types)
     return t.select("targetId", joined(F.col("diseaseType")).alias("diseaseType"), "scoreFromDisease")
 
 
 def _phenotype_severity(spark: SparkSession, sf: str):
-    p = _plan(spark, sf)
+    p = _plan(spark, sf, sources=SafetyPlan.CLASS_SOURCES)
     return p, severity.phenotype_severity(p.i.phenotypes, severity.target_severity(p.disease_types))
 
 
@@ -335,7 +335,7 @@ def q_severity_by_target(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("evidence_phenotype_scores")
 def q_evidence_phenotype_scores(spark: SparkSession, sf: str) -> DataFrame:
-    p = _plan(spark, sf)
+    p = _plan(spark, sf, sources=SafetyPlan.MODEL_SOURCES)
     out = severity.evidence_phenotype_scores(p.evidence, p.disease_types)
     return out.select(F.col("phenotype.id").alias("phenotypeId"), F.col("phenotype.label").alias("phenotypeLabel"),
                       "NrScores", r6(F.col("average")).alias("average"))
@@ -343,7 +343,7 @@ def q_evidence_phenotype_scores(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("evidence_severity")
 def q_evidence_severity(spark: SparkSession, sf: str) -> DataFrame:
-    p = _plan(spark, sf)
+    p = _plan(spark, sf, sources=SafetyPlan.MODEL_SOURCES)
     out = severity.evidence_severity(p.evidence, p.disease_types, p.i.phenotypes)
     return out.select("id", H.multiset_count(F.col("scoreDiseases2")).alias("n_scores"),
                       r6(F.col("harmonicSum")).alias("harmonicSum"),
@@ -407,7 +407,7 @@ def q_split_train_test(spark: SparkSession, sf: str) -> DataFrame:
 
 def _svm_inputs(spark: SparkSession, sf: str):
     """Per target: y = withdrawn-drug flag; features = its phenotype labels."""
-    p = _plan(spark, sf, share=True)
+    p = _plan(spark, sf, share=True, sources=SafetyPlan.FEATURE_SOURCES)
     scored = written(p.features.select("id", "harmonicSumNorm", "allWD"))
     labelled = evaluate.balanced_sample(scored.filter(F.col("harmonicSumNorm").isNotNull()), "allWD", "id", seed=0)
     return written(model.feature_frame(labelled.select("id", "y"), flags.phenotype_matrix(p.i.phenotypes)))

@@ -8,7 +8,7 @@ small toxicity-class vocabulary.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -24,9 +24,12 @@ from phenoscope.store import bucketed, written
 
 @dataclass
 class Inputs:
-    """The input frames; ``evidence`` may be a function, called when it is first needed."""
+    """The input frames; ``evidence`` may be a function, called when it is first needed.
 
-    evidence: DataFrame | Callable[[], DataFrame]
+    The function is given a filter, and may apply it before it joins or stores anything.
+    """
+
+    evidence: DataFrame | Callable[[Callable[[DataFrame], DataFrame]], DataFrame]
     targets: DataFrame
     moa: DataFrame
     phenotypes: DataFrame
@@ -38,7 +41,7 @@ class Inputs:
     @classmethod
     def from_testbed(cls, spark: SparkSession, sf_dir: str) -> "Inputs":
         return cls(
-            evidence=lambda: TB.stored_evidence(spark, sf_dir, doe.filter_sources),
+            evidence=lambda keep: TB.stored_evidence(spark, sf_dir, keep),
             targets=TB.targets(spark, sf_dir),
             moa=TB.mechanism_of_action(spark, sf_dir),
             phenotypes=TB.mouse_phenotypes(spark, sf_dir),
@@ -86,17 +89,27 @@ class SafetyPlan:
     With ``share`` the evidence summary is written once (``shared_summary``) and
     every consumer reads that, and the feature frames are stored in buckets of
     the target id, so that the joins of the comparison need no exchange.
+
+    ``sources`` names the evidence sources whose cells the caller reads, by default all of D-01
+    (``doe.rows_behind``): ``FEATURE_SOURCES`` for the warnings and features, ``CLASS_SOURCES`` for the disease classes.
     """
 
+    FEATURE_SOURCES = (flags.DRUG_SOURCE,)
+    CLASS_SOURCES = severity.CLASS_SOURCES
+    MODEL_SOURCES = severity.CLASS_SOURCES + (severity.MODEL_SOURCE,)
+
     SCORES = ("harmonicSumNorm", "dis1HarmSumNorm", "dis2HarmSumNorm")
 
-    def __init__(self, inputs: Inputs, share: bool = False):
+    def __init__(self, inputs: Inputs, share: bool = False, sources: Sequence[str] = K.EVIDENCE_SOURCES):
         self.i = inputs
         self.share = share
+        self.sources = tuple(sources)
 
     @cached_property
     def evidence(self) -> DataFrame:
-        return self.i.evidence() if callable(self.i.evidence) else self.i.evidence
+        def keep(rows: DataFrame) -> DataFrame:
+            return doe.rows_behind(rows, self.sources)
+        return self.i.evidence(keep) if callable(self.i.evidence) else keep(self.i.evidence)
 
     def kept(self, df: DataFrame, key: str = "id") -> DataFrame:
         """A frame keyed by target: stored in buckets of the key with ``share``, else as it is."""

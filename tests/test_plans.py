@@ -210,6 +210,30 @@ def test_direction_is_found_before_rows_are_shuffled_to_a_lookup(spark, monkeypa
     assert [r.directionOnTrait for r in got.collect()] == ["risk"]
 
 
+def test_plans_begin_with_the_rows_behind_the_sources_that_they_read(spark):
+    from phenoscope.operators import flags, severity
+    from phenoscope.plans.safety import Inputs, SafetyPlan
+    plan = lambda **named: SafetyPlan(Inputs.from_testbed(spark, "/root/testdata/sf0.001"), **named)
+    whole, drugs = plan(), plan(sources=SafetyPlan.FEATURE_SOURCES)
+    assert {r.datasourceId for r in drugs.evidence.select("datasourceId").distinct().collect()} == {flags.DRUG_SOURCE}
+    assert drugs.evidence.exceptAll(whole.evidence).isEmpty()
+    rows = lambda df: sorted(map(str, df.collect()))
+    assert rows(drugs.warning_flags) == rows(whole.warning_flags) != []
+    classes = plan(sources=SafetyPlan.CLASS_SOURCES)
+    assert {r.datasourceId for r in classes.evidence.select("datasourceId").distinct().collect()} == set(SafetyPlan.CLASS_SOURCES) - {"genomics_england"}
+    assert rows(severity.target_severity(classes.disease_types)) == rows(severity.target_severity(whole.disease_types)) != []
+
+
+def test_rows_with_samples_stay_behind_intogen(spark):
+    sample = [{"functionalConsequenceId": "SO_0002053"}]
+    evidence = spark.createDataFrame(
+        [(s, n, samples) for n, (s, samples) in enumerate([("intogen", None), ("impc", sample), ("impc", []), ("impc", None), ("europepmc", sample), (None, sample), ("chembl", None)])],
+        "datasourceId string, n int, mutatedSamples array<struct<functionalConsequenceId: string>>")
+    kept = lambda *sources: sorted(r.n for r in doe.rows_behind(evidence, sources).collect())
+    assert kept("intogen") == [0, 1] and kept("chembl") == [6] and kept("impc", "chembl") == [1, 2, 3, 6]
+    assert kept(*doe.K.EVIDENCE_SOURCES) == [0, 1, 2, 3, 6]
+
+
 def test_evidence_code_is_short_enough_to_be_compiled(spark):
     from phenoscope.sources import testbed as TB
     debug = spark._jvm.org.apache.spark.sql.execution.debug.__getattr__("package$").__getattr__("MODULE$")
