@@ -4,17 +4,20 @@ Toxic documents go, near-equal lines go, one document of each near-copy group
 stays, sources are mixed to their target weights, and what is left is encoded.
 ``STAGES`` lists ``(name, function)``; a function takes ``(spark, docs, sf_dir)``
 and all but the last return the columns of ``docs``. ``run`` writes every stage's
-result to the shared folder and reads it again as the next one's input.
+result to the shared folder and reads it again as the next one's input; then the
+input and all else that the stage wrote are deleted.
 """
 
 from __future__ import annotations
 
+import functools
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from phenoscope.llm.bpe import bpe_encode_decode
-from phenoscope.llm.common import read_table, row_key, unused, written
+from phenoscope.llm.common import discard, flagged, read_table, row_key, settled, unused, written
 from phenoscope.llm.line_dedup import line_dedup
 from phenoscope.llm.mixing import mix_sources
 from phenoscope.llm.simhash import simhash_dedup
@@ -31,8 +34,16 @@ def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
 
 
 def without(docs: DataFrame, dropped: DataFrame, key: str) -> DataFrame:
-    """``docs`` without the rows whose key is in ``dropped``."""
-    return docs.join(written(dropped.select(key).distinct(), "dropped"), key, "left_anti")
+    """``docs`` without the rows whose key is in ``dropped``.
+
+    Only rows that a bitmap of the dropped keys lets by meet these in a join; the others are not shuffled.
+    """
+    gone = written(dropped.select(key).distinct(), "dropped")
+    near, found = unused(docs.columns, "near", "found")
+    rows = flagged(docs, gone, F.xxhash64(key), near)
+    # an outer join, since an anti-join would be moved below the filter
+    met = rows.filter(near).join(gone.withColumn(found, F.lit(True)), key, "left").filter(F.col(found).isNull())
+    return rows.filter(~F.col(near)).select(*docs.columns).unionByName(met.select(*docs.columns))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -105,7 +116,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over table ``documents``."""
-    docs = read_table(spark, sf_dir, "documents")
+    docs, before = read_table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+        docs = settled(functools.partial(stage, spark, docs, sf_dir), name)
+        if before is not None:
+            discard(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)

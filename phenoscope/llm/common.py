@@ -5,7 +5,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import numpy as np
 import pyarrow as pa
@@ -17,6 +19,13 @@ from pyspark.sql import functions as F
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 SPACE_PATTERN = r"[\x20\x09-\x0D]+"
 
+#: Bits of the filter of ``flagged``.
+BITMAP = 1 << 24
+#: Whether Spark deletes a job's shuffle files at its end.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Tables written since the innermost ``settled`` began; none outside of one.
+_MADE: ContextVar[list[DataFrame] | None] = ContextVar("made", default=None)
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The Parquet table ``name`` under ``sf_dir``, by whatever path Spark can read."""
@@ -41,17 +50,32 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+@contextmanager
+def _shuffles_deleted(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of jobs begun inside are deleted when the job ends, not when the driver's memory is next cleaned."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(SHUFFLE_CLEANUP) if before is None else spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read again.
 
     This cuts the lineage so that a lost executor costs no recomputation from
     the start, fixes values that later steps read more than once, and gives the
-    planner the table's true size.
+    planner the table's true size. Nothing reads the job's shuffle files again, so they go with it.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/llm-{uuid.uuid4().hex}/{name}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    with _shuffles_deleted(spark):
+        df.write.option("compression", "zstd").parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    if (made := _MADE.get()) is not None:
+        made.append(table)
+    return table
 
 
 def discard(table: DataFrame) -> None:
@@ -63,6 +87,25 @@ def discard(table: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def settled(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """``make()`` written; the tables of ``written`` that were made on its way are then deleted.
+
+    Only what ``make`` returns may be read afterwards, so it must not hand on its tables by any other way.
+    """
+    outer, made = _MADE.get(), []
+    token = _MADE.set(made)
+    try:
+        table = written(make(), name)
+    finally:
+        _MADE.reset(token)
+    for used in made:
+        if used is not table:
+            discard(used)
+    if outer is not None:
+        outer.append(table)
+    return table
+
+
 def unused(columns: list[str], *names: str) -> list[str]:
     """``names``, with underscores put before those that ``columns`` already has (in any case)."""
     taken, out = {c.lower() for c in columns}, []
@@ -74,6 +117,22 @@ def unused(columns: list[str], *names: str) -> list[str]:
     return out
 
 
+def flagged(df: DataFrame, wanted: DataFrame, key: Column, flag: str) -> DataFrame:
+    """``df`` with ``flag``: whether ``key``, a long made of columns of both, may be in ``wanted``; false means that it is not.
+
+    A bitmap of ``BITMAP`` bits over the wanted keys (a fixed 2 MB however many they
+    are) is broadcast, so no row is shuffled for it.
+    """
+    of, at, bits = unused([*df.columns, flag], "_bucket", "_bit", "_bitmap")
+    place = F.pmod(key, F.lit(BITMAP))
+    bucket, bit = F.floor(place / 32768).alias(of), F.pmod(place, F.lit(32768)).alias(at)
+    bitmap = wanted.select(bucket, bit).groupBy(of).agg(F.bitmap_construct_agg(at).alias(bits))
+    near = df.withColumns({of: bucket, at: bit}).join(F.broadcast(written(bitmap, "bitmap")), of, "left")
+    byte = F.conv(F.hex(F.substring(bits, F.floor(F.col(at) / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), F.pmod(at, F.lit(8)).cast("int"))) != 0
+    return near.select(*df.columns, F.coalesce(found, F.lit(False)).alias(flag))
+
+
 def row_key(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Column:
     """A text that stands for a row's id and text together, in the order of ids, null ids last.
 

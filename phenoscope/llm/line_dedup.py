@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from phenoscope.llm.common import components, discard, row_key, runs, star_edges, unused, written
+from phenoscope.llm.common import components, discard, flagged, row_key, runs, settled, star_edges, unused, written
 
 #: Characters of a shingle.
 SHINGLE = 5
@@ -43,8 +43,6 @@ HELD = 1 << 16
 PIECE = 1024
 #: Characters shingled at a time, if a line has not more.
 CHARS = 1 << 18
-#: Bits of the filter for the lines whose text is wanted.
-BITMAP = 1 << 24
 _BLANK = " \t\r\x0b\x0c"
 
 _RANDOM = np.random.default_rng(20)
@@ -270,18 +268,11 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
 def among(lines: DataFrame, wanted: DataFrame) -> DataFrame:
     """The rows of ``lines`` whose ``handle`` is in ``wanted``, and a few others, without a shuffle.
 
-    A bitmap of ``BITMAP`` bits over hashes of the wanted lines (a fixed 2 MB
-    however many they are) is broadcast and drops nearly all other rows where they
+    A broadcast bitmap of the wanted lines drops nearly all other rows where they
     are read. An exact semi-join with what this returns, once written, drops the rest; in one
     plan the optimizer would move it below the filter.
     """
-    place = F.pmod("handle", F.lit(BITMAP))
-    bucket, bit = F.floor(place / 32768).alias("_bucket"), F.pmod(place, F.lit(32768)).alias("_bit")
-    bitmap = wanted.select(bucket, bit).groupBy("_bucket").agg(F.bitmap_construct_agg("_bit").alias("_bitmap"))
-    near = lines.withColumns({"_bucket": bucket, "_bit": bit}).join(F.broadcast(written(bitmap, "bitmap")), "_bucket")
-    byte = F.conv(F.hex(F.substring("_bitmap", F.floor(F.col("_bit") / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    kept = near.filter(byte.bitwiseAND(F.call_function("shiftleft", F.lit(1), F.pmod("_bit", F.lit(8)).cast("int"))) != 0)
-    return kept.select(*lines.columns)
+    return flagged(lines, wanted, F.col("handle"), "_near").filter("_near").select(*lines.columns)
 
 
 def joined(key: int, handles: np.ndarray, comps: np.ndarray, texts: list[str], left: np.ndarray, right: np.ndarray, similarity: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -372,16 +363,19 @@ def line_components(lines: DataFrame, similarity: float) -> DataFrame:
         F.min("line").alias("line"), F.max("line").alias("last"), F.first("norm").alias("norm"))
     texts = written(found.filter("line = last").drop("last"), "texts")
     discard(near)
+    discard(ends)
     links = written(verified(pairs, texts, similarity), "links")
-    label = components(links)
+    label = settled(lambda: components(links), "label")
     placed = written(large.join(label, large["handle"] == label["node"], "left").select(
         "key", "handle", F.coalesce("component_id", "handle").alias("comp")), "placed")
+    discard(met)
     split = placed.groupBy("key").agg(F.min("comp").alias("_x"), F.max("comp").alias("_y")).filter("_x != _y").select("key")
     open_ = written(placed.join(split, "key", "left_semi"), "open")
+    discard(placed)
     if not open_.isEmpty():
         extra = written(across(open_, texts, similarity), "more")
         if not extra.isEmpty():
-            label = components(links.unionByName(extra))
+            label = settled(lambda: components(links.unionByName(extra)), "label")
     named = texts.select("handle", "line")
     return label.join(named, label["node"] == named["handle"]).select("line", "component_id").join(
         named.select(F.col("handle").alias("component_id"), F.col("line").alias("comp")), "component_id").select("line", "comp")
@@ -393,9 +387,10 @@ def line_marks(docs: DataFrame, similarity: float = 0.8, id_col: str = "doc_id",
     Of the lines in one component the one with the smallest (key, ``pos``) is kept: that of the smallest id.
     """
     lines = lines_of(docs, id_col, text_col).withColumns({"line": line_key(F.col("norm")), "handle": F.xxhash64("norm")})
-    label = written(line_components(lines, similarity), "line_components")
+    label = settled(lambda: line_components(lines, similarity), "line_components")
     placed = written(lines.select("_row", "pos", "line").join(label, "line", "left").select(
         "_row", "pos", "line", F.coalesce("comp", "line").alias("comp")), "placed")
+    discard(label)
     best = placed.groupBy("comp").agg(F.min(F.struct("_row", "pos")).alias("best"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     best = written(best.select("comp", F.col("best._row").alias("_keep"), F.col("best.pos").alias("_at")), "best")
     kept = F.col("_at").isNull() | ((F.col("_row") == F.col("_keep")) & (F.col("pos") == F.col("_at")))
@@ -420,9 +415,8 @@ def line_dedup(docs: DataFrame, similarity: float = 0.8, id_col: str = "doc_id",
     other columns are passed through, whatever their names; an empty table gives an empty result.
     """
     key, gone_key, gone_at = unused(docs.columns, "_row", "_gone_row", "_gone")
-    marks = line_marks(docs, similarity, id_col, text_col)
-    gone = written(marks.filter("not kept").groupBy(F.col("_row").alias(gone_key)).agg(
-        F.collect_set("pos").alias(gone_at)), "gone")
+    gone = settled(lambda: line_marks(docs, similarity, id_col, text_col).filter("not kept").groupBy(
+        F.col("_row").alias(gone_key)).agg(F.collect_set("pos").alias(gone_at)), "gone")
     keyed = docs.withColumn(key, row_key(docs, id_col, text_col))
     joined = keyed.join(gone, F.col(key) == F.col(gone_key), "left")
     lines = F.split(F.col(text_col), "\n")

@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from phenoscope.llm import common
 from phenoscope.llm.common import components, runs, shared_dir, star_edges
@@ -73,3 +74,42 @@ def test_discard_deletes_only_the_table_given(spark):
     common.discard(gone)
     assert not os.path.exists(folder) and kept.count() == 20
     common.discard(spark.range(3))
+
+
+def test_settled_keeps_its_result_and_deletes_what_led_to_it(spark):
+    made = []
+
+    def make():
+        made.append(common.written(spark.range(50), "step"))
+        made.append(common.settled(lambda: made[0].filter("id < 30"), "inner"))
+        return made[1].filter("id < 20")
+
+    table = common.settled(make, "result")
+    folders = [x.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://") for x in (*made, table)]
+    assert [os.path.exists(f) for f in folders] == [False, False, True] and table.count() == 20
+
+
+def test_settled_that_fails_leaves_later_tables_alone(spark):
+    with pytest.raises(ZeroDivisionError):
+        common.settled(lambda: 1 / 0, "broken")
+    assert common.written(spark.range(3), "numbers").count() == 3
+
+
+def test_written_leaves_no_shuffle_files_and_no_setting(spark):
+    before = spark.conf.get(common.SHUFFLE_CLEANUP, None)
+    folders = list(spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+
+    def shuffles():
+        return {f for folder in folders for _, _, files in os.walk(folder) for f in files if f.startswith("shuffle_")}
+
+    old = shuffles()
+    common.written(spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count(), "counts")
+    assert not shuffles() - old and spark.conf.get(common.SHUFFLE_CLEANUP, None) == before
+
+
+def test_flagged_misses_no_wanted_key(spark):
+    rows = spark.range(1000).withColumn("_bit", F.col("id") * 2)
+    got = common.flagged(rows, rows.filter("id % 3 = 0"), F.xxhash64("id"), "near")
+    assert got.columns == ["id", "_bit", "near"] and got.count() == 1000
+    assert got.filter("id % 3 = 0 and not near").count() == 0 and got.filter("near").count() < 400
+    assert common.flagged(rows, rows.filter("false"), F.xxhash64("id"), "near").filter("near").count() == 0

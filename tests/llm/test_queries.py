@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from llm_support import documents, odd_texts, text
 from oracle_compare import compare, duck
-from phenoscope.llm import queries
+from phenoscope.llm import common, queries
 
 SF = "/root/testdata/sf0.001"
 
@@ -75,3 +75,22 @@ def test_stages_judge_rows_not_ids(spark, tmp_path):
 def test_stages_of_no_rows(spark, corpus, stage, tmp_path):
     spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     assert stage[1](spark, corpus.filter(F.lit(False)), str(tmp_path)).collect() == []
+
+
+def test_pipeline_keeps_only_its_last_table(spark, corpus, tmp_path, monkeypatch):
+    (tmp_path / "in").mkdir()
+    corpus.write.parquet(str(tmp_path / "in/documents.parquet"))
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "in/labels.parquet"))
+    monkeypatch.setattr(common, "shared_dir", lambda spark: str(tmp_path / "shared"))
+    coded = corpus_pipeline.run(spark, str(tmp_path / "in"))
+    left = {p.parent.name for p in (tmp_path / "shared").glob("llm-*/*/*.parquet")}
+    assert left == {"mix_sources"} and coded.count() > 0
+    assert (tmp_path / "in/documents.parquet").exists() and (tmp_path / "in/labels.parquet").exists()
+
+
+def test_without_drops_the_rows_of_the_keys_alone(spark):
+    rows = spark.createDataFrame([(str(i % 90), i) for i in range(300)], "k string, near int")
+    left = corpus_pipeline.without(rows, rows.filter("cast(k as int) % 4 = 1"), "k")
+    assert left.columns == rows.columns
+    assert sorted(map(tuple, left.collect())) == sorted((str(i % 90), i) for i in range(300) if i % 90 % 4 != 1)
+    assert corpus_pipeline.without(rows, rows.filter("false"), "k").count() == 300
