@@ -414,15 +414,17 @@ def line_dedup(docs: DataFrame, similarity: float = 0.8, id_col: str = "doc_id",
     one document, and each is returned with the same lines. Null ids come last in the order of ids. All
     other columns are passed through, whatever their names; an empty table gives an empty result.
     """
-    key, gone_key, gone_at = unused(docs.columns, "_row", "_gone_row", "_gone")
+    key, gone_key, gone_at, near = unused(docs.columns, "_row", "_gone_row", "_gone", "_near")
     gone = settled(lambda: line_marks(docs, similarity, id_col, text_col).filter("not kept").groupBy(
         F.col("_row").alias(gone_key)).agg(F.collect_set("pos").alias(gone_at)), "gone")
-    keyed = docs.withColumn(key, row_key(docs, id_col, text_col))
-    joined = keyed.join(gone, F.col(key) == F.col(gone_key), "left")
+    # only rows that may have lost a line are shuffled to meet what they lost
+    keyed = flagged(docs.withColumn(key, row_key(docs, id_col, text_col)), gone.withColumnRenamed(gone_key, key), F.xxhash64(key), near)
+    joined = keyed.filter(near).join(gone, F.col(key) == F.col(gone_key), "left")
     lines = F.split(F.col(text_col), "\n")
     left = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(gone_at, i)), "\n")
     text = F.when(F.col(gone_at).isNull(), F.col(text_col)).otherwise(left)
-    return joined.select(*(text.alias(c) if c == text_col else F.col(c) for c in docs.columns))
+    cut = joined.select(*(text.alias(c) if c == text_col else F.col(c) for c in docs.columns))
+    return keyed.filter(~F.col(near)).select(*docs.columns).unionByName(cut)
 
 
 def line_digest(docs: DataFrame, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
