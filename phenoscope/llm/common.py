@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
@@ -78,6 +78,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return table
 
 
+def appended(parts: Iterable[DataFrame], name: str) -> DataFrame:
+    """One table as of ``written`` with the rows of all ``parts``, of which there is one at least; each is written before the next is asked for."""
+    path = None
+    for df in parts:
+        path = path or f"{shared_dir(df.sparkSession)}/llm-{uuid.uuid4().hex}/{name}"
+        with _shuffles_deleted(df.sparkSession):
+            df.write.mode("append").option("compression", "zstd").parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    if (made := _MADE.get()) is not None:
+        made.append(table)
+    return table
+
+
 def discard(table: DataFrame) -> None:
     """Delete a table of ``written`` that nothing reads any more, by the file system that holds it."""
     spark, files = table.sparkSession, table.inputFiles()
